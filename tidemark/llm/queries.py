@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import minhash, quality_rules
 from .tables import table
 
 
@@ -16,3 +16,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op2_quality_rules": op2_quality_rules}
 ORACLES: dict[str, str] = {}
+
+
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
+QUERIES["op1_minhash_near_dedup"] = op1_minhash_near_dedup
