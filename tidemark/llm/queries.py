@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, quality_rules
+from . import minhash, mixing, packing, quality_rules
 from .tables import table
 
 
@@ -24,3 +24,16 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_minhash_near_dedup"] = op1_minhash_near_dedup
+
+
+def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixing.in_order(mixed.select("doc_id", "size", "source_size", "target", "taken", "first_position", "second_position"))
+
+
+def op10_length_bucket_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES["op4_curriculum_mix"] = op4_curriculum_mix
+QUERIES["op10_length_bucket_packing"] = op10_length_bucket_packing
