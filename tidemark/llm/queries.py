@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, packing, quality_rules
+from . import minhash, mixing, packing, quality_rules, secrets
 from .tables import table
 
 
@@ -37,3 +37,10 @@ def op10_length_bucket_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op4_curriculum_mix"] = op4_curriculum_mix
 QUERIES["op10_length_bucket_packing"] = op10_length_bucket_packing
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("found")
+
+
+QUERIES["op9_secret_scan"] = op9_secret_scan
