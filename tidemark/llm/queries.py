@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, packing, quality_rules, secrets
+from . import html_text, minhash, mixing, packing, quality_rules, secrets
 from .tables import table
 
 
@@ -44,3 +44,10 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_secret_scan"] = op9_secret_scan
+
+
+def op7_site_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+QUERIES["op7_site_template_removal"] = op7_site_template_removal
