@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, minhash, mixing, packing, quality_rules, secrets
+from . import html_text, minhash, mixing, packing, quality_rules, secrets, warc
 from .tables import table
 
 
@@ -51,3 +51,18 @@ def op7_site_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_site_template_removal"] = op7_site_template_removal
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("url")
+
+
+QUERIES["op5_warc"] = op5_warc
+ORACLES["op5_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest AS d, max(page_id) AS first_id FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_id IS NOT NULL AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id IS NOT NULL AND page_id <> first_id THEN first_id END AS refers_to
+FROM p LEFT JOIN f ON payload_digest = d AND payload_bytes >= 1000
+"""
