@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, minhash, mixing, packing, quality_rules, secrets, warc
+from . import fingerprint, html_text, minhash, mixing, packing, quality_rules, secrets, warc
 from .tables import table
 
 
@@ -66,3 +66,10 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN first_id IS NOT NULL AND page_id <> first_id THEN first_id END AS refers_to
 FROM p LEFT JOIN f ON payload_digest = d AND payload_bytes >= 1000
 """
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES["op3_fingerprints"] = op3_fingerprints
