@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, html_text, minhash, mixing, packing, quality_rules, secrets, warc
+from . import fingerprint, html_text, minhash, mixing, packing, pitman_yor, quality_rules, secrets, warc
 from .tables import table
 
 
@@ -73,3 +73,10 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op3_fingerprints"] = op3_fingerprints
+
+
+def op6_pitman_yor_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES["op6_pitman_yor_scoring"] = op6_pitman_yor_scoring
