@@ -7,10 +7,11 @@ that many near copies share from vanishing, so a large group of copies stays tog
 passage that all documents hold weighs nothing. Each sample (ICWS, Ioffe 2010) is the pair
 (shingle, quantised weight) of least `ln a`; its three random variates come from tables of
 2**16 entries indexed by a hash of the shingle, and a tie inside a table cell goes to the
-least shingle hash. Samples are banded; documents that share a band are compared with the
-band's least member by exact weighted Jaccard similarity, those that fail among themselves
-again until no band has two uncompared members, and links of at least THRESHOLD are closed to
-classes.
+least shingle hash. Samples are banded. The members of a band are compared by exact weighted
+Jaccard similarity with its leader, the member that shares most bands with others; links of at least
+THRESHOLD are closed to classes. Bands whose members are then of two classes or more go on with
+their next leaders, three, twelve and so on at a time, until every two members of a band are of one
+class or have been compared.
 
 Defined results: a null text counts as the empty text; equal texts are always one class; texts
 without words join no other class; a text of one to four words is one shingle; a class is named by
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import shingles as sh
@@ -248,27 +249,38 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         labels = new.select("node", "label")
 
 
-def links(texts: DataFrame, copies: DataFrame) -> DataFrame:
-    """Verified links (a, b) between the different texts of texts(node, text, doc_id); copies(node, doc_id) names one row of each."""
+def classes_of_texts(texts: DataFrame, copies: DataFrame) -> DataFrame:
+    """(node, label) of the texts with a verified link, of texts(node, text, doc_id); copies(node, doc_id) names one row of each."""
     weights = frequent_shingles(texts.select("text"))
     keys = _band_keys(texts.select("node", "text"), weights).distinct()
     keys = stored(keys, "bands")
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lead")).where("n > 1").select("key", "lead")
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(keys.join(shared, "key"), "members")
-    involved = members.select("node").distinct().join(copies, "node")
+    # what many near copies were made from shares the most bands with them, so it leads its bands
+    fame = members.groupBy("node").agg(F.sum("n").alias("fame"))
+    by_fame = Window.partitionBy("key").orderBy(F.desc("fame"), "node")
+    members = stored(members.join(fame, "node").withColumn("rank", F.row_number().over(by_fame)).select("key", "node", "rank", "n"), "ranks")
+    involved = fame.select("node").join(copies, "node")
     found = texts.join(involved.select(F.col("node").alias("n2"), F.col("doc_id").alias("d2")).hint("shuffle_hash"), (F.col("node") == F.col("n2")) & F.col("doc_id").eqNullSafe(F.col("d2")))
     blobs = stored(_blobs(found.select("node", "text"), weights).dropDuplicates(["node"]), "blobs")
-    all_links = None
+    first, last, linked, checked = 1, 1, None, None
+    rows = members.withColumn("label", F.col("node"))
     while True:
-        pairs = members.where("node <> lead").select("node", "lead").distinct()
-        checked = stored(_verified(pairs, blobs, float(weights.common)), "checked")
-        ok = checked.where("ok").select(F.col("node").alias("a"), F.col("lead").alias("b"))
-        all_links = ok if all_links is None else all_links.union(ok)
-        left = members.where("node <> lead").join(checked.where("not ok").select("node", "lead"), ["node", "lead"]).select("key", "node")
-        again = left.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lead")).where("n > 1").select("key", "lead")
-        members = stored(left.join(again, "key"), "members")
-        if members.isEmpty():
-            return all_links
+        lead = rows.where(F.col("rank").between(first, last)).select("key", F.col("node").alias("lead"), F.col("rank").alias("lead_rank"), F.col("label").alias("lead_label"))
+        pairs = rows.join(lead, "key").where("rank > lead_rank and label <> lead_label").select("node", "lead").distinct()
+        if checked is not None:
+            pairs = pairs.join(checked.select("node", "lead"), ["node", "lead"], "left_anti")
+        new = stored(_verified(pairs, blobs, float(weights.common)), "checked")
+        checked = new if checked is None else checked.union(new)
+        linked = checked.where("ok").select(F.col("node").alias("a"), F.col("lead").alias("b"))
+        labels = components(linked)
+        # bands with members of two classes left go on to their next leaders
+        rows = members.where(F.col("n") > last + 1).join(labels, "node", "left").select("key", "node", "rank", "n", F.coalesce("label", "node").alias("label"))
+        split = rows.groupBy("key").agg((F.min("label") != F.max("label")).alias("split")).where("split").select("key")
+        rows = stored(rows.join(split, "key"), "split")
+        if rows.isEmpty():
+            return labels
+        first, last = last + 1, 4 * last
 
 
 def _noded(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -280,7 +292,7 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     """doc_id, node (a hash of the text) and class_id of each row of docs."""
     texts = _noded(docs, text, doc_id)
     copies = stored(texts.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "copies")
-    labels = components(links(texts, copies))
+    labels = classes_of_texts(texts, copies)
     named = copies.join(labels, "node", "left").select("node", "doc_id", F.coalesce("label", "node").alias("label"))
     names = named.groupBy("label").agg(F.min("doc_id").alias("class_id"))
     by_node = named.join(names, "label").select("node", "class_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, html_text, minhash, mixing, packing, pitman_yor, quality_rules, secrets, warc
+from . import fingerprint, html_text, kneser_ney, minhash, mixing, packing, pitman_yor, quality_rules, secrets, warc
 from .tables import table
 
 
@@ -80,3 +80,11 @@ def op6_pitman_yor_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_pitman_yor_scoring"] = op6_pitman_yor_scoring
+
+
+def op8_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return kneser_ney.classify(docs, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
+
+
+QUERIES["op8_kneser_ney_quality"] = op8_kneser_ney_quality
