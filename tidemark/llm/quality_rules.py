@@ -126,4 +126,6 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
 def keep(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of docs that pass, with the columns of docs."""
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text).alias("_text"))
-    return judge(held, "_text", rules).where("kept").select("_row.*")
+    # a filter would be pushed below the measures and repeat them once for every use; a generator is not
+    row = F.filter(F.array("_row"), lambda _: F.col("kept"))
+    return judge(held, "_text", rules).select(F.explode(row).alias("_row")).select("_row.*")
