@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, html_text, kneser_ney, minhash, mixing, packing, pitman_yor, quality_rules, secrets, warc
+from . import fingerprint, html_text, kneser_ney, minhash, mixing, oracles, packing, pitman_yor, quality_rules, secrets, warc
 from .tables import table
 
 
@@ -88,3 +88,5 @@ def op8_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_kneser_ney_quality"] = op8_kneser_ney_quality
+ORACLES["op2_quality_rules"] = oracles.QUALITY
+ORACLES["op4_curriculum_mix"] = oracles.MIX
