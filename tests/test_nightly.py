@@ -11,7 +11,7 @@ def test_second_run_scores_nothing_and_streams_append(spark, tmp_path):
     class Fixed:
         def answer(self, key, prompt):
             ids = re.findall(r"^id: (\d+)$", prompt, re.M)
-            return json.dumps({"results": [{"message_id": i, "polarity": "neutral", "polarity_score": 0, "emotions": ["neutral"], "sarcasm": False, "toxicity": "none", "directed_at": "none", "confidence": 1, "rationale": "same"} for i in ids]})
+            return json.dumps({"results": [{"message_id": i, "polarity": "neutral", "polarity_score": 0, "emotions": ["neutral"], "sarcasm": False, "toxicity": "none", "directed_at": "general", "confidence": 1, "rationale": "same"} for i in ids]})
 
     at = dt.datetime(2024, 1, 1)
     rows = [(i, "m", i % 3 if i % 4 else None, f"text {i}" if i % 9 else "\n", at + dt.timedelta(minutes=i), "ann", None, "c", None, None) for i in range(40)]

@@ -6,7 +6,7 @@ from tidemark.operators import evaluate, sampling, scoring, store
 
 
 def line(**change):
-    r = {"message_id": "1", "polarity": "positive", "polarity_score": 0.5, "emotions": ["joy"], "sarcasm": False, "toxicity": "none", "directed_at": "none", "confidence": 0.9, "rationale": "fine"} | change
+    r = {"message_id": "1", "polarity": "positive", "polarity_score": 0.5, "emotions": ["joy"], "sarcasm": False, "toxicity": "none", "directed_at": "general", "confidence": 0.9, "rationale": "fine"} | change
     return {k: v for k, v in r.items() if v != "absent"}
 
 
@@ -41,7 +41,7 @@ def test_failing_scorer_keeps_its_error(spark):
 
 
 def results(spark, ids, polarity="Positive "):
-    return spark.createDataFrame([(i, polarity, 0.1, "joy", True, "none", "none", 0.5, "r" * 300) for i in ids], scoring.RESULTS)
+    return spark.createDataFrame([(i, polarity, 0.1, "joy", True, "none", "general", 0.5, "r" * 300) for i in ids], scoring.RESULTS)
 
 
 def test_upsert(spark, tmp_path):

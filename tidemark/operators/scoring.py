@@ -17,8 +17,8 @@ from tidemark.functions.text import first_words, strip, to_boolean
 #: The labels of the result format.
 POLARITY = ("positive", "negative", "neutral", "mixed")
 TOXICITY = ("none", "mild", "moderate", "severe")
-DIRECTED_AT = ("none", "person", "group", "self", "other")
-EMOTIONS = ("joy", "anger", "sadness", "fear", "surprise", "disgust", "love", "amusement", "neutral")
+DIRECTED_AT = ("general", "person", "group", "self", "topic")
+EMOTIONS = ("joy", "anger", "annoyance", "amusement", "sadness", "fear", "surprise", "disgust", "neutral")
 RESULTS = "message_id string, polarity string, polarity_score double, emotions string, sarcasm boolean, toxicity string, directed_at string, confidence double, rationale string"
 _RAW = "struct<results:array<struct<message_id:string,polarity:string,polarity_score:string,emotions:array<string>,sarcasm:string,toxicity:string,directed_at:string,confidence:string,rationale:string>>>"
 
