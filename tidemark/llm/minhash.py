@@ -8,10 +8,14 @@ passage that all documents hold weighs nothing. Each sample (ICWS, Ioffe 2010) i
 (shingle, quantised weight) of least `ln a`; its three random variates come from tables of
 2**16 entries indexed by a hash of the shingle, and a tie inside a table cell goes to the
 least shingle hash. Samples are banded. The members of a band are compared by exact weighted
-Jaccard similarity with its leader, the member that shares most bands with others; links of at least
-THRESHOLD are closed to classes. Bands whose members are then of two classes or more go on with
-their next leaders, three, twelve and so on at a time, until every two members of a band are of one
-class or have been compared.
+Jaccard similarity with its leader, the member that shares most bands with others, so the pairs
+are as many as the members; links of at least THRESHOLD are closed to classes.
+
+In a band that then still holds two classes, a text below THRESHOLD to the leader can be linked to
+another member only if it shares with it half of what sets that one apart from the leader (for
+fewer shared differences the two are no more alike than the text and the leader). So those members
+are banded anew by minimum hashes of their differences from the leader, and the texts outside a new band's
+main class are compared with its members of other classes, unless the sizes of the differences rule it out.
 
 Defined results: a null text counts as the empty text; equal texts are always one class; texts
 without words join no other class; a text of one to four words is one shingle; a class is named by
@@ -23,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles as sh
@@ -32,6 +36,10 @@ from .tables import stored
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 16, 5
+#: Minimum hashes of the difference of two texts.
+DELTAS = 12
+#: Weights differ a little, so gaps are compared with some slack.
+SLACK = 1.25
 S = 0.5
 RARE = 0.01
 #: Counters of the first pass: a fixed size, whatever the corpus.
@@ -215,7 +223,8 @@ def weighted_jaccard(ha: np.ndarray, wa: np.ndarray, hb: np.ndarray, wb: np.ndar
 
 
 def _verified(pairs: DataFrame, blobs: DataFrame, common: float) -> DataFrame:
-    """pairs(node, lead) with ok: whether their similarity is at least THRESHOLD."""
+    """pairs(node, lead) with ok, whether their similarity is at least THRESHOLD; gap, how many shingles one has alone; total, how many both have; apart, DELTAS minimum hashes of the gap."""
+    odd = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 62, DELTAS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def load(hashes, at, w):
         h = np.frombuffer(hashes.as_buffer(), np.uint32)
@@ -224,15 +233,23 @@ def _verified(pairs: DataFrame, blobs: DataFrame, common: float) -> DataFrame:
         return h, full
 
     def run(batches):
+        np.seterr(over="ignore")
         for b in batches:
             cols = b.columns
-            ok = [weighted_jaccard(*load(*(c[i] for c in cols[2:5])), *load(*(c[i] for c in cols[5:8]))) >= THRESHOLD for i in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays([cols[0], cols[1], pa.array(ok, pa.bool_())], names=["node", "lead", "ok"])
+            ok, apart, gap, total = [], [], [], []
+            for i in range(b.num_rows):
+                one, two = load(*(c[i] for c in cols[2:5])), load(*(c[i] for c in cols[5:8]))
+                ok.append(weighted_jaccard(*one, *two) >= THRESHOLD)
+                only = sh.mix(np.setxor1d(one[0], two[0]).astype(np.uint64))
+                apart.append(((only[None, :] * odd[:, None]) >> np.uint64(24)).min(axis=1).astype(np.int64).tolist() if len(only) else [])
+                gap.append(len(only))
+                total.append(len(one[0]) + len(two[0]))
+            yield pa.RecordBatch.from_arrays([cols[0], cols[1], pa.array(ok, pa.bool_()), pa.array(gap, pa.int64()), pa.array(total, pa.int64()), pa.array(apart, pa.list_(pa.int64()))], names=["node", "lead", "ok", "gap", "total", "apart"])
 
     mine = pairs.join(blobs, "node")
     theirs = blobs.select(F.col("node").alias("lead"), *(F.col(c).alias(f"{c}_l") for c in ("hashes", "at", "w")))
     both = mine.join(theirs, "lead").select("node", "lead", "hashes", "at", "w", "hashes_l", "at_l", "w_l")
-    return both.mapInArrow(run, "node long, lead long, ok boolean")
+    return both.mapInArrow(run, "node long, lead long, ok boolean, gap long, total long, apart array<long>")
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -257,30 +274,38 @@ def classes_of_texts(texts: DataFrame, copies: DataFrame) -> DataFrame:
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(keys.join(shared, "key"), "members")
     # what many near copies were made from shares the most bands with them, so it leads its bands
-    fame = members.groupBy("node").agg(F.sum("n").alias("fame"))
-    by_fame = Window.partitionBy("key").orderBy(F.desc("fame"), "node")
-    members = stored(members.join(fame, "node").withColumn("rank", F.row_number().over(by_fame)).select("key", "node", "rank", "n"), "ranks")
+    fame = stored(members.groupBy("node").agg(F.sum("n").alias("fame")), "fame")
+    rows = members.select("key", "node").join(fame, "node")
     involved = fame.select("node").join(copies, "node")
     found = texts.join(involved.select(F.col("node").alias("n2"), F.col("doc_id").alias("d2")).hint("shuffle_hash"), (F.col("node") == F.col("n2")) & F.col("doc_id").eqNullSafe(F.col("d2")))
     blobs = stored(_blobs(found.select("node", "text"), weights).dropDuplicates(["node"]), "blobs")
-    first, last, linked, checked = 1, 1, None, None
-    rows = members.withColumn("label", F.col("node"))
-    while True:
-        lead = rows.where(F.col("rank").between(first, last)).select("key", F.col("node").alias("lead"), F.col("rank").alias("lead_rank"), F.col("label").alias("lead_label"))
-        pairs = rows.join(lead, "key").where("rank > lead_rank and label <> lead_label").select("node", "lead").distinct()
-        if checked is not None:
-            pairs = pairs.join(checked.select("node", "lead"), ["node", "lead"], "left_anti")
-        new = stored(_verified(pairs, blobs, float(weights.common)), "checked")
-        checked = new if checked is None else checked.union(new)
-        linked = checked.where("ok").select(F.col("node").alias("a"), F.col("lead").alias("b"))
-        labels = components(linked)
-        # bands with members of two classes left go on to their next leaders
-        rows = members.where(F.col("n") > last + 1).join(labels, "node", "left").select("key", "node", "rank", "n", F.coalesce("label", "node").alias("label"))
-        split = rows.groupBy("key").agg((F.min("label") != F.max("label")).alias("split")).where("split").select("key")
-        rows = stored(rows.join(split, "key"), "split")
-        if rows.isEmpty():
-            return labels
-        first, last = last + 1, 4 * last
+    common = float(weights.common)
+    lead = rows.groupBy("key").agg(F.max_by("node", F.struct("fame", "node")).alias("lead"))
+    led = stored(rows.join(lead, "key").where("node <> lead").select("key", "node", "lead"), "led")
+    checked = stored(_verified(led.select("node", "lead").distinct(), blobs, common), "checked")
+    link = lambda df: df.where("ok").select(F.col("node").alias("a"), F.col("lead").alias("b"))
+    labels = components(link(checked))
+    named = led.join(labels, "node", "left").select("key", "node", "lead", F.coalesce("label", "node").alias("label"))
+    left = named.join(_split(named), "key", "left_semi").select("node", "lead", "label").distinct()
+    if left.isEmpty():
+        return labels
+    # a gap that differs by more than the two texts may differ rules a pair out
+    deltas = left.join(checked, ["node", "lead"]).select("node", "label", "lead", "gap", "total", F.posexplode("apart").alias("at", "least"))
+    deltas = deltas.select("node", "label", "gap", "total", F.xxhash64("lead", "at", "least").alias("key"))
+    deltas = stored(deltas.join(_split(deltas), "key", "left_semi"), "deltas")
+    main = deltas.groupBy("key").agg(F.mode("label").alias("main"))
+    few = deltas.join(main, "key").where("label <> main")
+    other = deltas.select("key", *(F.col(c).alias(f"{c}_o") for c in ("node", "label", "gap", "total")))
+    near = (F.abs(F.col("gap") - F.col("gap_o")) <= (F.col("total") + F.col("total_o")) * (SLACK / 2 * (1 - THRESHOLD) / (1 + THRESHOLD)))
+    pairs = few.join(other, (few["key"] == other["key"]) & (F.col("label") != F.col("label_o")) & ((F.col("label_o") == F.col("main")) | (F.col("node") < F.col("node_o"))) & near)
+    pairs = pairs.select("node", F.col("node_o").alias("lead")).distinct()
+    more = stored(_verified(pairs, blobs, common), "checked")
+    return components(link(checked).union(link(more)))
+
+
+def _split(rows: DataFrame) -> DataFrame:
+    """The keys whose rows have more than one label."""
+    return rows.groupBy("key").agg((F.min("label") != F.max("label")).alias("split")).where("split").select("key")
 
 
 def _noded(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
