@@ -290,14 +290,18 @@ def classes_of_texts(texts: DataFrame, copies: DataFrame) -> DataFrame:
     if left.isEmpty():
         return labels
     # a gap that differs by more than the two texts may differ rules a pair out
-    deltas = left.join(checked, ["node", "lead"]).select("node", "label", "lead", "gap", "total", F.posexplode("apart").alias("at", "least"))
-    deltas = deltas.select("node", "label", "gap", "total", F.xxhash64("lead", "at", "least").alias("key"))
+    leads = left.groupBy("node").agg(F.collect_set("lead").alias("leads"))  # BANDS at most
+    deltas = left.join(leads, "node").join(checked, ["node", "lead"]).select("node", "label", "lead", "leads", "gap", "total", "apart", F.posexplode("apart").alias("at", "least"))
+    deltas = deltas.select("node", "label", "lead", "leads", "gap", "total", "apart", "at", F.xxhash64("lead", "at", "least").alias("key"))
     deltas = stored(deltas.join(_split(deltas), "key", "left_semi"), "deltas")
     main = deltas.groupBy("key").agg(F.mode("label").alias("main"))
     few = deltas.join(main, "key").where("label <> main")
-    other = deltas.select("key", *(F.col(c).alias(f"{c}_o") for c in ("node", "label", "gap", "total")))
+    other = deltas.select("key", *(F.col(c).alias(f"{c}_o") for c in ("node", "label", "leads", "gap", "total", "apart")))
     near = (F.abs(F.col("gap") - F.col("gap_o")) <= (F.col("total") + F.col("total_o")) * (SLACK / 2 * (1 - THRESHOLD) / (1 + THRESHOLD)))
-    pairs = few.join(other, (few["key"] == other["key"]) & (F.col("label") != F.col("label_o")) & ((F.col("label_o") == F.col("main")) | (F.col("node") < F.col("node_o"))) & near)
+    # a pair comes up under the first leader and in the first band that it shares, and not again under others
+    once = F.expr("forall(sequence(0, 11), i -> i >= at or get(apart, i) <> get(apart_o, i))".replace("11", str(DELTAS - 1)))
+    once = once & (F.array_min(F.array_intersect("leads", "leads_o")) == F.col("lead"))
+    pairs = few.join(other, (few["key"] == other["key"]) & once & (F.col("label") != F.col("label_o")) & ((F.col("label_o") == F.col("main")) | (F.col("node") < F.col("node_o"))) & near)
     pairs = pairs.select("node", F.col("node_o").alias("lead")).distinct()
     more = stored(_verified(pairs, blobs, common), "checked")
     return components(link(checked).union(link(more)))
