@@ -99,3 +99,13 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, 50), (50, 70)]
     got = {r.node: r.label for r in minhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(21)}, 50: 50, 70: 50, 100: 50}
+
+
+def test_a_pair_may_come_up_under_any_shared_leader(spark):
+    """Two texts whose difference hashes agree under the second leader alone, and by gap under one leader alone."""
+    apart = lambda seed, *same: [*same, *range(seed, seed + minhash.DELTAS - len(same))]
+    rows = [(10, 10, 1, 20, 400, apart(100)), (10, 10, 2, 20, 400, apart(200, 7)), (11, 11, 1, 20, 400, apart(300)), (11, 11, 2, 20, 400, apart(400, 7))]
+    rows += [(20, 20, 3, 20, 400, apart(500, 8)), (20, 20, 4, 20, 400, apart(600, 9)), (21, 21, 3, 350, 400, apart(700, 8)), (21, 21, 4, 20, 400, apart(800, 9))]
+    rows += [(30, 30, 5, 20, 400, apart(900)), (31, 31, 5, 20, 400, apart(1000))]
+    left = spark.createDataFrame(rows, "node long, label long, lead long, gap long, total long, apart array<long>")
+    assert {frozenset(r) for r in minhash._later_pairs(left).collect()} == {frozenset({10, 11}), frozenset({20, 21})}
