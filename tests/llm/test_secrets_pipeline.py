@@ -61,3 +61,10 @@ def test_pipeline(spark, tmp_path):
     clean = [*range(12), 15]
     assert ids[0] == [*range(14), 15] and ids[1] == ids[2] == clean and set(ids[3]) <= set(clean) and ids[4] == ids[3]
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, f"file://{tmp_path}").collect()) == ids[4]
+
+
+def test_weak_parts_of_two_kinds_link_each_other(spark):
+    url = "https://db.example/path"
+    got = scan(spark, [f"{BLOB} {url}", f"host db.internal\n{BLOB}", f"{BLOB}\n\n{url}", f"{BLOB} {'x ' * 300}{url}", f"{url} {url}", f"{BLOB} {BLOB}", f"{'a1' * 20} {BLOB} {url}"])
+    kinds = [[s.split(":")[0] for s in got[i].spans.split(",") if s] for i in range(7)]
+    assert kinds == [["key", "endpoint"], ["endpoint", "key"], [], [], [], [], ["hex", "key", "endpoint"]]

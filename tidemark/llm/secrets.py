@@ -3,8 +3,8 @@
 Parts found in a text are strong (an assignment, an access identifier, a long hexadecimal run)
 or weak (an unlabelled 40-character key, an endpoint). Strong parts always count. A weak part
 counts only if a complementary part stands in the same scope (a block between blank lines)
-within REACH characters: an access identifier for a key; an access identifier or an assignment
-for an endpoint. The interval join of weak parts with their anchors is a window over each
+within REACH characters: an access identifier or an endpoint for a key; an access identifier, an
+assignment or a key for an endpoint. The interval join of weak parts with their anchors is a window over each
 scope's parts in order, which looks at the nearest anchor on either side, so it is linear in
 the number of parts.
 
@@ -34,6 +34,8 @@ LONG_HEX = re.compile(r"[0-9a-f]{32,}")
 LONG_ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 KEY = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])")
 ENDPOINT = re.compile(r"""(?a)\b(?:https?|ftp|ssh|mysql|postgres(?:ql)?|mongodb|redis|amqp)://[^\s"'<>]{4,}|\b[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.(?:amazonaws\.com|internal|local)(?::\d{2,5})?\b""")
+#: Each endpoint holds one of these.
+HINTS = ("://", ".amazonaws.com", ".internal", ".local")
 BLANK_LINE = re.compile(r"\n[\x20\t\r]*\n")
 
 
@@ -43,10 +45,11 @@ def parts(text: str) -> list[tuple[int, str, int, int]]:
     found += [(m.start(), "access", m.end()) for m in LONG_ACCESS.finditer(text)]
     found += [(m.start(), "hex", m.end()) for m in LONG_HEX.finditer(text)]
     anchors = any(k != "hex" for _, k, _ in found)
-    if anchors:  # a weak part counts only beside an anchor
+    endpoints = [(m.start(), "endpoint", m.end()) for m in ENDPOINT.finditer(text)] if any(x in text for x in HINTS) else []
+    if anchors or endpoints:  # a weak part counts only beside an anchor or the other weak kind
         strong = sorted(found)
         taken, at = [(s, e) for s, _, e in strong], 0
-        weak = sorted([(m.start(), "key", m.end()) for m in KEY.finditer(text) if _mixed(m[0])] + [(m.start(), "endpoint", m.end()) for m in ENDPOINT.finditer(text)])
+        weak = sorted([(m.start(), "key", m.end()) for m in KEY.finditer(text) if _mixed(m[0])] + endpoints)
         reach = -1
         for s, k, e in weak:
             while at < len(taken) and taken[at][0] <= s:
@@ -57,7 +60,7 @@ def parts(text: str) -> list[tuple[int, str, int, int]]:
     if not found:
         return []
     found.sort(key=lambda x: (x[0], KINDS.index(x[1])))
-    breaks = [m.end() for m in BLANK_LINE.finditer(text)] if anchors else []
+    breaks = [m.end() for m in BLANK_LINE.finditer(text)] if anchors or endpoints else []
     out, scope = [], 0
     for s, k, e in found:
         while scope < len(breaks) and breaks[scope] <= s:
@@ -84,16 +87,16 @@ def linked(rows: DataFrame) -> DataFrame:
     """rows(uid, ..., start, kind, end, scope) without the weak parts that no complementary part is near."""
     near = Window.partitionBy("uid", "scope").orderBy("start", "kind", "end")
     back, ahead = near.rowsBetween(Window.unboundedPreceding, -1), near.rowsBetween(1, Window.unboundedFollowing)
-    access, anchor = F.col("kind") == "access", F.col("kind").isin("access", "assign")
+    for_key, for_endpoint = F.col("kind").isin("access", "endpoint"), F.col("kind").isin("access", "assign", "key")
 
     def close(test):
         before = F.max(F.when(test, F.col("end"))).over(back)
         after = F.min(F.when(test, F.col("start"))).over(ahead)
         return F.coalesce(F.col("start") - before <= REACH, F.lit(False)) | F.coalesce(after - F.col("end") <= REACH, F.lit(False))
 
-    flagged = rows.withColumns({"_access": close(access), "_anchor": close(anchor)})
-    ok = F.col("kind").isNull() | F.col("kind").isin(*STRONG) | ((F.col("kind") == "key") & F.col("_access")) | ((F.col("kind") == "endpoint") & F.col("_anchor"))
-    return flagged.withColumn("kind", F.when(ok, F.col("kind"))).drop("_access", "_anchor")
+    flagged = rows.withColumns({"_for_key": close(for_key), "_for_endpoint": close(for_endpoint)})
+    ok = F.col("kind").isNull() | F.col("kind").isin(*STRONG) | ((F.col("kind") == "key") & F.col("_for_key")) | ((F.col("kind") == "endpoint") & F.col("_for_endpoint"))
+    return flagged.withColumn("kind", F.when(ok, F.col("kind"))).drop("_for_key", "_for_endpoint")
 
 
 def _order(kind):
