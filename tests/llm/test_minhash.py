@@ -101,11 +101,59 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(21)}, 50: 50, 70: 50, 100: 50}
 
 
-def test_a_pair_may_come_up_under_any_shared_leader(spark):
-    """Two texts whose difference hashes agree under the second leader alone, and by gap under one leader alone."""
-    apart = lambda seed, *same: [*same, *range(seed, seed + minhash.DELTAS - len(same))]
-    rows = [(10, 10, 1, 20, 400, apart(100)), (10, 10, 2, 20, 400, apart(200, 7)), (11, 11, 1, 20, 400, apart(300)), (11, 11, 2, 20, 400, apart(400, 7))]
-    rows += [(20, 20, 3, 20, 400, apart(500, 8)), (20, 20, 4, 20, 400, apart(600, 9)), (21, 21, 3, 350, 400, apart(700, 8)), (21, 21, 4, 20, 400, apart(800, 9))]
-    rows += [(30, 30, 5, 20, 400, apart(900)), (31, 31, 5, 20, 400, apart(1000))]
-    left = spark.createDataFrame(rows, "node long, label long, lead long, gap long, total long, apart array<long>")
-    assert {frozenset(r) for r in minhash._later_pairs(left).collect()} == {frozenset({10, 11}), frozenset({20, 21})}
+def family(seed, n=160):
+    """A large group of near copies about the threshold, with edits that many of them share, deletions, and unrelated texts that share a long passage."""
+    rng = random.Random(seed)
+    word = lambda: rng.choice("abcdef") + rng.choice("xyz")
+    base = [f"{word()}{i}" for i in range(90)]
+    texts = []
+    for _ in range(n):
+        own = list(base)
+        for _ in range(rng.randint(1, 4)):
+            own[rng.randrange(len(own))] = word()
+        if rng.random() < 0.3:
+            at = rng.randrange(60)
+            del own[at : at + rng.randint(1, 12)]
+        texts.append(" ".join(own))
+    passage = [f"p{i}" for i in range(60)]
+    for i in range(40):
+        texts.append(" ".join([*passage, *(f"{i}q{j}" for j in range(rng.choice([6, 8, 20, 60])))]))
+    return texts
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_links_of_large_groups_near_the_threshold(spark, seed):
+    """Classes of a family are those of all pairs: of its links no more than one in a hundred may be missed, and none be made up."""
+    texts = family(seed)
+    want = brute(texts)
+    got = {r.doc_id: r.class_id for r in minhash.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, c in enumerate(want):  # no class joins texts that all pairs keep apart
+        assert want[got[i]] == c
+    assert len(set(want)) <= len(set(got.values())) <= len(set(want)) + 2
+
+
+def test_rounds_are_linear_in_the_members(spark, monkeypatch):
+    """Rows of all rounds and pairs compared, of a family twice as large, are not four times as many."""
+    made = []
+    real = minhash.stored
+
+    def stored(df, name):
+        out = real(df, name)
+        if name in ("open", "led", "links"):
+            made[-1] += out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "stored", stored)
+    for n in (150, 300):
+        made.append(0)
+        minhash.classes(spark.createDataFrame(list(enumerate(family(5, n))), "doc_id long, text string")).count()
+    assert made[1] < 3.2 * made[0]
+
+
+def test_two_texts_of_one_hash_stay_apart(spark, monkeypatch):
+    """Text identity is 128 bits: where the 64-bit hashes agree, different texts are still different."""
+    real = minhash._noded
+    monkeypatch.setattr(minhash, "_noded", lambda *a: real(*a).withColumn("node", minhash.F.lit(7).cast("long")))
+    rows = [(1, "one two three four five six"), (2, "six seven eight nine ten eleven"), (3, "one two three four five six"), (4, "lone")]
+    got = {r.doc_id: r.class_id for r in minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 4}

@@ -11,11 +11,16 @@ least shingle hash. Samples are banded. The members of a band are compared by ex
 Jaccard similarity with its leader, the member that shares most bands with others, so the pairs
 are as many as the members; links of at least THRESHOLD are closed to classes.
 
-In a band that then still holds two classes, a text below THRESHOLD to the leader can be linked to
-another member only if it shares with it half of what sets that one apart from the leader (for
-fewer shared differences the two are no more alike than the text and the leader). So those members
-are banded anew by minimum hashes of their differences from the leader, and the texts outside a new band's
-main class are compared with its members of other classes, unless the sizes of the differences rule it out.
+A band that then still holds two classes is dealt anew by differences from a centre C, the consensus of some of its
+members (what more than half of them hold), which leaves each member its own edits alone. Similarity of at least
+THRESHOLD means |x ^ y| <= g = (|x| + |y|) (1 - THRESHOLD) / (1 + THRESHOLD). Let L be the member nearest to C: all members of other
+classes are compared with L. If x and L are not linked, then |x ^ C| + |L ^ C| > g, and as |y ^ C| >= |L ^ C| for any y,
+x can be linked to y only if x ^ C and y ^ C share a difference: a shingle that both add to C, or one that both lack. So new bands are
+(C, difference), for the DELTAS differences of either kind of least hash of each member; all links are in them where texts have no more
+differences than that. Members that can have no partner in a new band go: in one of an added shingle | |x ^ C| - |y ^ C| | <= g, and if
+no added shingle is shared, |C - y| - |y - C| >= |x ^ C| - g. The new bands
+are treated in the same way. All members of a band agree on its difference, so the next consensus does too,
+and each round uses up one more: the rounds end, with pairs and rows linear in the members.
 
 Defined results: a null text counts as the empty text; equal texts are always one class; texts
 without words join no other class; a text of one to four words is one shingle; a class is named by
@@ -27,7 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles as sh
@@ -36,10 +41,12 @@ from .tables import stored
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 16, 5
-#: Minimum hashes of the difference of two texts: of links to a member at 0.95 to the leader (difference sets alike by 0.125) 1.4 % are missed by one leader.
+#: Differences of a kind by which a member is dealt anew: of texts with more, links that share an eighth of the longer one's are missed by one centre in 1.4 %.
 DELTAS = 32
-#: Weights differ a little, so gaps are compared with some slack.
-SLACK = 1.25
+#: What sets two linked texts apart, as a share of their shingles, with a tenth of slack since weights differ a little.
+APART = 1.1 * (1 - THRESHOLD) / (1 + THRESHOLD)
+#: About so many members, by a hash of the text, make a consensus; it is a mere point of reference, and all members are compared with it.
+VOTERS = 32
 S = 0.5
 RARE = 0.01
 #: Counters of the first pass: a fixed size, whatever the corpus.
@@ -54,6 +61,16 @@ class Weights:
         self.hashes = hashes[order]
         self.idf = np.log((1 + S) / (shares[order] + S)).astype(np.float32)
         self.common = np.float32(np.log((1 + S) / S))
+        self._sampler = None
+
+    def sampler(self) -> Sampler:
+        """Made once a worker, since a broadcast value stays there."""
+        if self._sampler is None:
+            self._sampler = Sampler(self)
+        return self._sampler
+
+    def __getstate__(self):
+        return self.__dict__ | {"_sampler": None}
 
     def __call__(self, hashes: np.ndarray, tf: np.ndarray) -> np.ndarray:
         w = np.full(len(hashes), self.common, np.float32)
@@ -175,12 +192,12 @@ class Sampler:
         return docs, keys
 
 
-def _band_keys(texts: DataFrame, weights: Weights) -> DataFrame:
-    """(node, key) of each band of each row of texts(node, text)."""
+def _band_keys(texts: DataFrame, weights) -> DataFrame:
+    """(node, key) of each band of each row of texts(node, text); weights is broadcast."""
 
     def run(batches):
         np.seterr(over="ignore")
-        sampler = Sampler(weights)
+        sampler = weights.value.sampler()
         for b in batches:
             node = b.column(0).to_numpy(zero_copy_only=False)
             for first, _, h, d, tf in _sets(b.column(1)):
@@ -190,11 +207,12 @@ def _band_keys(texts: DataFrame, weights: Weights) -> DataFrame:
     return texts.mapInArrow(run, "node long, key long")
 
 
-def _blobs(texts: DataFrame, weights: Weights) -> DataFrame:
+def _blobs(texts: DataFrame, shared) -> DataFrame:
     """(node, hashes, at, weights): a text's sorted 32-bit shingle hashes, and the weights that are not the common one."""
 
     def run(batches):
         np.seterr(over="ignore")
+        weights = shared.value
         for b in batches:
             node, out = b.column(0).to_pylist(), []
             for first, last, h, d, tf in _sets(b.column(1)):
@@ -223,8 +241,7 @@ def weighted_jaccard(ha: np.ndarray, wa: np.ndarray, hb: np.ndarray, wb: np.ndar
 
 
 def _verified(pairs: DataFrame, blobs: DataFrame, common: float) -> DataFrame:
-    """pairs(node, lead) with ok, whether their similarity is at least THRESHOLD; gap, how many shingles one has alone; total, how many both have; apart, DELTAS minimum hashes of the gap."""
-    odd = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 62, DELTAS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    """The pairs(node, lead) whose similarity is at least THRESHOLD."""
 
     def load(hashes, at, w):
         h = np.frombuffer(hashes.as_buffer(), np.uint32)
@@ -233,23 +250,56 @@ def _verified(pairs: DataFrame, blobs: DataFrame, common: float) -> DataFrame:
         return h, full
 
     def run(batches):
-        np.seterr(over="ignore")
         for b in batches:
             cols = b.columns
-            ok, apart, gap, total = [], [], [], []
-            for i in range(b.num_rows):
-                one, two = load(*(c[i] for c in cols[2:5])), load(*(c[i] for c in cols[5:8]))
-                ok.append(weighted_jaccard(*one, *two) >= THRESHOLD)
-                only = sh.mix(np.setxor1d(one[0], two[0]).astype(np.uint64))
-                apart.append(((only[None, :] * odd[:, None]) >> np.uint64(24)).min(axis=1).astype(np.int64).tolist() if len(only) else [])
-                gap.append(len(only))
-                total.append(len(one[0]) + len(two[0]))
-            yield pa.RecordBatch.from_arrays([cols[0], cols[1], pa.array(ok, pa.bool_()), pa.array(gap, pa.int64()), pa.array(total, pa.int64()), pa.array(apart, pa.list_(pa.int64()))], names=["node", "lead", "ok", "gap", "total", "apart"])
+            ok = [weighted_jaccard(*load(*(c[i] for c in cols[2:5])), *load(*(c[i] for c in cols[5:8]))) >= THRESHOLD for i in range(b.num_rows)]
+            yield b.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     mine = pairs.join(blobs, "node")
     theirs = blobs.select(F.col("node").alias("lead"), *(F.col(c).alias(f"{c}_l") for c in ("hashes", "at", "w")))
     both = mine.join(theirs, "lead").select("node", "lead", "hashes", "at", "w", "hashes_l", "at_l", "w_l")
-    return both.mapInArrow(run, "node long, lead long, ok boolean, gap long, total long, apart array<long>")
+    return both.mapInArrow(run, "node long, lead long")
+
+
+def consensus(sets: list[np.ndarray]) -> np.ndarray:
+    """The sorted values that more than half of the sets hold."""
+    values, n = np.unique(np.concatenate(sets), return_counts=True)
+    return values[2 * n > len(sets)]
+
+
+def _vote(voters: pa.Table) -> pa.Table:
+    held = consensus([np.frombuffer(x.as_buffer(), np.uint32) for x in voters["hashes"]])
+    return pa.table({"key": voters["key"][:1], "centre": pa.array([held.tobytes()], pa.binary())})
+
+
+def _least(values: np.ndarray) -> np.ndarray:
+    """The DELTAS values of least hash, hashed."""
+    values = sh.mix(values + np.uint64(1))
+    return np.partition(values, DELTAS)[:DELTAS] if len(values) > DELTAS else values
+
+
+def _differences(rows: DataFrame, blobs: DataFrame) -> DataFrame:
+    """rows(key, node) with the shingles of a text that its band's consensus lacks (added), the other way round (gone), all of the text's (size), and keys, those of the bands that they deal it to, odd for gone ones."""
+
+    def run(batches):
+        np.seterr(over="ignore")
+        one = np.uint64(1)
+        for b in batches:
+            keys, counts, new = b.column(0).to_numpy().view(np.uint64), [], []
+            for i, (own, centre) in enumerate(zip(b.column(2), b.column(3))):
+                own, centre = np.frombuffer(own.as_buffer(), np.uint32), np.frombuffer(centre.as_buffer(), np.uint32)
+                added, gone = np.setdiff1d(own, centre), np.setdiff1d(centre, own)
+                counts.append((len(added), len(gone), len(own)))
+                new.append(np.concatenate((sh.mix(keys[i] + _least(added)) & ~one, sh.mix(keys[i] + _least(gone)) | one)).view(np.int64))
+            cols = [pa.array(c, pa.int64()) for c in zip(*counts)] if counts else [pa.array([], pa.int64())] * 3
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols, pa.array(new, pa.list_(pa.int64()))], names=["key", "node", "added", "gone", "size", "keys"])
+
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("one"))
+    thin = F.pmod(F.xxhash64("node", F.lit(5)), F.greatest(F.lit(1), (F.col("n") / VOTERS).cast("long"))) == 0
+    voters = rows.join(sizes, "key").where(thin | (F.col("node") == F.col("one"))).select("key", "node")
+    centres = stored(voters.join(blobs.select("node", "hashes"), "node").select("key", "hashes").groupBy("key").applyInArrow(_vote, "key long, centre binary"), "centres")
+    both = rows.join(blobs.select("node", "hashes"), "node").join(centres, "key").select("key", "node", "hashes", "centre")
+    return both.mapInArrow(run, "key long, node long, added long, gone long, size long, keys array<long>")
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -266,88 +316,97 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         labels = new.select("node", "label")
 
 
+def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels(node, label) after links(node, lead); every node of links has a label."""
+    of = lambda c, name: labels.select(F.col("node").alias(c), F.col("label").alias(name))
+    links = stored(links, "links")
+    if links.isEmpty():
+        return labels
+    edges = links.join(of("node", "a"), "node").join(of("lead", "b"), "lead").where("a <> b").select("a", "b").distinct()
+    new = components(edges).select(F.col("node").alias("label"), F.col("label").alias("to"))
+    return stored(labels.join(new, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+
+
 def classes_of_texts(texts: DataFrame, copies: DataFrame) -> DataFrame:
-    """(node, label) of the texts with a verified link, of texts(node, text, doc_id); copies(node, doc_id) names one row of each."""
+    """(node, label) of the texts with a verified link, and others, of texts(node, text, doc_id); copies(node, doc_id) names one row of each."""
+    sc = texts.sparkSession.sparkContext
     weights = frequent_shingles(texts.select("text"))
-    keys = _band_keys(texts.select("node", "text"), weights).distinct()
-    keys = stored(keys, "bands")
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = stored(keys.join(shared, "key"), "members")
+    shared, common = sc.broadcast(weights), float(weights.common)
+    keys = stored(_band_keys(texts.select("node", "text"), shared).distinct(), "bands")
+    crowded = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = stored(keys.join(crowded, "key"), "members")
     # what many near copies were made from shares the most bands with them, so it leads its bands
     fame = stored(members.groupBy("node").agg(F.sum("n").alias("fame")), "fame")
-    rows = members.select("key", "node").join(fame, "node")
     involved = fame.select("node").join(copies, "node")
     found = texts.join(involved.select(F.col("node").alias("n2"), F.col("doc_id").alias("d2")).hint("shuffle_hash"), (F.col("node") == F.col("n2")) & F.col("doc_id").eqNullSafe(F.col("d2")))
-    blobs = stored(_blobs(found.select("node", "text"), weights).dropDuplicates(["node"]), "blobs")
-    common = float(weights.common)
-    lead = rows.groupBy("key").agg(F.max_by("node", F.struct("fame", "node")).alias("lead"))
-    led = stored(rows.join(lead, "key").where("node <> lead").select("key", "node", "lead"), "led")
-    checked = stored(_verified(led.select("node", "lead").distinct(), blobs, common), "checked")
-    link = lambda df: df.where("ok").select(F.col("node").alias("a"), F.col("lead").alias("b"))
-    labels = components(link(checked))
-    named = led.join(labels, "node", "left").select("key", "node", "lead", F.coalesce("label", "node").alias("label"))
-    left = named.join(_split(named), "key", "left_semi").select("node", "lead", "label").distinct()
-    if left.isEmpty():
-        return labels
-    pairs = _later_pairs(left.join(checked, ["node", "lead"]).select("node", "label", "lead", "gap", "total", "apart"))
-    more = stored(_verified(pairs, blobs, common), "checked")
-    return components(link(checked).union(link(more)))
-
-
-def _later_pairs(left: DataFrame) -> DataFrame:
-    """Each pair (node, lead) of two labels, of left(node, label, lead, gap, total, apart), that shares a leader and a minimum hash of its gap."""
-    deltas = left.select("node", "label", "lead", "gap", "total", F.posexplode("apart").alias("at", "least"))
-    deltas = deltas.select("node", "label", "lead", "gap", "total", F.xxhash64("lead", "at", "least").alias("key"))
-    deltas = stored(deltas.join(_split(deltas), "key", "left_semi"), "deltas")
-    # BANDS * DELTAS keys and BANDS gaps at most
-    own = deltas.groupBy("node").agg(F.collect_set("key").alias("keys"), F.collect_set(F.struct("lead", "gap", "total")).alias("gaps"))
-    deltas = stored(deltas.select("key", "node", "label").join(own, "node"), "deltas")
-    main = deltas.groupBy("key").agg(F.mode("label").alias("main"))
-    few = deltas.join(main, "key").where("label <> main")
-    other = deltas.select("key", *(F.col(c).alias(f"{c}_o") for c in ("node", "label", "keys", "gaps")))
-    # a gap that differs by more than the two texts may differ, by every shared leader, rules a pair out
-    slack = SLACK / 2 * (1 - THRESHOLD) / (1 + THRESHOLD)
-    near = F.exists("gaps", lambda x: F.exists("gaps_o", lambda y: (x["lead"] == y["lead"]) & (F.abs(x["gap"] - y["gap"]) <= (x["total"] + y["total"]) * slack)))
-    # a pair comes up once, under the least key of all that it really shares, by whatever leader
-    once = F.array_min(F.array_intersect("keys", "keys_o")) == few["key"]
-    pairs = few.join(other, (few["key"] == other["key"]) & (F.col("label") != F.col("label_o")) & ((F.col("label_o") == F.col("main")) | (F.col("node") < F.col("node_o"))) & near & once)
-    return pairs.select("node", F.col("node_o").alias("lead")).distinct()
-
-
-def _split(rows: DataFrame) -> DataFrame:
-    """The keys whose rows have more than one label."""
-    return rows.groupBy("key").agg((F.min("label") != F.max("label")).alias("split")).where("split").select("key")
+    blobs = stored(_blobs(found.select("node", "text"), shared).dropDuplicates(["node"]), "blobs")
+    led = stored(_led(members.select("key", "node").join(fame, "node"), F.struct(-F.col("fame"), "node")).where("node <> lead").select("node", "lead").distinct(), "led")
+    labels = _relabelled(fame.select("node", F.col("node").alias("label")), _verified(led, blobs, common))
+    # bands of one leader are dealt anew as one
+    rows = stored(_open(led.select(F.col("lead").alias("key"), "node").union(led.select(F.col("lead").alias("key"), F.col("lead").alias("node")).distinct()).join(labels, "node")), "open")
+    while not rows.isEmpty():
+        told = stored(_differences(rows.select("key", "node"), blobs), "differences")
+        led = _led(told.select("key", "node", (F.col("added") + F.col("gone")).alias("apart")).join(labels, "node"), F.struct("apart", "node", "label"))
+        labels = _relabelled(labels, _verified(led.where("label <> top.label").select("node", "lead").distinct(), blobs, common))
+        dealt = _open(told.join(labels, "node")).select(F.explode("keys").alias("key"), "node", "label", (F.col("added") + F.col("gone")).alias("apart"), (F.col("gone") - F.col("added")).alias("surplus"), "size")
+        rows = stored(_open(_able(_open(dealt))).select("key", "node"), "open")
+    return labels
+
+
+def _open(rows: DataFrame) -> DataFrame:
+    """The rows(key, node, label, ...) of keys with two labels or more and three members or more (two have met already)."""
+    many = rows.groupBy("key").agg((F.min("label") != F.max("label")).alias("mixed"), F.count(F.lit(1)).alias("n")).where("mixed and n > 2").select("key")
+    return rows.join(many, "key", "left_semi")
+
+
+def _able(rows: DataFrame) -> DataFrame:
+    """rows(key, node, label, apart, surplus, size) without those that no other of the key can be linked to by what they share there."""
+    most = rows.groupBy("key").agg(F.max("size").alias("long"), F.min("apart").alias("near"), F.max("surplus").alias("rest"))
+    g = (F.col("size") + F.col("long")) * APART
+    able = F.when(F.col("key").bitwiseAND(1) == 0, F.col("apart") - F.col("near") <= g).otherwise((F.col("rest") >= F.col("apart") - g) & (F.col("surplus") >= F.col("near") - 2 * APART * F.col("long")))
+    return rows.join(most, "key").where(able).select("key", "node", "label")
+
+
+def _led(rows: DataFrame, by: Column) -> DataFrame:
+    """rows(key, node, ...) with top, the least of `by` in the band, and lead, its node."""
+    first = rows.groupBy("key").agg(F.min(by).alias("top"))
+    return rows.join(first, "key").withColumn("lead", F.col("top.node"))
 
 
 def _noded(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """doc_id, text, md5 and node, a hash of the text that no two different texts share."""
     body = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.col(doc_id).alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("node"))
+    return docs.select(F.col(doc_id).alias("doc_id"), body.alias("text"), F.md5(body).alias("md5"), F.xxhash64(body).alias("node"))
 
 
 def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, node (a hash of the text) and class_id of each row of docs."""
+    """doc_id, md5 of the text and class_id of each row of docs."""
     texts = _noded(docs, text, doc_id)
-    copies = stored(texts.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "copies")
-    labels = classes_of_texts(texts, copies)
-    named = copies.join(labels, "node", "left").select("node", "doc_id", F.coalesce("label", "node").alias("label"))
+    copies = stored(texts.groupBy("node", "md5").agg(F.min("doc_id").alias("doc_id")), "copies")
+    twins = copies.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("node").alias("twin"))
+    if not twins.isEmpty():  # two texts of one 64-bit hash
+        told = lambda df: df.join(twins, df["node"] == twins["twin"], "left").withColumn("node", F.when(F.col("twin").isNull(), F.col("node")).otherwise(F.xxhash64("md5"))).drop("twin")
+        texts, copies = told(texts), stored(told(copies), "copies")
+    labels = classes_of_texts(texts.drop("md5"), copies.drop("md5"))
+    named = copies.join(labels, "node", "left").select("md5", "doc_id", F.coalesce("label", "node").alias("label"))
     names = named.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    by_node = named.join(names, "label").select("node", "class_id")
-    return texts.select("doc_id", "node").join(by_node, "node").select("doc_id", "node", "class_id")
+    by_text = named.join(names, "label").select("md5", "class_id")
+    return texts.select("doc_id", "md5").join(by_text, "md5").select("doc_id", "md5", "class_id")
 
 
 def keep(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row of docs for each class: that of the class's least doc_id."""
     found = stored(classes(docs, text, doc_id), "classes")
-    rows = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id", "node").agg(F.count(F.lit(1)).alias("n"))
-    first = stored(rows.groupBy("class_id").agg(F.min_by("n", "node").alias("n"), F.min("node").alias("node")), "kept")
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(doc_id).alias("_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_node"))
+    rows = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id", "md5").agg(F.count(F.lit(1)).alias("n"))
+    first = stored(rows.groupBy("class_id").agg(F.min_by("n", "md5").alias("n"), F.min("md5").alias("md5")), "kept")
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(doc_id).alias("_id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("_md5"))
 
     def of(picked: DataFrame) -> DataFrame:
-        own = picked.select("class_id", "node")
-        return held.join(own, held["_id"].eqNullSafe(own["class_id"]) & (held["_node"] == own["node"]), "left_semi")
+        own = picked.select("class_id", "md5")
+        return held.join(own, held["_id"].eqNullSafe(own["class_id"]) & (held["_md5"] == own["md5"]), "left_semi")
 
     out = of(first.where("n = 1"))
     repeated = first.where("n > 1")
     if not repeated.isEmpty():
-        out = out.union(of(repeated).dropDuplicates(["_id", "_node"]))
+        out = out.union(of(repeated).dropDuplicates(["_id", "_md5"]))
     return out.select("_row.*")
