@@ -19,7 +19,7 @@ x can be linked to y only if x ^ C and y ^ C share a difference: a shingle that
 (C, difference), for the DELTAS differences of either kind of least hash of each member; all links are in them where texts have no more
 differences than that. Members that can have no partner in a new band go: in one of an added shingle | |x ^ C| - |y ^ C| | <= g, and if
 no added shingle is shared, |C - y| - |y - C| >= |x ^ C| - g. The new bands
-are treated in the same way. All members of a band agree on its difference, so the next consensus does too,
+are treated in the same way; one of FEW members at most is compared whole and ends there. All members of a band agree on its difference, so the next consensus does too,
 and each round uses up one more: the rounds end, with pairs and rows linear in the members.
 
 Defined results: a null text counts as the empty text; equal texts are always one class; texts
@@ -45,6 +45,8 @@ BANDS, ROWS = 16, 5
 DELTAS = 32
 #: What sets two linked texts apart, as a share of their shingles, with a tenth of slack since weights differ a little.
 APART = 1.1 * (1 - THRESHOLD) / (1 + THRESHOLD)
+#: Members of different classes in a band of up to so many are compared with each other; larger ones have a leader.
+FEW = 12
 #: About so many members, by a hash of the text, make a consensus; it is a mere point of reference, and all members are compared with it.
 VOTERS = 32
 S = 0.5
@@ -343,25 +345,33 @@ def classes_of_texts(texts: DataFrame, copies: DataFrame) -> DataFrame:
     led = stored(_led(members.select("key", "node").join(fame, "node"), F.struct(-F.col("fame"), "node")).where("node <> lead").select("node", "lead").distinct(), "led")
     labels = _relabelled(fame.select("node", F.col("node").alias("label")), _verified(led, blobs, common))
     # bands of one leader are dealt anew as one
-    rows = stored(_open(led.select(F.col("lead").alias("key"), "node").union(led.select(F.col("lead").alias("key"), F.col("lead").alias("node")).distinct()).join(labels, "node")), "open")
+    rows = stored(_open(led.select(F.col("lead").alias("key"), "node").union(led.select(F.col("lead").alias("key"), F.col("lead").alias("node")).distinct()).join(labels, "node")).where("n > 2"), "open")
     while not rows.isEmpty():
-        told = stored(_differences(rows.select("key", "node"), blobs), "differences")
+        told = stored(_differences(rows.where(F.col("n") > FEW).select("key", "node"), blobs), "differences")
         led = _led(told.select("key", "node", (F.col("added") + F.col("gone")).alias("apart")).join(labels, "node"), F.struct("apart", "node", "label"))
-        labels = _relabelled(labels, _verified(led.where("label <> top.label").select("node", "lead").distinct(), blobs, common))
-        dealt = _open(told.join(labels, "node")).select(F.explode("keys").alias("key"), "node", "label", (F.col("added") + F.col("gone")).alias("apart"), (F.col("gone") - F.col("added")).alias("surplus"), "size")
-        rows = stored(_open(_able(_open(dealt))).select("key", "node"), "open")
+        pairs = led.where("label <> top.label").select("node", "lead").union(_met(rows.where(F.col("n") <= FEW))).distinct()
+        labels = _relabelled(labels, _verified(pairs, blobs, common))
+        dealt = told.join(labels, "node").select(F.explode("keys").alias("key"), "node", "label", (F.col("added") + F.col("gone")).alias("apart"), (F.col("gone") - F.col("added")).alias("surplus"), "size")
+        rows = stored(_open(_able(dealt)), "open")
     return labels
 
 
+def _met(rows: DataFrame) -> DataFrame:
+    """The pairs (node, lead) of different labels in keys of FEW rows at most."""
+    band = rows.groupBy("key").agg(F.collect_list(F.struct("node", "label")).alias("m"))
+    later = lambda x: F.transform(F.filter("m", lambda y: (y["node"] > x["node"]) & (y["label"] != x["label"])), lambda y: F.struct(y["node"].alias("node"), x["node"].alias("lead")))
+    return band.select(F.explode(F.flatten(F.transform("m", later))).alias("p")).select("p.node", "p.lead")
+
+
 def _open(rows: DataFrame) -> DataFrame:
-    """The rows(key, node, label, ...) of keys with two labels or more and three members or more (two have met already)."""
-    many = rows.groupBy("key").agg((F.min("label") != F.max("label")).alias("mixed"), F.count(F.lit(1)).alias("n")).where("mixed and n > 2").select("key")
-    return rows.join(many, "key", "left_semi")
+    """The rows(key, node, label) of keys with two labels or more, with n, the members."""
+    many = rows.groupBy("key").agg((F.min("label") != F.max("label")).alias("mixed"), F.count(F.lit(1)).alias("n")).where("mixed").select("key", "n")
+    return rows.join(many, "key").select("key", "node", "label", "n")
 
 
 def _able(rows: DataFrame) -> DataFrame:
     """rows(key, node, label, apart, surplus, size) without those that no other of the key can be linked to by what they share there."""
-    most = rows.groupBy("key").agg(F.max("size").alias("long"), F.min("apart").alias("near"), F.max("surplus").alias("rest"))
+    most = rows.groupBy("key").agg((F.min("label") != F.max("label")).alias("mixed"), F.max("size").alias("long"), F.min("apart").alias("near"), F.max("surplus").alias("rest")).where("mixed").drop("mixed")
     g = (F.col("size") + F.col("long")) * APART
     able = F.when(F.col("key").bitwiseAND(1) == 0, F.col("apart") - F.col("near") <= g).otherwise((F.col("rest") >= F.col("apart") - g) & (F.col("surplus") >= F.col("near") - 2 * APART * F.col("long")))
     return rows.join(most, "key").where(able).select("key", "node", "label")
