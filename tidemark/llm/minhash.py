@@ -12,15 +12,16 @@ Jaccard similarity with its leader, the member that shares most bands with other
 are as many as the members; links of at least THRESHOLD are closed to classes.
 
 A band that then still holds two classes is dealt anew by differences from a centre C, the consensus of some of its
-members (what more than half of them hold), which leaves each member its own edits alone. Similarity of at least
-THRESHOLD means |x ^ y| <= g = (|x| + |y|) (1 - THRESHOLD) / (1 + THRESHOLD). Let L be the member nearest to C: all members of other
-classes are compared with L. If x and L are not linked, then |x ^ C| + |L ^ C| > g, and as |y ^ C| >= |L ^ C| for any y,
-x can be linked to y only if x ^ C and y ^ C share a difference: a shingle that both add to C, or one that both lack. So new bands are
-(C, difference), for the DELTAS differences of either kind of least hash of each member; all links are in them where texts have no more
-differences than that. Members that can have no partner in a new band go: in one of an added shingle | |x ^ C| - |y ^ C| | <= g, and if
-no added shingle is shared, |C - y| - |y - C| >= |x ^ C| - g. The new bands
-are treated in the same way; one of FEW members at most is compared whole and ends there. All members of a band agree on its difference, so the next consensus does too,
-and each round uses up one more: the rounds end, with pairs and rows linear in the members.
+members (the median weight of each shingle), which leaves each member its own edits alone. With d the sum of absolute differences of
+weights, similarity of at least THRESHOLD is d(x, y) <= g, where g is (1 - THRESHOLD) / (1 + THRESHOLD) of the weight of both. Let L be the
+member nearest to C: all members of other classes are compared with L. If x and L are not linked, then d(x, C) + d(L, C) > g, and as
+d(y, C) >= d(L, C) for any y, x can be linked to y only if they share a difference: a shingle of which both have more than C, or
+both less. So new bands are (C, difference), for the DELTAS differences of either kind of least hash of each member; all links are in
+them where texts have no more differences than that. Members that can have no partner in a new band go: in one of more, those with
+|d(x, C) - d(y, C)| > g; in one of less, if nothing that C lacks is shared, those with R(y) - A(y) < R(x) + A(x) - g (A: the weight that C lacks, R: the
+weight that the text lacks). The new bands are treated in the same way; one of FEW members at most is compared whole and
+ends there. All members of a band lie on one side of C in its difference, so the next consensus is closer to them there: the rounds end,
+with pairs and rows linear in the members.
 
 Defined results: a null text counts as the empty text; equal texts are always one class; texts
 without words join no other class; a text of one to four words is one shingle; a class is named by
@@ -43,8 +44,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 16, 5
 #: Differences of a kind by which a member is dealt anew: of texts with more, links that share an eighth of the longer one's are missed by one centre in 1.4 %.
 DELTAS = 32
-#: What sets two linked texts apart, as a share of their shingles, with a tenth of slack since weights differ a little.
-APART = 1.1 * (1 - THRESHOLD) / (1 + THRESHOLD)
+#: What sets two linked texts apart at most, as a share of the weight of both.
+APART = (1 - THRESHOLD) / (1 + THRESHOLD)
 #: Members of different classes in a band of up to so many are compared with each other; larger ones have a leader.
 FEW = 12
 #: About so many members, by a hash of the text, make a consensus; it is a mere point of reference, and all members are compared with it.
@@ -242,19 +243,21 @@ def weighted_jaccard(ha: np.ndarray, wa: np.ndarray, hb: np.ndarray, wb: np.ndar
     return least / rest if rest > 0 else 0.0
 
 
+def _loaded(hashes, at, w, common: float) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and weights of a row of _blobs."""
+    h = np.frombuffer(hashes.as_buffer(), np.uint32)
+    full = np.full(len(h), common, np.float32)
+    full[np.frombuffer(at.as_buffer(), np.uint32)] = np.frombuffer(w.as_buffer(), np.float32)
+    return h, full
+
+
 def _verified(pairs: DataFrame, blobs: DataFrame, common: float) -> DataFrame:
     """The pairs(node, lead) whose similarity is at least THRESHOLD."""
 
-    def load(hashes, at, w):
-        h = np.frombuffer(hashes.as_buffer(), np.uint32)
-        full = np.full(len(h), common, np.float32)
-        full[np.frombuffer(at.as_buffer(), np.uint32)] = np.frombuffer(w.as_buffer(), np.float32)
-        return h, full
-
     def run(batches):
         for b in batches:
             cols = b.columns
-            ok = [weighted_jaccard(*load(*(c[i] for c in cols[2:5])), *load(*(c[i] for c in cols[5:8]))) >= THRESHOLD for i in range(b.num_rows)]
+            ok = [weighted_jaccard(*_loaded(*(c[i] for c in cols[2:5]), common), *_loaded(*(c[i] for c in cols[5:8]), common)) >= THRESHOLD for i in range(b.num_rows)]
             yield b.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     mine = pairs.join(blobs, "node")
@@ -263,45 +266,54 @@ def _verified(pairs: DataFrame, blobs: DataFrame, common: float) -> DataFrame:
     return both.mapInArrow(run, "node long, lead long")
 
 
-def consensus(sets: list[np.ndarray]) -> np.ndarray:
-    """The sorted values that more than half of the sets hold."""
-    values, n = np.unique(np.concatenate(sets), return_counts=True)
-    return values[2 * n > len(sets)]
-
-
-def _vote(voters: pa.Table) -> pa.Table:
-    held = consensus([np.frombuffer(x.as_buffer(), np.uint32) for x in voters["hashes"]])
-    return pa.table({"key": voters["key"][:1], "centre": pa.array([held.tobytes()], pa.binary())})
+def consensus(sets: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes and the lower median of their weights in the sets (0 where a set lacks them), where it is not 0."""
+    h, w = (np.concatenate([x[k] for x in sets]) for k in (0, 1))
+    order = np.lexsort((w, h))
+    values, first, held = np.unique(h[order], return_index=True, return_counts=True)
+    at = (len(sets) - 1) // 2 - (len(sets) - held)
+    return values[at >= 0], w[order][(first + at)[at >= 0]]
 
 
-def _least(values: np.ndarray) -> np.ndarray:
-    """The DELTAS values of least hash, hashed."""
-    values = sh.mix(values + np.uint64(1))
-    return np.partition(values, DELTAS)[:DELTAS] if len(values) > DELTAS else values
+def _differences(rows: DataFrame, blobs: DataFrame, common: float) -> DataFrame:
+    """rows(key, node) with a text's apart = d(x, C), reach = R + A and surplus = R - A from its band's consensus C, its size, and keys, those of the bands that differences deal it to, odd for those of less."""
 
+    def vote(voters: pa.Table) -> pa.Table:
+        h, w = consensus([_loaded(*(voters[c][i] for c in ("hashes", "at", "w")), common) for i in range(voters.num_rows)])
+        return pa.table({"key": voters["key"][:1], "ch": pa.array([h.tobytes()], pa.binary()), "cw": pa.array([w.tobytes()], pa.binary())})
 
-def _differences(rows: DataFrame, blobs: DataFrame) -> DataFrame:
-    """rows(key, node) with the shingles of a text that its band's consensus lacks (added), the other way round (gone), all of the text's (size), and keys, those of the bands that they deal it to, odd for gone ones."""
+    def least(values):
+        values = sh.mix(values + np.uint64(1))
+        return np.partition(values, DELTAS)[:DELTAS] if len(values) > DELTAS else values
 
     def run(batches):
         np.seterr(over="ignore")
         one = np.uint64(1)
         for b in batches:
             keys, counts, new = b.column(0).to_numpy().view(np.uint64), [], []
-            for i, (own, centre) in enumerate(zip(b.column(2), b.column(3))):
-                own, centre = np.frombuffer(own.as_buffer(), np.uint32), np.frombuffer(centre.as_buffer(), np.uint32)
-                added, gone = np.setdiff1d(own, centre), np.setdiff1d(centre, own)
-                counts.append((len(added), len(gone), len(own)))
-                new.append(np.concatenate((sh.mix(keys[i] + _least(added)) & ~one, sh.mix(keys[i] + _least(gone)) | one)).view(np.int64))
-            cols = [pa.array(c, pa.int64()) for c in zip(*counts)] if counts else [pa.array([], pa.int64())] * 3
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols, pa.array(new, pa.list_(pa.int64()))], names=["key", "node", "added", "gone", "size", "keys"])
+            for i in range(b.num_rows):
+                h, w = _loaded(*(b.column(c)[i] for c in (2, 3, 4)), common)
+                ch, cw = (np.frombuffer(b.column(c)[i].as_buffer(), t) for c, t in ((5, np.uint32), (6, np.float32)))
+                at = np.searchsorted(ch, h)
+                at[at == len(ch)] = 0
+                both = ch[at] == h if len(ch) else np.zeros(len(h), bool)
+                own = np.zeros(len(ch), np.float32)
+                own[at[both]] = w[both]
+                short = (cw - own).astype(np.float64)
+                more = ~both
+                more[both] = short[at[both]] < 0
+                lacks, rest = float(w[~both].sum(dtype=np.float64)), float(short.sum())
+                counts.append((lacks + float(np.abs(short).sum()), rest + lacks, rest - lacks, float(w.sum(dtype=np.float64))))
+                new.append(np.concatenate((sh.mix(keys[i] + least(h[more])) & ~one, sh.mix(keys[i] + least(ch[short > 0])) | one)).view(np.int64))
+            cols = [pa.array(c, pa.float64()) for c in zip(*counts)] if counts else [pa.array([], pa.float64())] * 4
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols, pa.array(new, pa.list_(pa.int64()))], names=["key", "node", "apart", "reach", "surplus", "size", "keys"])
 
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("one"))
     thin = F.pmod(F.xxhash64("node", F.lit(5)), F.greatest(F.lit(1), (F.col("n") / VOTERS).cast("long"))) == 0
     voters = rows.join(sizes, "key").where(thin | (F.col("node") == F.col("one"))).select("key", "node")
-    centres = stored(voters.join(blobs.select("node", "hashes"), "node").select("key", "hashes").groupBy("key").applyInArrow(_vote, "key long, centre binary"), "centres")
-    both = rows.join(blobs.select("node", "hashes"), "node").join(centres, "key").select("key", "node", "hashes", "centre")
-    return both.mapInArrow(run, "key long, node long, added long, gone long, size long, keys array<long>")
+    centres = stored(voters.join(blobs, "node").select("key", "hashes", "at", "w").groupBy("key").applyInArrow(vote, "key long, ch binary, cw binary"), "centres")
+    both = rows.join(blobs, "node").join(centres, "key").select("key", "node", "hashes", "at", "w", "ch", "cw")
+    return both.mapInArrow(run, "key long, node long, apart double, reach double, surplus double, size double, keys array<long>")
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -347,11 +359,11 @@ def classes_of_texts(texts: DataFrame, copies: DataFrame) -> DataFrame:
     # bands of one leader are dealt anew as one
     rows = stored(_open(led.select(F.col("lead").alias("key"), "node").union(led.select(F.col("lead").alias("key"), F.col("lead").alias("node")).distinct()).join(labels, "node")).where("n > 2"), "open")
     while not rows.isEmpty():
-        told = stored(_differences(rows.where(F.col("n") > FEW).select("key", "node"), blobs), "differences")
-        led = _led(told.select("key", "node", (F.col("added") + F.col("gone")).alias("apart")).join(labels, "node"), F.struct("apart", "node", "label"))
+        told = stored(_differences(rows.where(F.col("n") > FEW).select("key", "node"), blobs, common), "differences")
+        led = _led(told.select("key", "node", "apart").join(labels, "node"), F.struct("apart", "node", "label"))
         pairs = led.where("label <> top.label").select("node", "lead").union(_met(rows.where(F.col("n") <= FEW))).distinct()
         labels = _relabelled(labels, _verified(pairs, blobs, common))
-        dealt = told.join(labels, "node").select(F.explode("keys").alias("key"), "node", "label", (F.col("added") + F.col("gone")).alias("apart"), (F.col("gone") - F.col("added")).alias("surplus"), "size")
+        dealt = told.join(labels, "node").select(F.explode("keys").alias("key"), "node", "label", "apart", "reach", "surplus", "size")
         rows = stored(_open(_able(dealt)), "open")
     return labels
 
@@ -370,10 +382,10 @@ def _open(rows: DataFrame) -> DataFrame:
 
 
 def _able(rows: DataFrame) -> DataFrame:
-    """rows(key, node, label, apart, surplus, size) without those that no other of the key can be linked to by what they share there."""
-    most = rows.groupBy("key").agg((F.min("label") != F.max("label")).alias("mixed"), F.max("size").alias("long"), F.min("apart").alias("near"), F.max("surplus").alias("rest")).where("mixed").drop("mixed")
-    g = (F.col("size") + F.col("long")) * APART
-    able = F.when(F.col("key").bitwiseAND(1) == 0, F.col("apart") - F.col("near") <= g).otherwise((F.col("rest") >= F.col("apart") - g) & (F.col("surplus") >= F.col("near") - 2 * APART * F.col("long")))
+    """rows(key, node, label, apart, reach, surplus, size) without those that no other of the key can be linked to by what they share there."""
+    most = rows.groupBy("key").agg((F.min("label") != F.max("label")).alias("mixed"), *(f(c).alias(n) for f, c, n in ((F.max, "size", "long"), (F.min, "apart", "near"), (F.min, "reach", "low"), (F.max, "surplus", "rest")))).where("mixed").drop("mixed")
+    g = (F.col("size") + F.col("long")) * APART + 0.01  # sums are rounded
+    able = F.when(F.col("key").bitwiseAND(1) == 0, F.col("apart") - F.col("near") <= g).otherwise((F.col("rest") >= F.col("reach") - g) & (F.col("surplus") >= F.col("low") - 2 * APART * F.col("long") - 0.01))
     return rows.join(most, "key").where(able).select("key", "node", "label")
 
 
