@@ -47,7 +47,7 @@ DELTAS = 32
 #: What sets two linked texts apart at most, as a share of the weight of both.
 APART = (1 - THRESHOLD) / (1 + THRESHOLD)
 #: Members of different classes in a band of up to so many are compared with each other; larger ones have a leader.
-FEW = 12
+FEW = 32
 #: About so many members, by a hash of the text, make a consensus; it is a mere point of reference, and all members are compared with it.
 VOTERS = 32
 S = 0.5
@@ -363,7 +363,8 @@ def classes_of_texts(texts: DataFrame, copies: DataFrame) -> DataFrame:
         led = _led(told.select("key", "node", "apart").join(labels, "node"), F.struct("apart", "node", "label"))
         pairs = led.where("label <> top.label").select("node", "lead").union(_met(rows.where(F.col("n") <= FEW))).distinct()
         labels = _relabelled(labels, _verified(pairs, blobs, common))
-        dealt = told.join(labels, "node").select(F.explode("keys").alias("key"), "node", "label", "apart", "reach", "surplus", "size")
+        # a large band is dealt out by all tasks
+        dealt = told.repartition(F.col("node")).join(labels, "node").select(F.explode("keys").alias("key"), "node", "label", "apart", "reach", "surplus", "size")
         rows = stored(_open(_able(dealt)), "open")
     return labels
 
