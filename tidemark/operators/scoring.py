@@ -5,6 +5,7 @@ The double derives labels from a digest of the text. It is no model of sentiment
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 from typing import Protocol
 
@@ -41,8 +42,9 @@ class Scorer(Protocol):
     def answer(self, key: str, prompt: str) -> str: ...
 
 
-def score_batches(batches: DataFrame, scorer: Scorer, attempts: int = 3) -> DataFrame:
+def score_batches(batches: DataFrame, scorer: Scorer, attempts: int = 3, wait: float = 0.0, longest: float = 60.0) -> DataFrame:
     """key, answer and error of each batch. A partition shares one scorer; a batch that fails `attempts` times keeps its error.
+    Attempts are `wait` seconds apart, twice as long after each failure, `longest` at most.
 
     Write the result before anything else reads it: a scorer may answer differently if asked again.
     """
@@ -52,7 +54,9 @@ def score_batches(batches: DataFrame, scorer: Scorer, attempts: int = 3) -> Data
             rows = []
             for key, prompt in zip(f["key"], f["prompt"]):
                 error = None
-                for _ in range(attempts):
+                for n in range(attempts):
+                    if n and wait:
+                        time.sleep(min(wait * 2 ** (n - 1), longest))
                     try:
                         rows.append((key, scorer.answer(key, prompt), None))
                         break
@@ -99,3 +103,12 @@ def result_rows(parsed: DataFrame) -> DataFrame:
         "seq", "position", F.col("r.message_id").alias("message_id"), F.col("r.polarity").alias("polarity"), F.col("r.polarity_score").try_cast("double").alias("polarity_score"), F.array_join(feelings, ",").alias("emotions"),
         to_boolean(F.col("r.sarcasm")).alias("sarcasm"), F.col("r.toxicity").alias("toxicity"), F.col("r.directed_at").alias("directed_at"), F.col("r.confidence").try_cast("double").alias("confidence"), first_words(F.col("r.rationale")).alias("rationale"),
     )
+
+
+def complete(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """The rows(seq, message_id, ...) that their batch has asked for, asked(batch_id, message_id), of batches with an answer for each of its ids."""
+    ids = asked.select(F.col("batch_id").alias("seq"), F.col("message_id").cast("string").alias("message_id"))
+    own = rows.join(ids, ["seq", "message_id"], "left_semi")
+    size = ids.groupBy("seq").agg(F.count(F.lit(1)).alias("_asked"))
+    full = own.select("seq", "message_id").distinct().groupBy("seq").agg(F.count(F.lit(1)).alias("_got")).join(size, "seq").where("_got = _asked").select("seq")
+    return own.join(full, "seq", "left_semi")

@@ -33,30 +33,44 @@ def upserted(old: DataFrame, new: DataFrame, messages: DataFrame, now: str) -> D
     return old.join(known.select("message_id"), "message_id", "left_anti").select(*fresh.columns).unionByName(fresh)
 
 
+def guard(new: DataFrame, messages: DataFrame) -> DataFrame:
+    """One row: how many rows of new an upsert writes, and how many it skips for want of a message."""
+    known = messages.select(F.col("message_id").cast("long").alias("message_id")).distinct().withColumn("hit", F.lit(1))
+    return new.select(F.col("message_id").cast("long").alias("message_id")).join(known, "message_id", "left").agg(F.count("hit").alias("written"), F.count_if(F.col("hit").isNull()).alias("skipped"))
+
+
 def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def _commits(spark: SparkSession, base: str) -> list[str]:
+    """Names of the commit files, the latest first."""
+    fs, folder = _fs(spark, f"{base}/_commits")
+    return sorted((s.getPath().getName() for s in fs.listStatus(folder)), reverse=True) if fs.exists(folder) else []
+
+
 def read_current(spark: SparkSession, base: str) -> DataFrame | None:
-    """The version that the pointer names, or None."""
-    fs, pointer = _fs(spark, f"{base}/_current")
-    if not fs.exists(pointer):
-        return None
-    name = spark.read.text(f"{base}/_current").first()[0]
-    return spark.read.parquet(f"{base}/{name}")
+    """The version of the highest commit, or None. A commit without a name is one whose writer died; the one before it holds."""
+    for commit in _commits(spark, base):
+        named = spark.read.text(f"{base}/_commits/{commit}").first()
+        if named is not None and named[0].startswith("version-"):
+            return spark.read.parquet(f"{base}/{named[0]}")
+    return None
 
 
 def write_version(table: DataFrame, base: str) -> str:
-    """Writes a new version folder, then moves the pointer to it; readers see the old or the new version, never a part."""
+    """Writes a new version folder, then a numbered commit file that names it; nothing is ever deleted, so readers see the old or the new version.
+
+    The commit file is created if absent: of two writers that started from one version, the second fails and has changed nothing.
+    """
     spark, name = table.sparkSession, f"version-{uuid.uuid4().hex}"
+    number = int(next(iter(_commits(spark, base)), "0")) + 1
     table.write.parquet(f"{base}/{name}")
-    spark.createDataFrame([(name,)], "value string").coalesce(1).write.text(f"{base}/_next-{name}")
-    fs, pointer = _fs(spark, f"{base}/_current")
-    _, fresh = _fs(spark, f"{base}/_next-{name}")
-    if fs.exists(pointer):
-        fs.delete(pointer, True)
-    fs.rename(fresh, pointer)
+    fs, commit = _fs(spark, f"{base}/_commits/{number:012d}")
+    out = fs.create(commit, False)
+    out.write(bytearray(f"{name}\n".encode()))
+    out.close()
     return name
 
 
