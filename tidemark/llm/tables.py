@@ -31,8 +31,12 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not named:
+        import re
         import tempfile
 
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+
         named = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
         spark.conf.set("spark.checkpoint.dir", named)
     if sc._jsc.sc().getCheckpointDir().isEmpty():
