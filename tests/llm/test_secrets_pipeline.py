@@ -46,7 +46,7 @@ def test_pipeline(spark, tmp_path):
     stop = "the of and to in a is that it for".split()
     prose = lambda: " ".join(rng.choice(stop) if rng.random() < 0.4 else f"w{rng.randrange(10**6)}" for _ in range(120))
     good = [prose() for _ in range(12)]
-    rows = [(i, t, "en", f"s{i % 3}", len(t)) for i, t in enumerate([*good, good[0], good[1] + " tail", "%%% " * 80, f"{good[2][:300]} {KEY} {prose()}", None])]
+    rows = [(i, t, "en", f"s{i % 3}", len(t or "")) for i, t in enumerate([*good, good[0], good[1] + " tail", "%%% " * 80, f"{good[2][:300]} {KEY} {prose()}", None])]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(f"file://{tmp_path}/documents.parquet")
     names, ids, one = docs.columns, [], spark.read.parquet(f"file://{tmp_path}/documents.parquet")
