@@ -51,3 +51,48 @@ def test_streams_are_split_whatever_their_pieces():
         assert list(warc.split(warc.inflated(data))) == records
     with pytest.raises(ValueError):
         list(warc.inflated(gzip.compress(whole)[:-9]))
+
+
+def test_counts_remove_what_no_name_marks(spark):
+    """Shared text blocks and link blocks that differ in text go by counts; article prose that recurs stays; a brute-force count agrees on what recurs."""
+    menu = lambda n: f"<div class='zone'><a href='/{n}'>topic {n}</a> <a href='/x'>item {n * 7}</a></div>"
+    body = lambda n: f"<html><body>{menu(n)}<div>Powered by X</div><article><p>We quote each other.</p><p>Story {n}.</p></article><div>Loose {n} text</div></body></html>"
+    rows = [(i, "http://h.example/x", body(i)) for i in range(20)] + [(30, "http://lone.example", body(30))]
+    got = {r.page_id: r.text for r in html_text.main_text(pages(spark, rows)).collect()}
+    assert got[4] == "We quote each other.\nStory 4.\nLoose 4 text"
+    assert got[30] == "topic 30 item 210\nPowered by X\nWe quote each other.\nStory 30.\nLoose 30 text"  # one page has no template
+    n = html_text.removed(pages(spark, rows)).first()
+    assert (n.by_counts, n.by_names) == (20 * 7, 0)
+    times = {}
+    for _, _, page in rows[:20]:
+        for h in {h for _, text, shape in html_text.hashed(html_text.parse(page))[0] for h in (text, shape) if h is not None}:
+            times[h] = times.get(h, 0) + 1
+    found = html_text.templates(spark.createDataFrame([("h", p) for _, _, p in rows[:20]], "host string, html string")).first().template
+    assert set(found) == {h for h, k in times.items() if k >= html_text.MIN_PAGES and k >= html_text.SHARE * 20}
+
+
+def test_a_large_list_of_templates_is_joined_by_salted_hosts(spark, monkeypatch):
+    body = lambda n: f"<div>Welcome to our site</div><div><p>Story {n} goes here</p></div>"
+    rows = [(i, "http://h.example/x", body(i)) for i in range(10)] + [(None, None, None)]
+    monkeypatch.setattr(html_text, "MOST_SHARED", 0)
+    got = {r.page_id: r.text for r in html_text.main_text(pages(spark, rows)).collect()}
+    assert got == {**{i: f"Story {i} goes here" for i in range(10)}, None: ""}
+
+
+def test_names_inside_articles_and_text_beside_them(spark):
+    rows = [
+        (1, "u", "<main><p>Intro</p><article><p>Body</p></article></main>"), (2, "u", "<article><div class='entry-header'><h1>Title</h1></div><p>Body</p></article>"),
+        (3, "u", "<article><section class='search'><p>How we search</p></section></article>"), (4, "u", "<article><p>Body</p><div class='comments'><p>First!</p></div></article>"),
+    ]
+    got = {r.page_id: r.text for r in html_text.main_text(pages(spark, rows)).collect()}
+    assert got == {1: "Intro\nBody", 2: "Title\nBody", 3: "How we search", 4: "Body"}
+
+
+def test_deep_long_and_odd_pages(spark):
+    rows = [
+        (1, "u", "<div>" * 5000 + "deep"), (2, "u", "<div>" + "<font>" * 3000 + "inline" + "</p>" * 3000), (3, "u", "<b>" * 20_000 + "x" + "</i>" * 20_000),
+        (4, "u", " ".join(f"<p>w{i}" for i in range(30_000))), (None, None, "<p>a"), (None, None, "<p>a"), (5, None, None), (6, "u", "<"),
+    ]
+    extra = [(*r, "h", 7, "t") for r in rows]
+    got = sorted(((r.page_id, r.n_chars) for r in html_text.main_text(spark.createDataFrame(extra, "page_id long, url string, html string, host string, template int, text string")).collect()), key=str)
+    assert got == sorted([(1, 4), (2, 6), (3, 1), (4, len("\n".join(f"w{i}" for i in range(30_000)))), (None, 1), (None, 1), (5, 0), (6, 1)], key=str)
