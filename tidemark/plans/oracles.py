@@ -60,7 +60,7 @@ pool AS (SELECT channel_name, year, length_bucket, count(*) AS size FROM res WHE
 al AS (SELECT pool.*, slots, CAST(round_even(CAST(size AS DOUBLE) / (SELECT sum(size) FROM pool) * slots, 0) AS BIGINT) AS a FROM pool, k),
 dr AS (SELECT max(slots) - sum(a) AS drift FROM al), rk AS (SELECT al.*, drift, row_number() OVER (ORDER BY size DESC, channel_name, year, length_bucket) AS rk FROM al, dr),
 alloc AS (SELECT channel_name, year, length_bucket, size, CAST(greatest(0, least(size, a + CASE WHEN rk <= abs(drift) THEN sign(drift) ELSE 0 END)) AS BIGINT) AS alloc FROM rk)"""
-_STATUS = f"""{_CONV}, dbl AS ({_double('conv WHERE message_id % 4 <> 1')}), st AS (SELECT *, CAST(message_id AS BIGINT) AS seq FROM dbl), lines AS (SELECT *, CASE WHEN seq % 37 = 0 THEN 'blank' WHEN seq % 41 = 0 THEN 'bad_json' WHEN seq % 43 = 0 THEN 'error' WHEN seq % 47 = 0 THEN 'no_text' WHEN seq % 53 = 0 THEN 'bad_payload' WHEN seq % 29 = 0 OR seq % 31 = 0 THEN 'invalid' ELSE 'ok' END AS status FROM st)"""
+_STATUS = f"""{_CONV}, dbl AS ({_double('conv')}), st AS (SELECT *, CAST(message_id AS BIGINT) AS seq FROM dbl), lines AS (SELECT *, CASE WHEN seq % 37 = 0 THEN 'blank' WHEN seq % 41 = 0 THEN 'bad_json' WHEN seq % 43 = 0 THEN 'error' WHEN seq % 47 = 0 THEN 'no_text' WHEN seq % 53 = 0 THEN 'bad_payload' WHEN seq % 29 = 0 OR seq % 31 = 0 THEN 'invalid' ELSE 'ok' END AS status FROM st)"""
 
 ORACLES = {
     "context_windows": f"WITH {_WIN} SELECT * FROM win",
@@ -69,7 +69,7 @@ mem AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 1 THEN c_name END AS d
 SELECT message_id, CAST(member_id AS VARCHAR) AS member_id, channel_id, coalesce(content, '') AS content, created_at, coalesce(display_name, user_name, CAST(member_id AS VARCHAR), 'unknown') AS author_name, user_name, coalesce(n_name, 'unknown') AS channel_name, CAST(length(coalesce(content, '')) AS INTEGER) AS content_len, coalesce(content, '') = '' AS is_empty
 FROM m LEFT JOIN mem ON member_id = id LEFT JOIN nation ON channel_id = n_nationkey""",
     "unscored_anti": f"WITH {_TODO} SELECT message_id, channel_id, content_len FROM todo",
-    "history_semi": f"WITH {_TODO}, t AS (SELECT * FROM todo WHERE message_id % 5 = 0) SELECT message_id, channel_id FROM conv WHERE channel_id IN (SELECT channel_id FROM t WHERE channel_id IS NOT NULL) OR (channel_id IS NULL AND message_id IN (SELECT message_id FROM t))",
+    "history_semi": f"WITH {_TODO}, t AS (SELECT * FROM todo) SELECT message_id, channel_id FROM conv WHERE channel_id IN (SELECT channel_id FROM t WHERE channel_id IS NOT NULL) OR (channel_id IS NULL AND message_id IN (SELECT message_id FROM t))",
     "nightly_targets": f"WITH {_WIN}, {_BEFORE} SELECT message_id, n_priors, context_text FROM win WHERE CAST(message_id AS VARCHAR) NOT IN (SELECT message_id FROM before)",
     "batch_packing": f"WITH {_PACK} SELECT message_id, ordinal, batch_id, position FROM packed",
     "batch_prompts": f"WITH {_PROMPT} SELECT batch_id, key, size, prompt_tokens, md5(prompt) AS prompt_md5 FROM priced",
