@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import display_name, is_blank
+from tidemark.operators.packing import PRICES
 
 #: Authors that the report leaves out, in lower case.
 EXCLUDED = ("unknown", "bot", "system")
@@ -77,6 +78,15 @@ def channel_extremes(s: DataFrame, least: int = 500) -> DataFrame:
     return c.agg(top(-F.col("avg_score")).alias("chillest"), top(F.col("avg_score")).alias("saltiest"), top(-F.col("sarcasm_rate")).alias("most_sarcastic"))
 
 
+def most_toxic_member(s: DataFrame, least: int = 500) -> DataFrame:
+    """One row: the author with the largest share of messages that are not free of toxicity; ties go to the first name."""
+    return by_member(s, least).agg(F.min_by(F.struct("author", "tox_rate"), F.struct(-F.col("tox_rate"), "author")).alias("m")).select("m.author", "m.tox_rate")
+
+
+def messages_per_year(m: DataFrame) -> DataFrame:
+    return m.groupBy(F.year("created_at").alias("year")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def corpus_profile(m: DataFrame) -> DataFrame:
     blank = is_blank(F.col("content"))
     return m.agg(
@@ -95,8 +105,8 @@ def channel_counts(m: DataFrame, n: int = 15) -> DataFrame:
     return mix(m, "channel_name").orderBy(F.desc("n"), "channel_name").limit(n)
 
 
-def usage(requests: DataFrame, price_in: float = 0.25, price_out: float = 1.50) -> DataFrame:
-    """Totals of a request log; a missing or zero candidate count falls back to the response count."""
+def usage(requests: DataFrame) -> DataFrame:
+    """Totals of a request log and their price, live and batch; a missing or zero candidate count falls back to the response count."""
     out = F.coalesce(F.nullif("candidate_tokens", F.lit(0)), F.nullif("response_tokens", F.lit(0)), F.lit(0))
     t = requests.agg(F.count(F.lit(1)).alias("requests"), F.count_if("failed").alias("failures"), F.sum("input_tokens").alias("input_tokens"), F.sum(out).alias("output_tokens"))
-    return t.withColumn("usd", (F.col("input_tokens") * F.lit(price_in) + F.col("output_tokens") * F.lit(price_out)) / F.lit(1e6))
+    return t.withColumns({f"usd_{k}": (F.col("input_tokens") * F.lit(i) + F.col("output_tokens") * F.lit(o)) / F.lit(1e6) for k, (i, o) in PRICES.items()})

@@ -30,6 +30,40 @@ def evaluate(predictions: DataFrame, gold: DataFrame) -> DataFrame:
     )
 
 
+def passes_bar(metrics: DataFrame, least: float = 0.75) -> DataFrame:
+    """metrics with passes: whether the polarity accuracy reaches the bar; null where nothing is labelled."""
+    return metrics.withColumn("passes", F.col("polarity_accuracy") >= least)
+
+
+_REVIEWED = ("polarity", "polarity_score", "emotions", "sarcasm", "toxicity", "confidence", "rationale")
+
+
+def review(sample: DataFrame, predictions: DataFrame) -> DataFrame:
+    """Every row of sample with its prediction, or nulls; ids are compared as text."""
+    p = predictions.select(F.col("message_id").cast("string").alias("_id"), *_REVIEWED)
+    return sample.join(p, F.col("message_id").cast("string") == F.col("_id"), "left").drop("_id")
+
+
+def review_summary(reviewed: DataFrame) -> DataFrame:
+    """field, label, n and share: labels of polarity, null included, of toxicity, null left out, and the rate of sarcasm over the rows that have it."""
+    field = lambda c: reviewed.groupBy(F.col(c).alias("label")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(c).alias("field"), "label", "n", F.lit(None).cast("double").alias("share"))
+    rate = reviewed.agg(F.count("sarcasm").alias("n"), F.avg(F.col("sarcasm").cast("double")).alias("share")).select(F.lit("sarcasm").alias("field"), F.lit("true").alias("label"), "n", "share")
+    return field("polarity").unionByName(field("toxicity").where("label is not null")).unionByName(rate)
+
+
+def compare(a: DataFrame, b: DataFrame) -> DataFrame:
+    """One row on the messages that both scorers answered: how many, how often their labels agree, and the mean gap of their scores."""
+    of = lambda df, k: df.select(F.col("message_id").cast("string").alias("id"), *[F.col(c).alias(f"{c}_{k}") for c in ("polarity", "polarity_score", "sarcasm", "toxicity")])
+    both = of(a, "a").join(of(b, "b"), "id")
+    same = lambda c: F.avg(F.col(f"{c}_a").eqNullSafe(F.col(f"{c}_b")).cast("double")).alias(f"{c}_agreement")
+    return both.agg(F.count(F.lit(1)).alias("n"), same("polarity"), same("sarcasm"), same("toxicity"), F.avg(F.abs(F.col("polarity_score_a") - F.col("polarity_score_b"))).alias("mean_gap"))
+
+
+def write_gold_template(sample: DataFrame, path: str, n: int = 200) -> None:
+    """gold_template as one CSV file with a header under path; n rows are one task."""
+    gold_template(sample, n).coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
 def gold_template(sample: DataFrame, n: int = 200) -> DataFrame:
     """The first n rows by id with empty gold columns, ready for labelling."""
     base = [c for c in ("message_id", "channel_name", "author_name", "content", "context_text") if c in sample.columns]

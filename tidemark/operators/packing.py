@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import estimated_tokens
+from tidemark.operators.scoring import output_schema
 from tidemark.sources.messages import require_columns
 
 BATCH_SIZE, LINES_PER_CHUNK, OUTPUT_TOKENS = 15, 2500, 90
+TEMPERATURE = 0.2
 #: USD a million tokens: input and output, live and batch.
 PRICES = {"live": (0.25, 1.50), "batch": (0.125, 0.75)}
 SYSTEM = "You label chat messages. Judge only the marked target line of each item, use the lines before it as context, and answer with one JSON object a target in the given order."
@@ -17,15 +21,20 @@ SYSTEM = "You label chat messages. Judge only the marked target line of each ite
 def numbered(windows: DataFrame) -> DataFrame:
     """windows with `ordinal`, their place in the order of channel, time and id, without one task for all rows.
 
-    Rows are counted inside their channel; channels start at the sum of the counts before them, found over
-    one row a channel. The channel null is last.
+    Rows are counted inside the days of their channel, so a hot channel is many tasks; days start at the sum of the channel's days
+    before them, and channels at the sum of the channels before them, found over one row a channel. The channel null is last,
+    the time null first.
     """
-    counts = windows.groupBy(F.col("channel_id").alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(F.col("_c").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_c", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("channel_id").orderBy("created_at", "message_id")
-    rows = windows.withColumn("_at", F.row_number().over(inside) - 1)
-    return rows.join(offsets, F.col("channel_id").eqNullSafe(F.col("_c"))).withColumn("ordinal", (F.col("_offset") + F.col("_at")).cast("long")).drop("_c", "_offset", "_at")
+    days = windows.groupBy(F.col("channel_id").alias("_c"), F.to_date("created_at").alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    rooms = days.groupBy(F.col("_c").alias("_r")).agg(F.sum("_n").alias("_all"))
+    earlier = Window.orderBy(F.col("_r").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    starts = rooms.select("_r", F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_start"))
+    before = Window.partitionBy("_c").orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = days.select("_c", "_d", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")).join(starts, F.col("_c").eqNullSafe(F.col("_r"))).select("_c", "_d", (F.col("_start") + F.col("_offset")).alias("_offset"))
+    inside = Window.partitionBy("channel_id", "_day").orderBy("created_at", "message_id")
+    rows = windows.withColumn("_day", F.to_date("created_at")).withColumn("_at", F.row_number().over(inside) - 1)
+    placed = rows.join(offsets, F.col("channel_id").eqNullSafe(F.col("_c")) & F.col("_day").eqNullSafe(F.col("_d")))
+    return placed.withColumn("ordinal", (F.col("_offset") + F.col("_at")).cast("long")).drop("_c", "_d", "_day", "_offset", "_at")
 
 
 def packed(windows: DataFrame, batch_size: int = BATCH_SIZE, lines_per_chunk: int = LINES_PER_CHUNK) -> DataFrame:
@@ -55,13 +64,17 @@ def prompts(packed_windows: DataFrame) -> DataFrame:
 def request_lines(batches: DataFrame) -> DataFrame:
     """chunk_id and one JSON request line a batch."""
     part = lambda text: F.struct(F.array(F.struct(text.alias("text"))).alias("parts"))
-    request = F.struct(F.array(part(F.col("prompt"))).alias("contents"), part(F.lit(SYSTEM)).alias("system_instruction"))
+    config = F.parse_json(F.lit(json.dumps({"temperature": TEMPERATURE, "response_mime_type": "application/json", "response_schema": output_schema()})))
+    request = F.struct(F.array(part(F.col("prompt"))).alias("contents"), part(F.lit(SYSTEM)).alias("system_instruction"), config.alias("generation_config"))
     return batches.select("chunk_id", F.to_json(F.struct("key", request.alias("request"))).alias("value"))
 
 
-def write_requests(batches: DataFrame, path: str) -> None:
-    """A folder of JSON lines for each chunk; what was there goes."""
-    request_lines(batches).repartition("chunk_id").write.mode("overwrite").partitionBy("chunk_id").text(path)
+def write_requests(batches: DataFrame, path: str, prefix: str = "requests") -> dict[str, int]:
+    """A folder of JSON lines for each chunk, chunk=requests_001 and so on; what was there goes. Returns the lines of each chunk."""
+    name = F.concat(F.lit(f"{prefix}_"), F.when(F.col("chunk_id") < 1000, F.lpad(F.col("chunk_id").cast("string"), 3, "0")).otherwise(F.col("chunk_id").cast("string")))
+    request_lines(batches).select(name.alias("chunk"), "value").repartition("chunk").write.mode("overwrite").partitionBy("chunk").text(path)
+    written = batches.sparkSession.read.schema("value string, chunk string").text(path)
+    return {r["chunk"]: r["n"] for r in written.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a chunk
 
 
 def cost(batches: DataFrame) -> DataFrame:
@@ -69,10 +82,16 @@ def cost(batches: DataFrame) -> DataFrame:
     system = max(1, len(SYSTEM) // 4)
     one = batches.agg(F.coalesce(F.sum("size"), F.lit(0)).cast("long").alias("n_messages"), F.count(F.lit(1)).alias("n_batches"), F.coalesce(F.sum("prompt_tokens"), F.lit(0)).cast("long").alias("user_tokens"))
     one = one.withColumns({"input_tokens": F.col("user_tokens") + system * F.col("n_batches"), "output_tokens": F.col("n_messages") * OUTPUT_TOKENS})
+    one = one.withColumn("mean_batch_tokens", F.when(F.col("n_batches") > 0, F.col("user_tokens") / F.col("n_batches")).otherwise(F.lit(0.0)))
     usd = {f"usd_{k}": (F.col("input_tokens") * F.lit(i) + F.col("output_tokens") * F.lit(o)) / F.lit(1e6) for k, (i, o) in PRICES.items()}
     return one.withColumns(usd)
 
 
+def cost_of_windows(windows: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
+    """The cost of scoring windows that are not packed yet."""
+    return cost(prompts(packed(windows, batch_size)))
+
+
 def cost_gate(estimate: DataFrame, actual_usd: float, most: float = 2.0) -> DataFrame:
     ratio = F.when(F.col("usd_live") > 0, F.lit(actual_usd) / F.col("usd_live")).otherwise(F.lit(float("inf")))
     return estimate.select("usd_live", ratio.alias("ratio"), (ratio <= most).alias("passes"))

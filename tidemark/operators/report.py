@@ -6,6 +6,7 @@ import html
 import json
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import analytics
 
@@ -48,6 +49,29 @@ def _strips(members: list) -> str:
     return "".join(f"<p>{html.escape(m['author'])}</p><div class='strip'>{dot(m['life'], '#678')}{dot(m['year'], '#d63')}</div>" for m in members)
 
 
+def takeaways(overview, harsh: int, extremes, toxic_member) -> list[str]:
+    """Sentences over the aggregates; what has no value gets none."""
+    out = []
+    if overview["n"]:
+        out.append(f"{overview['n']:,} messages were scored, with a mean polarity of {overview['avg_score']:+.3f}.")
+        out.append(f"{percent(harsh, overview['n'])} of them are moderately or severely toxic, {percent(overview['sarcasm_rate'], 1)} sarcastic.")
+    if extremes["chillest"] is not None and extremes["chillest"] != extremes["saltiest"]:
+        out.append(f"{extremes['chillest']} is the friendliest channel and {extremes['saltiest']} the least friendly.")
+    if toxic_member["author"] is not None:
+        out.append(f"{toxic_member['author']} has the largest share of toxic messages, {percent(toxic_member['tox_rate'], 1)}.")
+    return out
+
+
+#: Invented lines that show what a context window is.
+EXAMPLE = (("ada", "the build is green again"), ("ben", "only after the fourth retry"), ("ada", "sure, totally reliable"))
+
+
+def example_card(lines: tuple[tuple[str, str], ...] = EXAMPLE) -> str:
+    """An invented window: the last line is the one that is judged, the others are its context."""
+    shown = [f"<li{' class=target' if i == len(lines) - 1 else ''}>[{html.escape(a)}] {html.escape(t)}</li>" for i, (a, t) in enumerate(lines)]
+    return f"<div class='card'><p>The last line is judged with the lines before it as context (invented example).</p><ul>{''.join(shown)}</ul></div>"
+
+
 def render(scored: DataFrame, since: int = 2022, least: int = 500) -> str:
     o, d = analytics.overview(scored).first(), analytics.date_range(scored).first()
     toxic = {r["toxicity"]: r["n"] for r in analytics.mix(scored, "toxicity").collect()}
@@ -56,10 +80,14 @@ def render(scored: DataFrame, since: int = 2022, least: int = 500) -> str:
     members = analytics.by_member(scored).orderBy("tox_rate", ascending=False).limit(15).collect()
     compare = analytics.member_compare(scored, least).orderBy("life", ascending=False).limit(15).collect()
     quotes = analytics.sarcastic_top(scored).collect()
-    facts = [["messages", f"{o['n']:,}"], ["members", d["members"]], ["channels", d["channels"]], ["from", d["mn"]], ["to", d["mx"]], ["harsh", percent(harsh, o["n"])], ["chillest", best["chillest"]], ["saltiest", best["saltiest"]], ["most sarcastic", best["most_sarcastic"]]]
+    rooms = analytics.by_channel(scored).where(F.col("n") >= least).orderBy(F.desc("n"), "channel_name").limit(15).collect()
+    worst = analytics.most_toxic_member(scored, least).first()
+    facts = [["messages", f"{o['n']:,}"], ["members", d["members"]], ["channels", d["channels"]], ["from", d["mn"]], ["to", d["mx"]], ["harsh", percent(harsh, o["n"])], ["chillest", best["chillest"]], ["saltiest", best["saltiest"]], ["most sarcastic", best["most_sarcastic"]], ["most toxic member", worst["author"]]]
     body = [
         "<h1>Conversation report</h1>", _table(["fact", "value"], facts), "<h2>Members</h2>",
         _table(["member", "messages", "mean", "sarcastic", "toxic"], [[m["author"], f"{m['n']:,}", f"{m['avg_score']:+.3f}", percent(m["sarcasm_rate"], 1), percent(m["tox_rate"], 1)] for m in members]),
+        "<h2>Channels</h2>", _table(["channel", "messages", "mean", "sarcastic", "positive", "negative"], [[c["channel_name"], f"{c['n']:,}", f"{c['avg_score']:+.3f}", percent(c["sarcasm_rate"], 1), c["pos"], c["neg"]] for c in rooms]),
+        "<h2>How a message is judged</h2>", example_card(), "<h2>Takeaways</h2>", *(f"<p class='takeaway'>{html.escape(t)}</p>" for t in takeaways(o, harsh, best, worst)),
         "<h2>Lifetime and last year</h2>", _strips(compare), "<h2>Quotes</h2>", *(f"<blockquote>{html.escape(q['content'])}<br>— {html.escape(q['author'])}</blockquote>" for q in quotes),
         f"<script type='application/json' id='charts'>{json.dumps(chart_data(scored, since)).replace('<', chr(92) + 'u003c')}</script>",
     ]

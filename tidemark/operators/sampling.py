@@ -12,6 +12,11 @@ def draw_order(seed: str):
     return F.md5(F.concat(F.lit(seed), F.col("message_id").cast("string")))
 
 
+def seeded_sample(windows: DataFrame, n: int, seed: str = "42") -> DataFrame:
+    """min(n, rows) rows without replacement, the same for the same ids and seed however the rows are dealt out."""
+    return windows.withColumn("_draw", draw_order(seed)).orderBy("_draw", "message_id").limit(n).drop("_draw")
+
+
 def _reserved(windows: DataFrame, floor: int, seed: str) -> DataFrame:
     w = Window.partitionBy("channel_name").orderBy("_draw", "message_id")
     return windows.withColumn("_draw", draw_order(seed)).withColumn("reserved", F.row_number().over(w) <= floor)

@@ -24,6 +24,16 @@ RESULTS = "message_id string, polarity string, polarity_score double, emotions s
 _RAW = "struct<results:array<struct<message_id:string,polarity:string,polarity_score:string,emotions:array<string>,sarcasm:string,toxicity:string,directed_at:string,confidence:string,rationale:string>>>"
 
 
+def output_schema() -> dict:
+    """The answer's form as a JSON schema, from the label sets above."""
+    text, of = {"type": "string"}, lambda names: {"type": "string", "enum": list(names)}
+    fields = {
+        "message_id": text, "polarity": of(POLARITY), "polarity_score": {"type": "number", "minimum": -1, "maximum": 1}, "emotions": {"type": "array", "items": of(EMOTIONS), "minItems": 1, "maxItems": 3},
+        "sarcasm": {"type": "boolean"}, "toxicity": of(TOXICITY), "directed_at": of(DIRECTED_AT), "confidence": {"type": "number", "minimum": 0, "maximum": 1}, "rationale": text | {"maxLength": 200},
+    }
+    return {"type": "object", "properties": {"results": {"type": "array", "items": {"type": "object", "properties": fields, "required": list(fields)}}}, "required": ["results"]}
+
+
 def doubled(windows: DataFrame) -> DataFrame:
     """Result rows of the test double, as expressions."""
     h = F.md5(F.coalesce("content", F.lit("")))
@@ -83,16 +93,20 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     status: blank, bad_json, error, no_text, bad_payload, invalid or ok.
     """
     v = F.col("value")
-    parsed = lines.withColumns({"_json": F.try_parse_json(v).isNotNull() & strip(v).startswith("{"), "_inner": F.get_json_object(v, "$.response")})
+    once = lambda df, name, value: df.select(*df.columns, F.explode(F.array(value)).alias(name))  # noqa: E731  a generator keeps later steps from repeating value
+    parsed = once(lines.select("seq", F.explode(F.array("value")).alias("value")), "_inner", F.get_json_object(v, "$.response"))
     body = F.coalesce("_inner", v)
     text = F.coalesce(F.get_json_object(body, "$.candidates[0].content.parts[0].text"), F.get_json_object(body, "$.text"))
-    parsed = parsed.withColumns({"_error": F.get_json_object(v, "$.error"), "_text": text})
-    parsed = parsed.withColumn("_got", F.from_json("_text", _RAW)["results"])
+    parsed = once(parsed, "_text", text)
+    got = F.from_json("_text", _RAW)["results"]
+    parsed = once(parsed, "_p", F.struct(got.alias("got"), (F.try_parse_json(v).isNotNull() & strip(v).startswith("{")).alias("json"), F.get_json_object(v, "$.error").alias("error")))
+    parsed = parsed.select("seq", "value", "_inner", "_text", F.col("_p.got").alias("_got"), F.col("_p.json").alias("_json"), F.col("_p.error").alias("_error"))
     status = (
         F.when(strip(F.coalesce(v, F.lit(""))) == "", "blank").when(~F.coalesce(F.col("_json"), F.lit(False)), "bad_json").when(F.col("_error").isNotNull() & F.col("_inner").isNull(), "error")
         .when(F.col("_text").isNull(), "no_text").when(F.col("_got").isNull(), "bad_payload").when(~F.forall("_got", _valid), "invalid").otherwise("ok")
     )
-    return parsed.select("seq", status.alias("status"), F.when(status == "ok", F.col("_got")).alias("results"))
+    told = once(parsed.select("seq", "value", "_inner", "_text", "_got", "_json", "_error"), "status", status)
+    return told.select("seq", "status", F.when(F.col("status") == "ok", F.col("_got")).alias("results"))
 
 
 def result_rows(parsed: DataFrame) -> DataFrame:

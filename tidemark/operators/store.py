@@ -39,6 +39,24 @@ def guard(new: DataFrame, messages: DataFrame) -> DataFrame:
     return new.select(F.col("message_id").cast("long").alias("message_id")).join(known, "message_id", "left").agg(F.count("hit").alias("written"), F.count_if(F.col("hit").isNull()).alias("skipped"))
 
 
+def upsert(spark: SparkSession, base: str, new: DataFrame, messages: DataFrame, now: str, empty: str) -> dict[str, int]:
+    """Writes new over the table at base as its next version, and tells how many rows were written and skipped; `empty` is the table's schema."""
+    old = read_current(spark, base)
+    write_version(upserted(old if old is not None else spark.createDataFrame([], empty), new, messages, now), base)
+    return guard(new, messages).first().asDict()
+
+
+def scored_ids(results: DataFrame | None, spark: SparkSession) -> DataFrame:
+    """The ids that have a result, as text; none where there is no table yet. They are a side of an anti-join and stay on the executors."""
+    if results is None:
+        return spark.createDataFrame([], "message_id string")
+    return results.select(F.col("message_id").cast("string").alias("message_id")).distinct()
+
+
+def row_count(results: DataFrame) -> DataFrame:
+    return results.agg(F.count(F.lit(1)).alias("n"))
+
+
 def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
@@ -83,6 +101,15 @@ def read_checkpoint(spark: SparkSession, base: str) -> DataFrame:
     return keep_last(spark.read.parquet(base), order=("seq", "position"))
 
 
+def finalize(spark: SparkSession, base: str, path: str) -> int:
+    """The checkpoint's last row of each id, written as one table; how many. FileNotFoundError where there is no checkpoint."""
+    fs, folder = _fs(spark, base)
+    if not fs.exists(folder):
+        raise FileNotFoundError(f"no checkpoint at {base}: score some chunks first")
+    read_checkpoint(spark, base).drop("seq", "position", "chunk").write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).count()
+
+
 def coverage(windows: DataFrame, results: DataFrame) -> DataFrame:
     """One row: windows, those with a result, and those without."""
     ids = windows.select(F.col("message_id").cast("string").alias("id")).distinct()

@@ -18,8 +18,9 @@ def build_windows(messages: DataFrame, context_size: int = 3, max_chars: int = 5
     window; blank targets go after the lags are taken.
     """
     require_columns(messages, NEEDED)
-    w = Window.partitionBy("channel_id").orderBy("created_at", "message_id")
     has = F.col("channel_id").isNotNull()
+    # a message without a channel is a partition of its own, so that they are not one task
+    w = Window.partitionBy("channel_id", F.when(~has, F.col("message_id"))).orderBy("created_at", "message_id")
     rows = messages.withColumn("content", F.coalesce("content", F.lit("")))
     if "content_len" not in rows.columns:
         rows = rows.withColumn("content_len", F.length("content"))
@@ -38,6 +39,14 @@ def unscored(messages: DataFrame, results: DataFrame) -> DataFrame:
     return messages.where(~is_blank(F.col("content"))).join(done, F.col("message_id").cast("string") == F.col("_done"), "left_anti")
 
 
+def pending(windows: DataFrame, *done: DataFrame) -> DataFrame:
+    """windows without a row in any of done, such as a checkpoint and the results table."""
+    for d in done:
+        ids = d.select(F.col("message_id").cast("string").alias("_done")).distinct()
+        windows = windows.join(ids, F.col("message_id").cast("string") == F.col("_done"), "left_anti")
+    return windows
+
+
 def history(messages: DataFrame, targets: DataFrame) -> DataFrame:
     """All messages of the targets' channels, and the targets that have none."""
     rooms = targets.select("channel_id").distinct()

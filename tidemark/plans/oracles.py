@@ -74,7 +74,7 @@ FROM m LEFT JOIN mem ON member_id = id LEFT JOIN nation ON channel_id = n_nation
     "batch_packing": f"WITH {_PACK} SELECT message_id, ordinal, batch_id, position FROM packed",
     "batch_prompts": f"WITH {_PROMPT} SELECT batch_id, key, size, prompt_tokens, md5(prompt) AS prompt_md5 FROM priced",
     "chunk_assignment": f"WITH {_PACK} SELECT batch_id // 10 + 1 AS chunk_id, count(DISTINCT batch_id) AS lines, count(*) AS messages FROM packed GROUP BY 1",
-    "cost_estimate": f"WITH {_PROMPT}, one AS (SELECT CAST(coalesce(sum(size), 0) AS BIGINT) AS n_messages, count(*) AS n_batches, CAST(coalesce(sum(prompt_tokens), 0) AS BIGINT) AS user_tokens FROM priced) SELECT *, user_tokens + {len(SYSTEM) // 4} * n_batches AS input_tokens, n_messages * {OUTPUT_TOKENS} AS output_tokens FROM one",
+    "cost_estimate": f"WITH {_PROMPT}, one AS (SELECT CAST(coalesce(sum(size), 0) AS BIGINT) AS n_messages, count(*) AS n_batches, CAST(coalesce(sum(prompt_tokens), 0) AS BIGINT) AS user_tokens FROM priced) SELECT *, user_tokens + {len(SYSTEM) // 4} * n_batches AS input_tokens, n_messages * {OUTPUT_TOKENS} AS output_tokens, CASE WHEN n_batches > 0 THEN user_tokens / n_batches ELSE 0 END AS mean_batch_tokens, CAST(round((user_tokens + {len(SYSTEM) // 4} * n_batches) * CAST(0.25 AS DOUBLE) + n_messages * {OUTPUT_TOKENS} * CAST(1.5 AS DOUBLE)) AS BIGINT) AS usd_live, CAST(round((user_tokens + {len(SYSTEM) // 4} * n_batches) * CAST(0.125 AS DOUBLE) + n_messages * {OUTPUT_TOKENS} * CAST(0.75 AS DOUBLE)) AS BIGINT) AS usd_batch FROM one",
     "cost_gate": f"WITH {_PROMPT}, u AS (SELECT (sum(prompt_tokens) + {len(SYSTEM) // 4} * count(*)) * CAST(0.25 AS DOUBLE) + sum(size) * {OUTPUT_TOKENS} * CAST(1.5 AS DOUBLE) AS micro FROM priced) SELECT CAST(round(micro) AS BIGINT) AS micro_usd, 0.05 * 1000000 / micro <= 2 AS passes FROM u",
     "stratified_allocation": f"WITH {_RESERVED} SELECT * FROM alloc",
     "stratified_sample": f"""WITH {_RESERVED}, pl AS (SELECT res.*, row_number() OVER (PARTITION BY reserved, channel_name, year, length_bucket ORDER BY draw, message_id) AS place FROM res),
@@ -110,5 +110,18 @@ g AS (SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN quality = 1 THEN 'positive
 b AS (SELECT g.*, p.polarity AS pp, p.sarcasm AS ps, p.toxicity AS pt FROM g JOIN p ON g.id = p.message_id),
 n AS (SELECT count(*) FILTER (WHERE gs AND ps) AS tp, count(*) FILTER (WHERE gs IS NOT NULL AND gs <> ps) AS w FROM b)
 SELECT count(*) AS n_labeled, round(avg(CAST(gp = pp AS INTEGER)), 9) AS polarity_accuracy, round(avg(CAST(gs = ps AS INTEGER)), 9) AS sarcasm_accuracy, (SELECT round(CAST(2 * tp AS DOUBLE) / (2 * tp + w), 9) FROM n) AS sarcasm_f1, round(avg(CAST(gt = pt AS INTEGER)), 9) AS toxicity_accuracy FROM b""",
-    "usage_rollup": "SELECT count(*) AS requests, count(*) FILTER (WHERE event_id % 19 = 0) AS failures, CAST(sum(event_id % 1000) AS BIGINT) AS input_tokens, CAST(sum(coalesce(nullif(CASE WHEN event_id % 3 <> 0 THEN event_id % 50 END, 0), nullif(event_id % 70, 0), 0)) AS BIGINT) AS output_tokens FROM events",
+    "usage_rollup": "SELECT *, CAST(round(input_tokens * CAST(0.25 AS DOUBLE) + output_tokens * CAST(1.5 AS DOUBLE)) AS BIGINT) AS usd_live, CAST(round(input_tokens * CAST(0.125 AS DOUBLE) + output_tokens * CAST(0.75 AS DOUBLE)) AS BIGINT) AS usd_batch FROM (SELECT count(*) AS requests, count(*) FILTER (WHERE event_id % 19 = 0) AS failures, CAST(sum(event_id % 1000) AS BIGINT) AS input_tokens, CAST(sum(coalesce(nullif(CASE WHEN event_id % 3 <> 0 THEN event_id % 50 END, 0), nullif(event_id % 70, 0), 0)) AS BIGINT) AS output_tokens FROM events)",
+    "seeded_sample": f"WITH {_WIN} SELECT message_id FROM win ORDER BY md5('7' || CAST(message_id AS VARCHAR)), message_id LIMIT 100",
+    "pending_windows": f"WITH {_WIN} SELECT message_id FROM win WHERE message_id % 3 = 0 AND message_id % 5 <> 0",
+    "review_join": f"WITH {_WIN}, {_BEFORE} SELECT win.message_id, channel_name, polarity, sarcasm, toxicity FROM win LEFT JOIN before ON CAST(win.message_id AS VARCHAR) = before.message_id",
+    "review_summary": f"""WITH {_WIN}, {_BEFORE}, r AS (SELECT polarity, sarcasm, toxicity FROM win LEFT JOIN before ON CAST(win.message_id AS VARCHAR) = before.message_id)
+SELECT 'polarity' AS field, polarity AS label, count(*) AS n, CAST(NULL AS DOUBLE) AS share FROM r GROUP BY 2 UNION ALL SELECT 'toxicity', toxicity, count(*), NULL FROM r WHERE toxicity IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'sarcasm', 'true', count(sarcasm), round(avg(CAST(sarcasm AS INTEGER)), 9) FROM r""",
+    "model_compare": f"""WITH {_CONV}, a AS ({_double('conv')}), b AS ({_double('conv', "content || '!'")})
+SELECT count(*) AS n, {_RATE('a.polarity = b.polarity')} AS polarity_agreement, {_RATE('a.sarcasm = b.sarcasm')} AS sarcasm_agreement, {_RATE('a.toxicity = b.toxicity')} AS toxicity_agreement, round(avg(abs(a.polarity_score - b.polarity_score)), 9) AS mean_gap FROM a JOIN b USING (message_id)""",
+    "messages_per_year": "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n FROM orders GROUP BY 1",
+    "most_toxic_member": f"WITH {_ORDERS}, m AS (SELECT author_name AS author, avg(CAST(toxicity <> 'none' AS INTEGER)) AS r FROM s GROUP BY 1 HAVING count(*) >= 100) SELECT first(author ORDER BY r DESC, author) AS author, round(max(r), 9) AS tox_rate FROM m",
+    "result_count": f"WITH {_CONV} SELECT count(*) AS n FROM conv WHERE message_id % 3 <> 0",
+    "scored_ids": f"WITH {_CONV} SELECT CAST(message_id AS VARCHAR) AS message_id FROM conv",
+    "finished_jobs": "SELECT CAST(o_orderkey AS VARCHAR) AS job_id, CAST(o_orderdate AS TIMESTAMP) AS create_time FROM orders WHERE o_orderstatus = 'F' AND o_orderdate >= DATE '1995-01-01'",
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import analytics, evaluate, packing, sampling, scoring, store, windows
 from tidemark.sources import messages as src
+from tidemark.streaming import jobs
 
 
 def _conv(spark: SparkSession, d: str) -> DataFrame:
@@ -57,8 +58,13 @@ def chunk_assignment(spark, d):
     return p.groupBy("chunk_id").agg(F.countDistinct("batch_id").alias("lines"), F.count(F.lit(1)).alias("messages"))
 
 
+def _micro(df: DataFrame) -> DataFrame:
+    """Prices as whole millionths of a dollar."""
+    return df.withColumns({c: F.round(F.col(c) * 1e6).cast("long") for c in ("usd_live", "usd_batch")})
+
+
 def cost_estimate(spark, d):
-    return packing.cost(packing.prompts(packing.packed(windows.build_windows(_conv(spark, d))))).drop("usd_live", "usd_batch")
+    return packing.cost(packing.prompts(packing.packed(windows.build_windows(_conv(spark, d))))).transform(_micro)
 
 
 def cost_gate(spark, d):
@@ -66,6 +72,54 @@ def cost_gate(spark, d):
     return gate.select(F.round(F.col("usd_live") * 1e6).cast("long").alias("micro_usd"), "passes")
 
 
+def seeded_sample(spark, d):
+    return sampling.seeded_sample(windows.build_windows(_conv(spark, d)), 100, "7").select("message_id")
+
+
+def pending_windows(spark, d):
+    m = _conv(spark, d)
+    checkpoint = scoring.doubled(m.where("message_id % 5 = 0"))
+    return windows.pending(windows.build_windows(m), _scored_before(spark, d), checkpoint).select("message_id")
+
+
+def review_join(spark, d):
+    return evaluate.review(windows.build_windows(_conv(spark, d)), _scored_before(spark, d)).select("message_id", "channel_name", "polarity", "sarcasm", "toxicity")
+
+
+def review_summary(spark, d):
+    return _rounded(evaluate.review_summary(evaluate.review(windows.build_windows(_conv(spark, d)), _scored_before(spark, d))), "share")
+
+
+def model_compare(spark, d):
+    """Two scorers, of which the second sees a mark after each text."""
+    m = _conv(spark, d)
+    both = evaluate.compare(scoring.doubled(m), scoring.doubled(m.withColumn("content", F.concat("content", F.lit("!")))))
+    return _rounded(both, "polarity_agreement", "sarcasm_agreement", "toxicity_agreement", "mean_gap")
+
+
+def messages_per_year(spark, d):
+    return analytics.messages_per_year(src.order_messages(spark, d))
+
+
+def most_toxic_member(spark, d):
+    return _rounded(analytics.most_toxic_member(_series(spark, d), 100), "tox_rate")
+
+
+def result_count(spark, d):
+    return store.row_count(_scored_before(spark, d))
+
+
+def scored_ids(spark, d):
+    return store.scored_ids(_appended(spark, d), spark)
+
+
+def finished_jobs(spark, d):
+    """Orders as jobs: those that succeeded since a day."""
+    o = src.table(spark, d, "orders")
+    listed = o.select(F.col("o_orderkey").cast("string").alias("job_id"), F.when(F.col("o_orderstatus") == "F", "succeeded").when(F.col("o_orderstatus") == "O", "running").otherwise("failed").alias("state"), F.col("o_orderdate").cast("timestamp_ntz").alias("create_time"), F.lit("").alias("path"))
+    return jobs.finished(listed, "1995-01-01 00:00:00").select("job_id", "create_time")
+
+
 def stratified_allocation(spark, d):
     return sampling.allocation(windows.build_windows(_conv(spark, d)), 200, 5).select(*sampling.STRATUM, "size", "alloc")
 
@@ -211,11 +265,12 @@ def eval_metrics(spark, d):
 def usage_rollup(spark, d):
     e = src.table(spark, d, "events")
     log = e.select((F.col("event_id") % 19 == 0).alias("failed"), (F.col("event_id") % 1000).alias("input_tokens"), F.when(F.col("event_id") % 3 != 0, F.col("event_id") % 50).alias("candidate_tokens"), (F.col("event_id") % 70).alias("response_tokens"))
-    return analytics.usage(log).drop("usd")
+    return _micro(analytics.usage(log))
 
 
 QUERIES = {f.__name__: f for f in (
     context_windows, messages_enriched, unscored_anti, history_semi, nightly_targets, batch_packing, batch_prompts, chunk_assignment, cost_estimate, cost_gate, stratified_allocation, stratified_sample,
     parse_results, parse_error_summary, validate_results, dedupe_keep_last, upsert_merge, fk_guard, coverage, corpus_profile, length_histogram, channel_counts, overview, date_range, polarity_mix, toxicity_mix,
     by_channel, by_member, by_year, by_month, member_compare, sarcastic_top, channel_extremes, gold_template, eval_metrics, usage_rollup,
+    seeded_sample, pending_windows, review_join, review_summary, model_compare, messages_per_year, most_toxic_member, result_count, scored_ids, finished_jobs,
 )}
