@@ -2,11 +2,11 @@
 
 A text's paragraphs are its lines, long ones cut every PIECE code points; their 64-bit hashes are
 its digests, each counted once. A fingerprint deals the digests out to groups of about
-GROUP by their low bits and keeps a table of cells for each group; a digest enters one cell in each
+GROUP by their first bits and keeps a table of cells for each group; a digest enters one cell in each
 of three thirds of the table, and a cell holds a count, the xor of its digests and the xor
-of their checks. Two versions' tables are subtracted cell by cell, and peeling takes out digest after
+of their checks. Groups nest and tables add up, so a fingerprint folds to fewer groups. Two versions' fingerprints are subtracted cell by cell, and peeling takes out digest after
 digest from cells that hold just one, until the difference is recovered or stuck. A stuck
-group is sketched anew with a table twice as large; after the last size the digests are compared one by one.
+group is sketched anew with larger tables; after the last size the digests are compared one by one.
 
 Defined results: a null text is the empty text, which has no digests; two texts without digests have likeness
 1, a text with and one without 0; texts are ordered by doc_id (null last), then by themselves, and the last is
@@ -23,7 +23,7 @@ from .tables import let
 PIECE = 128
 GROUP = 16
 CELLS = 24
-RETRIES = (24, 96, 384)
+RETRIES = (48, 96, 384)
 ROUNDS = 24
 _CHECK = 0xFFFF
 
@@ -32,9 +32,9 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(rf"[^\n]{{1,{PIECE}}}"), F.lit(0)), lambda p: F.xxhash64(p)))
 
 
-def group_count(n: Column) -> Column:
-    """The least power of two that leaves about GROUP digests to a group."""
-    return F.when(n <= GROUP, F.lit(1)).otherwise(F.call_function("shiftleft", F.lit(1), F.ceil(F.log2(n / GROUP)).cast("int")))
+def group_bits(n: Column) -> Column:
+    """The binary logarithm of the number of groups: the least that leaves about GROUP digests to a group."""
+    return F.when(n <= GROUP, F.lit(0)).otherwise(F.ceil(F.log2(n / GROUP)).cast("int"))
 
 
 def _placed(own: Column, cells: Column) -> Column:
@@ -88,41 +88,86 @@ def peel(cells: Column, size: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, round_)
 
 
-def _group_difference(a: Column, b: Column) -> Column:
-    """How many digests two groups differ in, recovered from their sketches."""
-    unknown = F.lit(-1)
+def _known(left: Column) -> Column:
+    """How many digests were recovered, or -1 where cells are left."""
+    return F.when(F.forall(left["cells"], lambda c: (c["n"] == 0) & (c["k"] == 0) & (c["x"] == 0)), F.size(left["found"])).otherwise(F.lit(-1))
+
+
+def _retried(a: Column, b: Column) -> Column:
+    """How many digests two groups differ in, recovered from larger and larger sketches; one with fewer cells than the least possible difference is not tried."""
+    least = F.abs(F.size(a) - F.size(b))
 
     def attempt(known, size):
         left = peel(difference(table(a, size), table(b, size)), size)
-        done = lambda s: F.when(F.forall(s["cells"], lambda c: (c["n"] == 0) & (c["k"] == 0) & (c["x"] == 0)), F.size(s["found"])).otherwise(unknown)
-        return F.when(known >= 0, known).otherwise(let(left, done))
+        return F.when((known >= 0) | (least > size), known).otherwise(let(left, _known))
 
-    tried = F.aggregate(F.array(*[F.lit(c) for c in RETRIES]), unknown, attempt)
+    tried = F.aggregate(F.array(*[F.lit(c) for c in RETRIES]), F.lit(-1), attempt)
     exact = F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))
     return let(tried, lambda t: F.when(t >= 0, t).otherwise(exact))
 
 
-def _group(own: Column, groups: Column, g: Column) -> Column:
-    return F.filter(own, lambda d: d.bitwiseAND((groups - 1).cast("long")) == g.cast("long"))
+def _two_to(k: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1), k)
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Shared digests over all digests of two texts, 0 to 1, from the sketches' difference."""
-    groups = group_count(F.greatest(F.size(a), F.size(b)))
-    parts = let(groups, lambda n: F.transform(F.sequence(F.lit(0), n - 1), lambda g: let(_group(a, n, g), lambda x: let(_group(b, n, g), lambda y: _group_difference(x, y)))))
-    both = (F.size(a) + F.size(b)).cast("double")
-    apart = F.aggregate(parts, F.lit(0), lambda s, d: s + d)
-    return F.when(both == 0, F.lit(1.0)).otherwise(let(apart, lambda d: (both - d) / (both + d)))
+def split(own: Column, used: Column, bits: Column) -> Column:
+    """own, equal in its first `used` bits, as 2 ** bits groups in the order of the bits that follow. Three steps, so a digest is looked at about 3 * 2 ** (bits / 3) times."""
+
+    def level(group, before, n):
+        of = lambda d: F.call_function("shiftrightunsigned", d, F.lit(64) - before - n)
+        mask = (_two_to(n) - 1).cast("long")
+        parts = F.transform(F.sequence(F.lit(0), _two_to(n) - 1), lambda g: F.filter(group, lambda d: of(d).bitwiseAND(mask) == g.cast("long")))
+        return F.when(n <= 0, F.array(group)).otherwise(parts)
+
+    first = F.ceil(bits / 3).cast("int")
+    second = F.ceil((bits - first) / 2).cast("int")
+    once = level(own, used, first)
+    twice = F.flatten(F.transform(once, lambda g: level(g, used + first, second)))
+    return F.when(bits <= 2, level(own, used, bits)).otherwise(F.flatten(F.transform(twice, lambda g: level(g, used + first + second, bits - first - second))))
+
+
+def tables(own: Column) -> Column:
+    """The fingerprint as arrays: the table of each group of digests."""
+    return F.transform(split(own, F.lit(0), group_bits(F.size(own))), lambda g: table(g, F.lit(CELLS)))
+
 
+def folded(t: Column, n: Column) -> Column:
+    """The tables of n groups from those of more: groups nest, and tables add up cell by cell."""
+    add = lambda x, y: F.zip_with(x, y, lambda p, q: F.struct((p["n"] + q["n"]).alias("n"), p["k"].bitwiseXOR(q["k"]).alias("k"), p["x"].bitwiseXOR(q["x"]).alias("x")))
+    each = (F.size(t) / n).cast("int")
+    sums = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.aggregate(F.slice(t, i * each + 2, each - 1), t[i * each], add))
+    return F.when(F.size(t) == n, t).otherwise(sums)
 
-def encoded(own: Column) -> Column:
-    """The sketch as text: the number of groups, then base64 of all cells (count, digest, check)."""
 
-    def cells(n):
-        each = F.transform(F.sequence(F.lit(0), n - 1), lambda g: F.array_join(F.transform(table(_group(own, n, g), F.lit(CELLS)), lambda c: F.concat(F.lpad(F.hex(c["n"]), 2, "0"), F.lpad(F.hex(c["k"]), 16, "0"), F.lpad(F.hex(c["x"]), 4, "0"))), ""))
-        return F.concat(n.cast("string"), F.lit(":"), F.base64(F.unhex(F.array_join(each, ""))))
+def _sum(parts: Column) -> Column:
+    return F.aggregate(parts, F.lit(0), lambda s, d: s + d)
+
+
+def recovered(ta: Column, tb: Column) -> Column:
+    """How many digests two fingerprints differ in, for each group of the smaller one, to whose groups the other is folded: they are subtracted and peeled; -1 where that is stuck."""
+    n = F.least(F.size(ta), F.size(tb))
+    return F.zip_with(folded(ta, n), folded(tb, n), lambda x, y: let(peel(difference(x, y), F.lit(CELLS)), _known))
+
+
+def apart(a: Column, b: Column, found: Column) -> Column:
+    """How many digests a and b differ in: what `recovered` found; its stuck groups are split to the finer of both groupings and sketched anew from the digests."""
+    some, most = (f(group_bits(F.size(a)), group_bits(F.size(b))) for f in (F.least, F.greatest))
+    finer = lambda x, y: _sum(F.zip_with(split(x, some, most - some), split(y, some, most - some), _retried))
+    pairs = F.arrays_zip(found.alias("found"), split(a, F.lit(0), some).alias("a"), split(b, F.lit(0), some).alias("b"))
+    again = F.transform(pairs, lambda p: F.when(p["found"] >= 0, p["found"]).otherwise(finer(p["a"], p["b"])))
+    return F.when(F.forall(found, lambda d: d >= 0), _sum(found)).otherwise(_sum(again))
+
+
+def likeness(a: Column, b: Column, d: Column) -> Column:
+    """Shared digests over all digests of two texts that differ in d, 0 to 1."""
+    both = (F.size(a) + F.size(b)).cast("double")
+    return F.when(both == 0, F.lit(1.0)).otherwise((both - d) / (both + d))
+
 
-    return let(group_count(F.size(own)), cells)
+def encoded(t: Column) -> Column:
+    """The fingerprint as text: the number of groups, then base64 of all cells (count, digest, check)."""
+    each = F.transform(t, lambda cells: F.array_join(F.transform(cells, lambda c: F.concat(F.lpad(F.hex(c["n"]), 2, "0"), F.lpad(F.hex(c["k"]), 16, "0"), F.lpad(F.hex(c["x"]), 4, "0"))), ""))
+    return F.concat(F.size(t).cast("string"), F.lit(":"), F.base64(F.unhex(F.array_join(each, ""))))
 
 
 def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
@@ -170,5 +215,9 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     tail = F.floor(F.col("n_chars") / 4).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars") - tail), F.substring("next_text", F.lit(1), tail)))
     rows = rows.select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("text")).alias("_a"), digests(F.col("edited")).alias("_e"), digests(F.col("next_text")).alias("_n"))
+    rows = rows.withColumns({f"_t{c}": tables(F.col(f"_{c}")) for c in "aen"})
+    # a step a column: nested further, the analyzer's rounds don't suffice
+    rows = rows.withColumns({f"_f{c}": recovered(F.col("_ta"), F.col(f"_t{c}")) for c in "en"})
+    rows = rows.withColumns({f"_d{c}": apart(F.col("_a"), F.col(f"_{c}"), F.col(f"_f{c}")) for c in "en"})
     a, e, n = F.col("_a"), F.col("_e"), F.col("_n")
-    return rows.select("doc_id", "n_chars", "edited_sha256", encoded(a).alias("fingerprint"), encoded(e).alias("edited_fingerprint"), likeness(a, e).alias("near_edited"), likeness(a, n).alias("near_next"))
+    return rows.select("doc_id", "n_chars", "edited_sha256", encoded(F.col("_ta")).alias("fingerprint"), encoded(F.col("_te")).alias("edited_fingerprint"), likeness(a, e, F.col("_de")).alias("near_edited"), likeness(a, n, F.col("_dn")).alias("near_next"))
