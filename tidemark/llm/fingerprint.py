@@ -23,7 +23,7 @@ from .tables import let
 PIECE = 128
 GROUP = 16
 CELLS = 24
-RETRIES = (48, 96, 384)
+RETRIES = (96, 384)
 ROUNDS = 24
 _CHECK = 0xFFFF
 
@@ -114,10 +114,9 @@ def split(own: Column, used: Column, bits: Column) -> Column:
     """own, equal in its first `used` bits, as 2 ** bits groups in the order of the bits that follow. Three steps, so a digest is looked at about 3 * 2 ** (bits / 3) times."""
 
     def level(group, before, n):
-        of = lambda d: F.call_function("shiftrightunsigned", d, F.lit(64) - before - n)
-        mask = (_two_to(n) - 1).cast("long")
-        parts = F.transform(F.sequence(F.lit(0), _two_to(n) - 1), lambda g: F.filter(group, lambda d: of(d).bitwiseAND(mask) == g.cast("long")))
-        return F.when(n <= 0, F.array(group)).otherwise(parts)
+        bounds = F.struct((F.lit(64) - before - n).alias("shift"), (_two_to(n) - 1).cast("long").alias("mask"))  # found once, not for each digest
+        parts = lambda p: F.transform(F.sequence(F.lit(0).cast("long"), p["mask"]), lambda g: F.filter(group, lambda d: F.call_function("shiftrightunsigned", d, p["shift"]).bitwiseAND(p["mask"]) == g))
+        return F.when(n <= 0, F.array(group)).otherwise(let(bounds, parts))
 
     first = F.ceil(bits / 3).cast("int")
     second = F.ceil((bits - first) / 2).cast("int")
