@@ -157,3 +157,25 @@ def test_two_texts_of_one_hash_stay_apart(spark, monkeypatch):
     rows = [(1, "one two three four five six"), (2, "six seven eight nine ten eleven"), (3, "one two three four five six"), (4, "lone")]
     got = {r.doc_id: r.class_id for r in minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: 1, 2: 2, 3: 1, 4: 4}
+
+
+def test_mixed_cells_hold_every_key_of_two_labels(spark):
+    import numpy as np
+
+    rng = random.Random(11)
+    keys = [rng.getrandbits(64) - (1 << 63) for _ in range(4000)]
+    rows = [([rng.choice(keys[: 40 * (1 + label)]) for _ in range(rng.randint(0, 9))], node, label, 0.0, 0.0, 0.0, 0.0) for node, label in ((n, rng.randint(0, 60)) for n in range(900))]
+    placed = spark.createDataFrame(rows, "keys array<long>, node long, label long, apart double, reach double, surplus double, size double").repartition(7)
+    by_key = {}
+    for ks, _, label, *_ in rows:
+        for k in ks:
+            by_key.setdefault(k, set()).add(label)
+    by_cell = {}
+    for k, labels in by_key.items():
+        by_cell.setdefault((k % (1 << 64)) >> 44, set()).update(labels)
+    mixed = minhash.mixed_cells(placed)
+    assert set(np.flatnonzero(np.unpackbits(mixed)).tolist()) == {c for c, labels in by_cell.items() if len(labels) > 1}
+    dealt = {(r["key"], r["node"]) for r in minhash._dealt(placed, mixed).collect()}
+    assert dealt >= {(k, n) for ks, n, *_ in rows for k in ks if len(by_key[k]) > 1}
+    assert not any(len(by_cell[(k % (1 << 64)) >> 44]) == 1 for k, _ in dealt)
+    assert not minhash.mixed_cells(placed.limit(0)).any()

@@ -19,7 +19,8 @@ d(y, C) >= d(L, C) for any y, x can be linked to y only if they share a differen
 both less. So new bands are (C, difference), for the DELTAS differences of either kind of least hash of each member; all links are in
 them where texts have no more differences than that. Members that can have no partner in a new band go: in one of more, those with
 |d(x, C) - d(y, C)| > g; in one of less, if nothing that C lacks is shared, those with R(y) - A(y) < R(x) + A(x) - g (A: the weight that C lacks, R: the
-weight that the text lacks). The new bands are treated in the same way; one of FEW members at most is compared whole and
+weight that the text lacks). Keys that one class alone holds make no band: a sketch of fixed size,
+the least and greatest label of each cell of keys, drops most of them before members are dealt, and exact counts the rest. The new bands are treated in the same way; one of FEW members at most is compared whole and
 ends there. All members of a band lie on one side of C in its difference, so the next consensus is closer to them there: the rounds end,
 with pairs and rows linear in the members.
 
@@ -364,11 +365,75 @@ def classes_of_texts(texts: DataFrame, copies: DataFrame) -> DataFrame:
         pairs = led.where("label <> top.label").select("node", "lead").union(_met(rows.where(F.col("n") <= FEW))).distinct()
         labels = _relabelled(labels, _verified(pairs, blobs, common))
         # a large band is dealt out by all tasks
-        dealt = told.repartition(F.col("node")).join(labels, "node").select(F.explode("keys").alias("key"), "node", "label", "apart", "reach", "surplus", "size")
-        rows = stored(_open(_able(dealt)), "open")
+        placed = stored(told.repartition(F.col("node")).join(labels, "node").select("keys", "node", "label", "apart", "reach", "surplus", "size"), "placed")
+        rows = stored(_open(_able(_dealt(placed, mixed_cells(placed)))), "open")
     return labels
 
 
+def _by_cell(batches):
+    """The least and the greatest label of each cell that the keys of a task fall into, packed a block."""
+    from pyspark import TaskContext
+
+    part = TaskContext.get().partitionId() % BLOCKS
+    lo, hi = np.full(CELLS, np.iinfo(np.int64).max), np.full(CELLS, np.iinfo(np.int64).min)
+    for b in batches:
+        keys = b.column(0)
+        cell = keys.flatten().to_numpy().view(np.uint64) >> np.uint64(44)
+        label = np.repeat(b.column(1).to_numpy(), keys.value_lengths().to_numpy())
+        np.minimum.at(lo, cell, label)
+        np.maximum.at(hi, cell, label)
+    for block, (x, y) in enumerate(zip(np.split(lo, BLOCKS), np.split(hi, BLOCKS))):
+        at = np.flatnonzero(x <= y)
+        if len(at):
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "part": pa.array([part], pa.int32()), "at": [at.astype(np.int32).tobytes()], "lo": [x[at].tobytes()], "hi": [y[at].tobytes()]})
+
+
+def _least_and_greatest(parts: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    lo, hi = np.full(CELLS // BLOCKS, np.iinfo(np.int64).max), np.full(CELLS // BLOCKS, np.iinfo(np.int64).min)
+    for at, x, y in zip(parts["at"], parts["lo"], parts["hi"]):
+        at = np.frombuffer(at.as_buffer(), np.int32)
+        lo[at] = np.minimum(lo[at], np.frombuffer(x.as_buffer(), np.int64))
+        hi[at] = np.maximum(hi[at], np.frombuffer(y.as_buffer(), np.int64))
+    return lo, hi
+
+
+def _some(parts: pa.Table) -> pa.Table:
+    lo, hi = _least_and_greatest(parts)
+    at = np.flatnonzero(lo <= hi)
+    return pa.table({"block": parts["block"][:1], "at": pa.array([at.astype(np.int32).tobytes()], pa.binary()), "lo": pa.array([lo[at].tobytes()], pa.binary()), "hi": pa.array([hi[at].tobytes()], pa.binary())})
+
+
+def _all(parts: pa.Table) -> pa.Table:
+    lo, hi = _least_and_greatest(parts)
+    return pa.table({"block": parts["block"][:1], "mixed": pa.array([np.packbits(lo < hi).tobytes()], pa.binary())})
+
+
+def mixed_cells(placed: DataFrame) -> np.ndarray:
+    """Bits of the cells in which the keys of placed(keys, label, ...) have two labels or more. A key of two labels is in
+    such a cell; others may be too, the more of them the more keys there are, for the number of cells is fixed."""
+    parts = placed.select("keys", "label").mapInArrow(_by_cell, "block int, part int, at binary, lo binary, hi binary")
+    parts = parts.groupBy("block", "part").applyInArrow(_some, "block int, at binary, lo binary, hi binary")
+    bits = np.zeros((BLOCKS, CELLS // BLOCKS // 8), np.uint8)
+    for r in parts.groupBy("block").applyInArrow(_all, "block int, mixed binary").collect():  # BLOCKS rows
+        bits[r["block"]] = np.frombuffer(r["mixed"], np.uint8)
+    return bits.reshape(-1)
+
+
+def _dealt(placed: DataFrame, mixed: np.ndarray) -> DataFrame:
+    """A row of placed for each of its keys in mixed cells."""
+
+    def run(batches):
+        cells = np.unpackbits(mixed).astype(bool)
+        for b in batches:
+            keys = b.column(0)
+            flat = keys.flatten()
+            held = cells[flat.to_numpy().view(np.uint64) >> np.uint64(44)]
+            row = pa.array(np.repeat(np.arange(b.num_rows), keys.value_lengths().to_numpy())[held])
+            yield pa.RecordBatch.from_arrays([flat.filter(pa.array(held)), *(c.take(row) for c in b.columns[1:])], names=["key", *b.schema.names[1:]])
+
+    return placed.mapInArrow(run, "key long, node long, label long, apart double, reach double, surplus double, size double")
+
+
 def _met(rows: DataFrame) -> DataFrame:
     """The pairs (node, lead) of different labels in keys of FEW rows at most."""
     band = rows.groupBy("key").agg(F.collect_list(F.struct("node", "label")).alias("m"))
