@@ -166,16 +166,37 @@ def test_mixed_cells_hold_every_key_of_two_labels(spark):
     keys = [rng.getrandbits(64) - (1 << 63) for _ in range(4000)]
     rows = [([rng.choice(keys[: 40 * (1 + label)]) for _ in range(rng.randint(0, 9))], node, label, 0.0, 0.0, 0.0, 0.0) for node, label in ((n, rng.randint(0, 60)) for n in range(900))]
     placed = spark.createDataFrame(rows, "keys array<long>, node long, label long, apart double, reach double, surplus double, size double").repartition(7)
+    cell = lambda k: ((k % (1 << 64)) >> 45) * 2 + k % 2
     by_key = {}
     for ks, _, label, *_ in rows:
         for k in ks:
             by_key.setdefault(k, set()).add(label)
     by_cell = {}
     for k, labels in by_key.items():
-        by_cell.setdefault((k % (1 << 64)) >> 44, set()).update(labels)
+        by_cell.setdefault(cell(k), set()).update(labels)
     mixed = minhash.mixed_cells(placed)
-    assert set(np.flatnonzero(np.unpackbits(mixed)).tolist()) == {c for c, labels in by_cell.items() if len(labels) > 1}
+    assert set(mixed[0].tolist()) == {c for c, labels in by_cell.items() if len(labels) > 1}
     dealt = {(r["key"], r["node"]) for r in minhash._dealt(placed, mixed).collect()}
     assert dealt >= {(k, n) for ks, n, *_ in rows for k in ks if len(by_key[k]) > 1}
-    assert not any(len(by_cell[(k % (1 << 64)) >> 44]) == 1 for k, _ in dealt)
-    assert not minhash.mixed_cells(placed.limit(0)).any()
+    assert not any(len(by_cell[cell(k)]) == 1 for k, _ in dealt)
+    assert not len(minhash.mixed_cells(placed.limit(0))[0])
+
+
+def test_dealt_keeps_every_pair_that_may_be_linked(spark):
+    rng = random.Random(12)
+    keys = [rng.getrandbits(64) - (1 << 63) for _ in range(200)]
+    draw = lambda: [rng.uniform(0, 400), rng.uniform(0, 400), rng.uniform(-200, 200), rng.uniform(20, 900)]
+    rows = [(rng.sample(keys, rng.randint(0, 4)), n, rng.randint(0, 9), *draw()) for n in range(500)]
+    placed = spark.createDataFrame(rows, "keys array<long>, node long, label long, apart double, reach double, surplus double, size double").repartition(5)
+    dealt = minhash._dealt(placed, minhash.mixed_cells(placed))
+    assert dealt.count() < sum(len(r[0]) for r in rows)
+    left = {(r["key"], r["node"]) for r in minhash._able(dealt).collect()}
+    met = set()
+    for k in keys:
+        own = [r[1:] for r in rows if k in r[0]]
+        for x, label, apart, reach, surplus, size in own:
+            for y, label_y, apart_y, reach_y, surplus_y, size_y in own:
+                g = (size + size_y) * minhash.APART
+                if label != label_y and (k % 2 == 0 or surplus_y >= reach - g and surplus >= reach_y - g):
+                    met |= {(k, x), (k, y)}
+    assert met and left >= met

@@ -17,10 +17,9 @@ weights, similarity of at least THRESHOLD is d(x, y) <= g, where g is (1 - THRES
 member nearest to C: all members of other classes are compared with L. If x and L are not linked, then d(x, C) + d(L, C) > g, and as
 d(y, C) >= d(L, C) for any y, x can be linked to y only if they share a difference: a shingle of which both have more than C, or
 both less. So new bands are (C, difference), for the DELTAS differences of either kind of least hash of each member; all links are in
-them where texts have no more differences than that. Members that can have no partner in a new band go: in one of more, those with
-|d(x, C) - d(y, C)| > g; in one of less, if nothing that C lacks is shared, those with R(y) - A(y) < R(x) + A(x) - g (A: the weight that C lacks, R: the
-weight that the text lacks). Keys that one class alone holds make no band: a sketch of fixed size,
-the least and greatest label of each cell of keys, drops most of them before members are dealt, and exact counts the rest. The new bands are treated in the same way; one of FEW members at most is compared whole and
+them where texts have no more differences than that. Members that can have no partner in a new band of less go: if nothing that C lacks is shared, those with R(y) - A(y) < R(x) + A(x) - g (A: the weight that C lacks, R: the
+weight that the text lacks). Keys that one class alone holds make no band. A sketch of fixed size,
+the bounds of each cell of keys, drops most of these and of those members before they are dealt, and the bounds of each key the rest. The new bands are treated in the same way; one of FEW members at most is compared whole and
 ends there. All members of a band lie on one side of C in its difference, so the next consensus is closer to them there: the rounds end,
 with pairs and rows linear in the members.
 
@@ -366,70 +365,82 @@ def classes_of_texts(texts: DataFrame, copies: DataFrame) -> DataFrame:
         labels = _relabelled(labels, _verified(pairs, blobs, common))
         # a large band is dealt out by all tasks
         placed = stored(told.repartition(F.col("node")).join(labels, "node").select("keys", "node", "label", "apart", "reach", "surplus", "size"), "placed")
-        rows = stored(_open(_able(_dealt(placed, mixed_cells(placed)))), "open")
+        rows = stored(_open(_able(stored(_dealt(placed, mixed_cells(placed)), "dealt"))), "open")
     return labels
 
 
+def _cell(keys: np.ndarray) -> np.ndarray:
+    """A key's cell; those of more and of less share none."""
+    return ((keys >> np.uint64(45)) << np.uint64(1) | keys & np.uint64(1)).astype(np.int64)
+
+
+def _none(cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each cell, the minima so far of (label, ~label) and of (reach, -surplus, -size)."""
+    return np.full((2, cells), np.iinfo(np.int64).max), np.full((3, cells), np.inf)
+
+
 def _by_cell(batches):
-    """The least and the greatest label of each cell that the keys of a task fall into, packed a block."""
+    """The minima of the cells that the keys of a task fall into, packed a block."""
     from pyspark import TaskContext
 
     part = TaskContext.get().partitionId() % BLOCKS
-    lo, hi = np.full(CELLS, np.iinfo(np.int64).max), np.full(CELLS, np.iinfo(np.int64).min)
+    labels, bounds = _none(CELLS)
     for b in batches:
         keys = b.column(0)
-        cell = keys.flatten().to_numpy().view(np.uint64) >> np.uint64(44)
-        label = np.repeat(b.column(1).to_numpy(), keys.value_lengths().to_numpy())
-        np.minimum.at(lo, cell, label)
-        np.maximum.at(hi, cell, label)
-    for block, (x, y) in enumerate(zip(np.split(lo, BLOCKS), np.split(hi, BLOCKS))):
-        at = np.flatnonzero(x <= y)
+        cell = _cell(keys.flatten().to_numpy().view(np.uint64))
+        label, reach, surplus, size = (np.repeat(c.to_numpy(), keys.value_lengths().to_numpy()) for c in b.columns[1:])
+        for least, value in zip([*labels, *bounds], [label, ~label, reach, -surplus, -size]):
+            np.minimum.at(least, cell, value)
+    for block, (x, y) in enumerate(zip(np.split(labels, BLOCKS, 1), np.split(bounds, BLOCKS, 1))):
+        at = np.flatnonzero(np.isfinite(y[0]))
         if len(at):
-            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "part": pa.array([part], pa.int32()), "at": [at.astype(np.int32).tobytes()], "lo": [x[at].tobytes()], "hi": [y[at].tobytes()]})
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "part": pa.array([part], pa.int32()), "at": [at.astype(np.int32).tobytes()], "labels": [x[:, at].tobytes()], "bounds": [y[:, at].tobytes()]})
 
 
-def _least_and_greatest(parts: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    lo, hi = np.full(CELLS // BLOCKS, np.iinfo(np.int64).max), np.full(CELLS // BLOCKS, np.iinfo(np.int64).min)
-    for at, x, y in zip(parts["at"], parts["lo"], parts["hi"]):
+def _merged(parts: pa.Table, mixed: bool) -> pa.Table:
+    """A block's minima over some tasks, of all cells or of those with two labels."""
+    labels, bounds = _none(CELLS // BLOCKS)
+    for at, x, y in zip(parts["at"], parts["labels"], parts["bounds"]):
         at = np.frombuffer(at.as_buffer(), np.int32)
-        lo[at] = np.minimum(lo[at], np.frombuffer(x.as_buffer(), np.int64))
-        hi[at] = np.maximum(hi[at], np.frombuffer(y.as_buffer(), np.int64))
-    return lo, hi
-
-
-def _some(parts: pa.Table) -> pa.Table:
-    lo, hi = _least_and_greatest(parts)
-    at = np.flatnonzero(lo <= hi)
-    return pa.table({"block": parts["block"][:1], "at": pa.array([at.astype(np.int32).tobytes()], pa.binary()), "lo": pa.array([lo[at].tobytes()], pa.binary()), "hi": pa.array([hi[at].tobytes()], pa.binary())})
-
-
-def _all(parts: pa.Table) -> pa.Table:
-    lo, hi = _least_and_greatest(parts)
-    return pa.table({"block": parts["block"][:1], "mixed": pa.array([np.packbits(lo < hi).tobytes()], pa.binary())})
-
-
-def mixed_cells(placed: DataFrame) -> np.ndarray:
-    """Bits of the cells in which the keys of placed(keys, label, ...) have two labels or more. A key of two labels is in
-    such a cell; others may be too, the more of them the more keys there are, for the number of cells is fixed."""
-    parts = placed.select("keys", "label").mapInArrow(_by_cell, "block int, part int, at binary, lo binary, hi binary")
-    parts = parts.groupBy("block", "part").applyInArrow(_some, "block int, at binary, lo binary, hi binary")
-    bits = np.zeros((BLOCKS, CELLS // BLOCKS // 8), np.uint8)
-    for r in parts.groupBy("block").applyInArrow(_all, "block int, mixed binary").collect():  # BLOCKS rows
-        bits[r["block"]] = np.frombuffer(r["mixed"], np.uint8)
-    return bits.reshape(-1)
-
-
-def _dealt(placed: DataFrame, mixed: np.ndarray) -> DataFrame:
-    """A row of placed for each of its keys in mixed cells."""
+        labels[:, at] = np.minimum(labels[:, at], np.frombuffer(x.as_buffer(), np.int64).reshape(2, -1))
+        bounds[:, at] = np.minimum(bounds[:, at], np.frombuffer(y.as_buffer(), np.float64).reshape(3, -1))
+    at = np.flatnonzero(np.isfinite(bounds[0]) & ((labels[0] != ~labels[1]) | (not mixed)))
+    packed = {"at": at.astype(np.int32), "labels": labels[:, at], "bounds": bounds[:, at]}
+    return pa.table({"block": parts["block"][:1], **{c: pa.array([x.tobytes()], pa.binary()) for c, x in packed.items()}})
+
+
+def mixed_cells(placed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The cells in which the keys of placed(keys, label, reach, surplus, size, ...) have two labels or more, and the minima there
+    of reach, -surplus and -size. A key of two labels is in such a cell; others may be too, the more of them the more keys
+    there are, for the number of cells is fixed, and with it what the driver holds (at most CELLS minima of each kind)."""
+    packed = "at binary, labels binary, bounds binary"
+    parts = placed.select("keys", "label", "reach", "surplus", "size").mapInArrow(_by_cell, f"block int, part int, {packed}")
+    parts = parts.groupBy("block", "part").applyInArrow(lambda t: _merged(t, False), f"block int, {packed}")
+    rows = parts.groupBy("block").applyInArrow(lambda t: _merged(t, True), f"block int, {packed}").select("block", "at", "bounds").collect()
+    at = [np.frombuffer(r["at"], np.int32).astype(np.int64) + r["block"] * (CELLS // BLOCKS) for r in rows]
+    bounds = [np.frombuffer(r["bounds"], np.float64).reshape(3, -1) for r in rows]
+    return np.concatenate([np.zeros(0, np.int64), *at]), np.concatenate([np.zeros((3, 0)), *bounds], 1)
+
+
+def _dealt(placed: DataFrame, mixed: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """A row of placed for each of its keys in mixed cells, but for those that `_able` drops by the bounds of the cell, which are no tighter than the key's."""
+    shared = placed.sparkSession.sparkContext.broadcast(mixed)
 
     def run(batches):
-        cells = np.unpackbits(mixed).astype(bool)
+        at, bounds = shared.value
+        slot = np.full(CELLS, -1)
+        slot[at] = np.arange(len(at))
         for b in batches:
             keys = b.column(0)
-            flat = keys.flatten()
-            held = cells[flat.to_numpy().view(np.uint64) >> np.uint64(44)]
-            row = pa.array(np.repeat(np.arange(b.num_rows), keys.value_lengths().to_numpy())[held])
-            yield pa.RecordBatch.from_arrays([flat.filter(pa.array(held)), *(c.take(row) for c in b.columns[1:])], names=["key", *b.schema.names[1:]])
+            flat = keys.flatten().to_numpy()
+            to, row = slot[_cell(flat.view(np.uint64))], np.repeat(np.arange(b.num_rows), keys.value_lengths().to_numpy())
+            flat, row, to = flat[to >= 0], row[to >= 0], to[to >= 0]
+            reach, surplus, size = (c.to_numpy()[row] for c in b.columns[4:])
+            low, rest, most = bounds[0][to], -bounds[1][to], -bounds[2][to]
+            g = (size + most) * APART + 0.01
+            able = (flat & 1 == 0) | ((rest >= reach - g) & (surplus >= low - 2 * APART * most - 0.01))
+            row = pa.array(row[able])
+            yield pa.RecordBatch.from_arrays([pa.array(flat[able]), *(c.take(row) for c in b.columns[1:])], names=["key", *b.schema.names[1:]])
 
     return placed.mapInArrow(run, "key long, node long, label long, apart double, reach double, surplus double, size double")
 
@@ -449,9 +460,9 @@ def _open(rows: DataFrame) -> DataFrame:
 
 def _able(rows: DataFrame) -> DataFrame:
     """rows(key, node, label, apart, reach, surplus, size) without those that no other of the key can be linked to by what they share there."""
-    most = rows.groupBy("key").agg((F.min("label") != F.max("label")).alias("mixed"), *(f(c).alias(n) for f, c, n in ((F.max, "size", "long"), (F.min, "apart", "near"), (F.min, "reach", "low"), (F.max, "surplus", "rest")))).where("mixed").drop("mixed")
+    most = rows.groupBy("key").agg((F.min("label") != F.max("label")).alias("mixed"), *(f(c).alias(n) for f, c, n in ((F.max, "size", "long"), (F.min, "reach", "low"), (F.max, "surplus", "rest")))).where("mixed").drop("mixed")
     g = (F.col("size") + F.col("long")) * APART + 0.01  # sums are rounded
-    able = F.when(F.col("key").bitwiseAND(1) == 0, F.col("apart") - F.col("near") <= g).otherwise((F.col("rest") >= F.col("reach") - g) & (F.col("surplus") >= F.col("low") - 2 * APART * F.col("long") - 0.01))
+    able = (F.col("key").bitwiseAND(1) == 0) | ((F.col("rest") >= F.col("reach") - g) & (F.col("surplus") >= F.col("low") - 2 * APART * F.col("long") - 0.01))
     return rows.join(most, "key").where(able).select("key", "node", "label")
 
 
