@@ -66,3 +66,12 @@ s AS (SELECT *, CAST(passes * size + part AS BIGINT) AS taken FROM q)
 SELECT doc_id, size, source_size, target, taken, CASE WHEN taken > 0 THEN {_position('before')} END AS first_position,
   CASE WHEN (passes = 1 AND part > 0) OR (passes = 2 AND size > 0) THEN {_position('(before + source_size)')} END AS second_position FROM s
 """
+
+INFILL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+r AS (SELECT *, [CAST('0x' || substr(h, 8 * k + 1, 8) AS BIGINT) FOR k IN [0, 1, 2, 3]] AS h4 FROM d),
+e AS (SELECT *, least(h4[1] % (n + 1), h4[2] % (n + 1)) AS p, greatest(h4[1] % (n + 1), h4[2] % (n + 1)) AS q, CASE WHEN t = '' OR regexp_matches(t, '<[PSM]>') OR h4[3] % 100 >= 90 THEN 'plain' WHEN h4[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM r),
+s AS (SELECT *, substr(t, 1, p) AS a, substr(t, p + 1, q - p) AS m, substr(t, q + 1) AS z FROM e)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(p AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(q - p AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || m ELSE '<S>' || z || '<P>' || a || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM s
+"""

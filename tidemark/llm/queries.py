@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, html_text, kneser_ney, minhash, mixing, oracles, packing, pitman_yor, quality_rules, secrets, warc
+from . import fingerprint, html_text, infill, kneser_ney, minhash, mixing, oracles, packing, pitman_yor, quality_rules, secrets, warc
 from .tables import table
 
 
@@ -90,3 +90,15 @@ def op8_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op8_kneser_ney_quality"] = op8_kneser_ney_quality
 ORACLES["op2_quality_rules"] = oracles.QUALITY
 ORACLES["op4_curriculum_mix"] = oracles.MIX
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = lambda c: F.sha2(c, 256)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(infill.restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+QUERIES["op12_fill_in_middle"] = op12_fill_in_middle
+ORACLES["op12_fill_in_middle"] = oracles.INFILL
