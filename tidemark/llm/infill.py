@@ -78,7 +78,7 @@ def transform(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rate:
             for b in batches:
                 for part in _slices(b):
                     con.register("batch", pa.Table.from_batches([part]))
-                    yield from con.execute(sql).to_arrow_table().select(names).to_batches()
+                    yield from con.sql(sql).to_arrow_table().select(names).to_batches()
                     con.unregister("batch")
         finally:
             con.close()
