@@ -75,3 +75,43 @@ s AS (SELECT *, substr(t, 1, p) AS a, substr(t, p + 1, q - p) AS m, substr(t, q
 SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(p AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(q - p AS BIGINT) END AS middle_chars,
   sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || m ELSE '<S>' || z || '<P>' || a || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM s
 """
+
+
+def _levels(name: str, base: str, depth: int) -> str:
+    """CTEs of a tree over base(g, pos, node, n): the levels name0 and on, the siblings left and right of each node in name_s0 and on. A lone node stays as it is."""
+    out = [f"{name}0 AS ({base})"]
+    for k in range(depth):
+        out.append(f"{name}_s{k} AS (SELECT a.g, a.pos, coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS l, coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS r, a.n FROM {name}{k} a JOIN {name}{k} b ON a.g = b.g AND a.pos // 16 = b.pos // 16 GROUP BY a.g, a.pos, a.n)")
+        out.append(f"{name}{k + 1} AS (SELECT g, pos // 16 AS pos, CASE WHEN n = 1 THEN any_value(node) ELSE sha256(string_agg(node, '' ORDER BY pos)) END AS node, (n + 15) // 16 AS n FROM {name}{k} GROUP BY g, pos // 16, n)")
+    return ",\n".join(out)
+
+
+def _merkle(rows: int = 5, groups: int = 3) -> str:
+    """For groups of 16 ** rows leaves and 16 ** groups groups pos most."""
+    enc = lambda c: f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = lambda text: f"sha256({' || '.join(enc(c) for c in ('doc_id', 'source', 'lang', 'n_chars'))} || {enc(text)})"
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    ways = [(f"t_s{k}", f"w.pos // {16**k}", "w.g") for k in range(rows)] + [(f"u_s{k}", f"w.top // {16**k}", "'all'") for k in range(groups)]
+    joins = "\n".join(f"JOIN {t} s{i} ON s{i}.g = {g} AND s{i}.pos = {pos}" for i, (t, pos, g) in enumerate(ways))
+    steps = []
+    for i in range(len(ways)):
+        steps.append(f"f{i + 1} AS (SELECT * REPLACE (CASE WHEN n[{i + 1}] = 1 THEN cur ELSE sha256(l[{i + 1}] || cur || r[{i + 1}]) END AS cur) FROM f{i})")
+    every = lambda c: "[" + ", ".join(f"s{i}.{c}" for i in range(len(ways))) + "]"
+    return f"""
+WITH bits AS (SELECT list(list_reduce(list_prepend(CAST(i AS UBIGINT), [CAST(0 AS UBIGINT) FOR k IN range(8)]), lambda x, y: CASE WHEN x % 2 = 1 THEN xor(CAST(3988292384 AS UBIGINT), x // 2) ELSE x // 2 END) ORDER BY i) AS t FROM range(256) AS b(i)),
+crc AS (SELECT doc_id AS crc_id, xor(CAST(4294967295 AS UBIGINT), list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), [CAST(ascii(c) AS UBIGINT) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
+  lambda x, y: xor(x // 256, t[CAST(xor(x % 256, y) AS BIGINT) + 1]))) AS crc FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), bits),
+d AS (SELECT documents.doc_id, coalesce('s' || source, 'n') AS g, {leaf('text')} AS leaf, CASE WHEN crc % 5 = 0 THEN {leaf(f"translate(text, '{upper}', '{upper.lower()}')")} ELSE {leaf('text')} END AS claim FROM documents LEFT JOIN crc ON doc_id = crc_id),
+o AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM d),
+{_levels('t', 'SELECT g, pos, leaf AS node, n FROM o', rows)},
+{_levels('u', f"SELECT 'all' AS g, row_number() OVER (ORDER BY g) - 1 AS pos, node, count(*) OVER () AS n FROM t{rows}", groups)},
+tops AS (SELECT g, node AS subroot, row_number() OVER (ORDER BY g) - 1 AS top FROM t{rows}),
+w AS (SELECT o.*, subroot, top FROM o JOIN tops USING (g)),
+f0 AS (SELECT w.doc_id, w.leaf, w.subroot, w.claim AS cur, {every('l')} AS l, {every('r')} AS r, {every('n')} AS n FROM w
+{joins}),
+{", ".join(steps)}
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string([l[k] || r[k] FOR k IN range(1, len(l) + 1)], '')) AS proof_sha256, cur AS folded_root, cur = root AS verified FROM f{len(ways)}, (SELECT node AS root FROM u{groups})
+"""
+
+
+MERKLE = _merkle()

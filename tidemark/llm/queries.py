@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, html_text, infill, kneser_ney, minhash, mixing, oracles, packing, pitman_yor, quality_rules, secrets, warc
+from . import fingerprint, html_text, infill, kneser_ney, merkle, minhash, mixing, oracles, packing, pitman_yor, quality_rules, rabit, secrets, warc
 from .tables import table
 
 
@@ -102,3 +102,28 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op12_fill_in_middle"] = op12_fill_in_middle
 ORACLES["op12_fill_in_middle"] = oracles.INFILL
+
+
+def op13_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return rabit.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
+QUERIES["op13_one_bit_neighbours"] = op13_one_bit_neighbours
+
+
+def merkle_audit(docs: DataFrame) -> DataFrame:
+    """Every row of docs against the manifest of all, with the text of every fifth, by a checksum of its id, in lower case."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lowered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.translate("text", upper, upper.lower())).otherwise(F.col("text"))
+    leaf = lambda text: merkle.leaf([F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text])
+    found = merkle.manifest(docs, leaf(F.col("text")), claim=leaf(lowered))
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_audit(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text"))
+
+
+QUERIES["op11_merkle_manifest"] = op11_merkle_manifest
+ORACLES["op11_merkle_manifest"] = oracles.MERKLE
