@@ -8,8 +8,8 @@ original vectors in double precision, if the upper end of its estimate reaches t
 
 A query set meets all codes in cells of a grid: queries are dealt into blocks, codes into others, and a cell holds one block of each, of
 BLOCK_BYTES of vectors at most, so no task and no group holds more however many there are. A cell returns the best k of each
-query; where there are more candidates than a block holds, a sample of root(candidates x block) of them gives each query a floor first, so that all the cells
-together return about k * candidates / sample rows a query. The work is queries times codes by nature; a code costs a query BITS times dimension
+query; of v blocks of codes, where v is large, the candidates of root(v) blocks' worth, a sample by hash, give each query a floor first, so that all cells
+together return about 2 * k * root(v) rows a query, not k * v. The work is queries times codes by nature; a code costs a query BITS times dimension
 multiplications of 32-bit floats.
 
 Defined results: vectors that are null, empty or zero, or hold a null or non-finite component take no part; vectors of different length do not meet, each
@@ -37,6 +37,10 @@ K = 20
 BITS, EPS, SEED = 4, 3.5, 7
 #: Bytes of 32-bit vectors in a block of queries or codes: 65,536 vectors of 64 dimensions.
 BLOCK_BYTES = 1 << 24
+#: Codes that a block has at least, where the data is dealt into more blocks than BLOCK_BYTES asks for, so that all tasks have one.
+LEAST_BLOCK = 4096
+#: Blocks of codes from which on floors are found first.
+FLOORS_FROM = 16
 #: Bytes of the lengths' means that are broadcast; beyond them the join is left to the planner.
 MOST_MEANS = 1 << 25
 #: Codes and queries that are estimated at once.
@@ -194,18 +198,20 @@ def _columns(t: pa.Table, dim: int, code: bool) -> dict[str, np.ndarray]:
     return got
 
 
-def _cells(asked: DataFrame, codes: DataFrame, n_asked: dict[int, int], n_codes: dict[int, int], k: int, id_type: str) -> DataFrame:
-    """The best k of each query in every block of codes, from its floor on."""
-    spread = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _blocks(n_asked: dict[int, int], n_codes: dict[int, int], spread: int) -> tuple[dict[int, int], dict[int, int]]:
+    """Blocks of queries and of codes, by length."""
     rows = lambda d: max(1, BLOCK_BYTES // (4 * d))
+    q = {d: max(1, -(-n // rows(d))) for d, n in n_asked.items()}
+    return q, {d: max(1, -(-n_codes.get(d, 0) // rows(d)), min(-(-spread // q[d]), n_codes.get(d, 0) // LEAST_BLOCK)) for d in q}
+
+
+def _cells(asked: DataFrame, codes: DataFrame, q_blocks: dict[int, int], v_blocks: dict[int, int], k: int, id_type: str) -> DataFrame:
+    """The best k of each query in every block of codes, from its floor on."""
     of = lambda pairs: F.create_map(*[F.lit(x) for p in pairs.items() for x in p])[F.col("dim")]  # noqa: E731  one entry a length
-    q_blocks = {d: max(1, -(-n // rows(d))) for d, n in n_asked.items()}
-    # as many cells as tasks where the data fits fewer blocks
-    v_blocks = {d: min(max(-(-n_codes.get(d, 1) // rows(d)), -(-spread // q)), max(1, n_codes.get(d, 1))) for d, q in q_blocks.items()}
     block = lambda n: F.pmod(F.xxhash64("uid"), of(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), of(n) - 1))
     left = asked.select("dim", block(q_blocks).alias("qb"), every(v_blocks).alias("vb"), "uid", "vec_id", "vector", "turned", "share", "floor")
-    right = codes.where(F.col("dim").isin(*n_asked)).select("dim", every(q_blocks).alias("qb"), block(v_blocks).alias("vb"), "uid", "vec_id", "vector", "bits", "far", "agree", "share")
+    right = codes.where(F.col("dim").isin(*q_blocks)).select("dim", every(q_blocks).alias("qb"), block(v_blocks).alias("vb"), "uid", "vec_id", "vector", "bits", "far", "agree", "share")
     right = right.select(*[F.col(c).alias(c) for c in right.columns])  # both sides come from one table: without names of its own the right one is read as the left
     key = ["dim", "qb", "vb"]
     schema = FOUND.format(id_type)
@@ -239,15 +245,17 @@ def search(coded: DataFrame, k: int = K) -> DataFrame:
     n_asked, n_codes = _counts(asked), _counts(coded)
     if not n_asked:
         return coded.sparkSession.createDataFrame([], f"query_id {id_type}, rank int, vec_id {id_type}, score double")
-    # candidates of a sample by hash, so large that floors and cells return as many rows
-    share = {d: math.sqrt(max(1, BLOCK_BYTES // (4 * d)) / n_codes[d]) for d in n_asked if n_codes[d] > BLOCK_BYTES // (4 * d)}
+    spread = int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    q_blocks, v_blocks = _blocks(n_asked, n_codes, spread)
+    share = {d: 1 / math.sqrt(v) for d, v in v_blocks.items() if v >= FLOORS_FROM}
     if share:
         part = F.create_map(*[F.lit(x) for d, s in share.items() for x in (d, int(s * (1 << 30)))])[F.col("dim")]
         drawn = coded.where(F.pmod(F.xxhash64("uid", F.lit("sample")), F.lit(1 << 30)) < part)
-        some = _ranked(_cells(asked.where(F.col("dim").isin(*share)), drawn, {d: n_asked[d] for d in share}, {d: max(1, int(n_codes[d] * s)) for d, s in share.items()}, k, id_type), k)
+        fewer = {d: -(-v_blocks[d] // max(1, math.isqrt(v_blocks[d]))) for d in share}
+        some = _ranked(_cells(asked.where(F.col("dim").isin(*share)), drawn, {d: q_blocks[d] for d in share}, fewer, k, id_type), k)
         floors = stored(some.groupBy(F.col("query_uid").alias("uid")).agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("_floor")), "floors")
         asked = asked.join(floors, "uid", "left").withColumn("floor", F.coalesce("_floor", "floor")).drop("_floor")
-    found = _ranked(_cells(asked, coded, n_asked, n_codes, k, id_type), k)
+    found = _ranked(_cells(asked, coded, q_blocks, v_blocks, k, id_type), k)
     return found.select("query_id", "rank", "vec_id", "score")
 
 
