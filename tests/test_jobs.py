@@ -95,6 +95,55 @@ def test_recovery_takes_the_later_job(spark, tmp_path):
     assert jobs.recover(listed.limit(0), m, base, "late", "2024-04-03 00:00:00")["lines"] == 0
 
 
+def test_recovery_finds_every_line_of_odd_and_nested_paths(spark, tmp_path):
+    """Spaces, percent signs and plus signs in names, a job's folder inside another's, a path without a scheme, a job that is one file."""
+    at, made = dt.datetime(2024, 3, 1), []
+
+    def job(k, name, i, path=None):
+        folder = tmp_path / name
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"part {k}.jsonl").write_text(line(result(i, "mixed")))
+        made.append((f"j{k}", "succeeded", at + dt.timedelta(days=k), path or f"file://{folder}"))
+
+    job(0, "with space", 0)
+    job(1, "a+b%20c", 1)
+    job(2, "plain", 2)
+    job(3, "plain/sub", 3)
+    job(4, "bare", 4, str(tmp_path / "bare"))
+    job(5, "one", 5, f"file://{tmp_path}/one/part 5.jsonl")
+    base, m = f"file://{tmp_path}/table", spark.createDataFrame(ROWS, MESSAGES)
+    listed = spark.createDataFrame(made, jobs.JOBS)
+    lines = jobs.answers(spark, jobs.finished(listed))
+    assert sorted((r.seq.job_id, json.loads(json.loads(r.value)["response"]["text"])["results"][0]["message_id"]) for r in lines.collect()) == [(f"j{i}", str(i)) for i in range(6)]
+    assert "NestedLoop" not in lines._jdf.queryExecution().executedPlan().toString()
+    assert jobs.recover(listed, m, base, "late", "2024-04-01 00:00:00") == {"lines": 6, "errors": 0, "written": 6, "skipped": 0, "checkpoint": False}
+    assert {r.message_id for r in store.read_current(spark, base).collect()} == set(range(6))
+    assert not [p for p in (tmp_path / "table").iterdir() if p.name.startswith("_recovered")]
+
+
+def test_a_line_of_no_job_stops_the_recovery(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "job"
+    folder.mkdir()
+    (folder / "a.jsonl").write_text(line(result(1)))
+    (folder / "b.jsonl").write_text(line(result(2)))
+    listed = spark.createDataFrame([("j", "succeeded", AT, f"file://{folder}")], jobs.JOBS)
+    real = jobs.read_answers
+    monkeypatch.setattr(jobs, "files_of", lambda s, j: s.createDataFrame([(f"file:{folder}/a.jsonl", "j", AT)], "file string, job_id string, create_time timestamp_ntz"))
+    monkeypatch.setattr(jobs, "read_answers", lambda s, paths: real(s, [f"file://{folder}"]))
+    with pytest.raises(Exception, match="a line of no job in .*b.jsonl"):
+        jobs.recover(listed, spark.createDataFrame(ROWS, MESSAGES), f"file://{tmp_path}/table", "late", "2024-04-01 00:00:00")
+    assert store.read_current(spark, f"file://{tmp_path}/table") is None
+
+
+def test_a_failed_checkpoint_is_told(spark, tmp_path):
+    folder = tmp_path / "job"
+    folder.mkdir()
+    (folder / "a.jsonl").write_text(line(result(1)))
+    listed = spark.createDataFrame([("j", "succeeded", AT, f"file://{folder}")], jobs.JOBS)
+    got = jobs.recover(listed, spark.createDataFrame(ROWS, MESSAGES), f"file://{tmp_path}/table", "late", "2024-04-02 00:00:00", checkpoint="none://nowhere/cp")
+    assert got["written"] == 1 and not got["checkpoint"] and "none" in got["checkpoint_error"]
+
+
 def test_files_round_trip(spark, tmp_path):
     path = f"file://{tmp_path}"
     m = spark.createDataFrame(ROWS, MESSAGES)
@@ -126,6 +175,12 @@ def test_request_files_and_packing_over_days(spark, tmp_path):
     path = f"file://{tmp_path}/requests"
     assert packing.write_requests(batches, path) == {f"requests_{k:03d}": 2 for k in range(1, 8)}
     assert len(packing.write_requests(batches.where("chunk_id < 3"), path)) == 2
+    # another prefix in the folder stays, and a file's lines are in the order of its batches
+    assert len(packing.write_requests(batches, path, "more")) == 7 and packing.write_requests(batches.where("chunk_id = 1"), path) == {"requests_001": 2}
+    names = sorted(p.name for p in (tmp_path / "requests").iterdir() if not p.name.startswith("."))
+    assert names == sorted([f"more_{k:03d}.jsonl" for k in range(1, 8)] + ["requests_001.jsonl"])
+    keys = [json.loads(x)["key"] for k in range(1, 8) for x in (tmp_path / f"requests/more_{k:03d}.jsonl").read_text().splitlines()]
+    assert keys == [r.key for r in batches.orderBy("batch_id").collect()]
     first = json.loads(packing.request_lines(batches).first().value)["request"]
     assert first["generation_config"]["response_schema"] == scoring.output_schema() and first["contents"][0]["parts"][0]["text"]
 

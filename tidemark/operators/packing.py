@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import json
+import re
+import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import estimated_tokens
+from tidemark.operators.ranges import ordinals
 from tidemark.operators.scoring import output_schema
+from tidemark.sources.keyed import file_system
 from tidemark.sources.messages import require_columns
 
 BATCH_SIZE, LINES_PER_CHUNK, OUTPUT_TOKENS = 15, 2500, 90
@@ -18,30 +22,19 @@ PRICES = {"live": (0.25, 1.50), "batch": (0.125, 0.75)}
 SYSTEM = "You label chat messages. Judge only the marked target line of each item, use the lines before it as context, and answer with one JSON object a target in the given order."
 
 
-def numbered(windows: DataFrame) -> DataFrame:
-    """windows with `ordinal`, their place in the order of channel, time and id, without one task for all rows.
+def numbered(windows: DataFrame, ranges: int | None = None) -> DataFrame:
+    """windows with `ordinal`, their place in the order of channel, time and id, without one task for all rows, a channel or a day of one.
 
-    Rows are counted inside the days of their channel, so a hot channel is many tasks; days start at the sum of the channel's days
-    before them, and channels at the sum of the channels before them, found over one row a channel. The channel null is last,
-    the time null first.
+    The channel null is last, the time null first. A large table is dealt by ranges of that order, see `ranges.ordinals`.
     """
-    days = windows.groupBy(F.col("channel_id").alias("_c"), F.to_date("created_at").alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
-    rooms = days.groupBy(F.col("_c").alias("_r")).agg(F.sum("_n").alias("_all"))
-    earlier = Window.orderBy(F.col("_r").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    starts = rooms.select("_r", F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_start"))
-    before = Window.partitionBy("_c").orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = days.select("_c", "_d", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")).join(starts, F.col("_c").eqNullSafe(F.col("_r"))).select("_c", "_d", (F.col("_start") + F.col("_offset")).alias("_offset"))
-    inside = Window.partitionBy("channel_id", "_day").orderBy("created_at", "message_id")
-    rows = windows.withColumn("_day", F.to_date("created_at")).withColumn("_at", F.row_number().over(inside) - 1)
-    placed = rows.join(offsets, F.col("channel_id").eqNullSafe(F.col("_c")) & F.col("_day").eqNullSafe(F.col("_d")))
-    return placed.withColumn("ordinal", (F.col("_offset") + F.col("_at")).cast("long")).drop("_c", "_d", "_day", "_offset", "_at")
-
-
-def packed(windows: DataFrame, batch_size: int = BATCH_SIZE, lines_per_chunk: int = LINES_PER_CHUNK) -> DataFrame:
+    return ordinals(windows, [F.col("channel_id").isNull(), F.col("channel_id"), F.col("created_at"), F.col("message_id")], "ordinal", ranges)
+
+
+def packed(windows: DataFrame, batch_size: int = BATCH_SIZE, lines_per_chunk: int = LINES_PER_CHUNK, ranges: int | None = None) -> DataFrame:
     """windows with ordinal, batch_id, position in the batch, and chunk_id from 1."""
     require_columns(windows, ["message_id", "channel_name", "context_text"])
     batch = F.floor(F.col("ordinal") / batch_size)
-    return numbered(windows).withColumns({"batch_id": batch.cast("long"), "position": (F.col("ordinal") % batch_size).cast("long"), "chunk_id": (F.floor(batch / lines_per_chunk) + 1).cast("long")})
+    return numbered(windows, ranges).withColumns({"batch_id": batch.cast("long"), "position": (F.col("ordinal") % batch_size).cast("long"), "chunk_id": (F.floor(batch / lines_per_chunk) + 1).cast("long")})
 
 
 def prompts(packed_windows: DataFrame) -> DataFrame:
@@ -70,11 +63,33 @@ def request_lines(batches: DataFrame) -> DataFrame:
 
 
 def write_requests(batches: DataFrame, path: str, prefix: str = "requests") -> dict[str, int]:
-    """A folder of JSON lines for each chunk, chunk=requests_001 and so on; what was there goes. Returns the lines of each chunk."""
-    name = F.concat(F.lit(f"{prefix}_"), F.when(F.col("chunk_id") < 1000, F.lpad(F.col("chunk_id").cast("string"), 3, "0")).otherwise(F.col("chunk_id").cast("string")))
-    request_lines(batches).select(name.alias("chunk"), "value").repartition("chunk").write.mode("overwrite").partitionBy("chunk").text(path)
-    written = batches.sparkSession.read.schema("value string, chunk string").text(path)
-    return {r["chunk"]: r["n"] for r in written.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a chunk
+    """One file of JSON lines a chunk in the folder path, prefix_001.jsonl and so on, its lines in the order of batches. Returns the lines of each name, without its ending.
+
+    All is written under a hidden name first; then this prefix's old files go and the new ones are renamed into place. Files of other prefixes stay. Names and counts, one a chunk,
+    pass through the driver; a chunk is one task, as its lines are one file.
+    """
+    spark, number = batches.sparkSession, F.col("chunk_id").cast("string")
+    name = F.concat(F.lit(f"{prefix}_"), F.when(F.col("chunk_id") < 1000, F.lpad(number, 3, "0")).otherwise(number))
+    named = batches.select(name.alias("chunk_id"), "batch_id", "key", "prompt")
+    # sorted by what the folders are named by, so that the writer has nothing to sort again
+    lines = request_lines(named.repartition("chunk_id").sortWithinPartitions("chunk_id", "batch_id")).withColumnRenamed("chunk_id", "chunk")
+    fs, folder = file_system(spark, path)
+    hidden = f"{path}/_writing-{prefix}-{uuid.uuid4().hex}"
+    lines.write.partitionBy("chunk").text(hidden)
+    try:
+        counts = {r["chunk"]: r["n"] for r in spark.read.schema("value string, chunk string").text(hidden).groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).collect()}
+        old = re.compile(rf"{re.escape(prefix)}_\d{{3,}}\.jsonl")
+        for f in fs.listStatus(folder):
+            if f.isFile() and old.fullmatch(f.getPath().getName()):
+                fs.delete(f.getPath(), False)
+        for chunk in counts:
+            _, own = file_system(spark, f"{hidden}/chunk={chunk}")
+            parts = [f.getPath() for f in fs.listStatus(own) if f.getPath().getName().startswith("part-")]
+            if len(parts) != 1 or not fs.rename(parts[0], file_system(spark, f"{path}/{chunk}.jsonl")[1]):
+                raise OSError(f"{chunk} is not one file that can be renamed: {parts}")
+    finally:
+        fs.delete(file_system(spark, hidden)[1], True)
+    return counts
 
 
 def cost(batches: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ The transport is a protocol; an adapter to a hosted service sends it the request
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterable
 from typing import Protocol
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import scoring, store
 from tidemark.sources.files import read_answers
-from tidemark.streaming.nightly import STORED
+from tidemark.sources.keyed import file_system
 
 JOBS = "job_id string, state string, create_time timestamp_ntz, path string"
 ENDED = ("succeeded", "failed", "cancelled", "expired")
@@ -82,34 +83,68 @@ def finished(jobs: DataFrame, since: str | None = None) -> DataFrame:
     return done.orderBy("create_time", "job_id")
 
 
-def answers(spark: SparkSession, jobs: DataFrame) -> DataFrame:
-    """seq and value of all answer lines of jobs, a later job's after an earlier one's, in one read. One row a job passes through the driver."""
+ANSWERS = "seq struct<create_time:timestamp_ntz,job_id:string,block:bigint,row:bigint>, value string"
+
+
+class Unmatched(Exception):
+    """Answer lines were read that belong to no job, or a job has lines that were not read."""
+
+
+def _bare(url):
+    """A file's URL as it is, but for an empty host, which some write and some leave out."""
+    return F.regexp_replace(url, "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+
+
+def files_of(spark: SparkSession, jobs: DataFrame) -> DataFrame:
+    """file, job_id and create_time of each answer file of jobs, in the form in which a scan names its files; a file under the paths of two jobs is the one's with the longer path.
+
+    The driver lists the files, as for any scan, and holds one entry a file.
+    """
     listed = jobs.select("job_id", "create_time", "path").collect()
-    paths = [r["path"] for r in listed]
-    if not paths:
-        return spark.createDataFrame([], "seq struct<create_time:timestamp_ntz,job_id:string,block:bigint,row:bigint>, value string")
-    lines = read_answers(spark, paths)
-    own = spark.createDataFrame([(r["job_id"], r["create_time"], f"{r['path'].rstrip('/').split(':', 1)[-1].lstrip('/')}") for r in listed], "job_id string, create_time timestamp_ntz, _base string")
-    bare = F.regexp_replace("path", "^[a-zA-Z0-9]+:/*", "")
-    under = F.startswith(bare, F.concat("_base", F.lit("/"))) | (bare == F.col("_base"))
-    return lines.join(F.broadcast(own), under).select(F.struct("create_time", "job_id", F.col("seq.block").alias("block"), F.col("seq.row").alias("row")).alias("seq"), "value")
+    owner: dict[str, tuple[int, str, object]] = {}
+    for r in listed:
+        depth = len(file_system(spark, r["path"])[1].toUri().getPath())
+        for file in spark.read.option("recursiveFileLookup", "true").text(r["path"]).inputFiles():
+            best = owner.get(file)
+            if best is None or depth > best[0] or (depth == best[0] and (r["create_time"], r["job_id"]) > (best[2], best[1])):
+                owner[file] = (depth, r["job_id"], r["create_time"])
+    return spark.createDataFrame([(f, j, t) for f, (_, j, t) in owner.items()], "file string, job_id string, create_time timestamp_ntz")
 
 
-def recover(jobs: DataFrame, messages: DataFrame, base: str, model: str, now: str, since: str | None = None, checkpoint: str | None = None, chunk: int = 0) -> dict[str, int | bool]:
+def answers(spark: SparkSession, jobs: DataFrame) -> DataFrame:
+    """seq and value of all answer lines of jobs, a later job's after an earlier one's, in one read. Lines meet their job by the file that they stand in."""
+    files = files_of(spark, jobs)
+    named = [r["file"] for r in files.select("file").collect()]
+    if not named:
+        return spark.createDataFrame([], ANSWERS)
+    # a scan takes paths as they are written, and names files in the form of a URL
+    lines = read_answers(spark, [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(f)).toString() for f in named])
+    own = lines.join(files.withColumn("file", _bare(F.col("file"))), _bare(F.col("path")) == F.col("file"), "left")
+    job = F.when(F.col("job_id").isNull(), F.raise_error(F.concat(F.lit("a line of no job in "), F.col("path"))).cast("string")).otherwise(F.col("job_id"))
+    return own.select(F.struct("create_time", job.alias("job_id"), F.col("seq.block").alias("block"), F.col("seq.row").alias("row")).alias("seq"), "value")
+
+
+def recover(jobs: DataFrame, messages: DataFrame, base: str, model: str, now: str, since: str | None = None, checkpoint: str | None = None, chunk: int = 0) -> dict[str, int | bool | str]:
     """Takes the answers of finished jobs into the table at base; of two answers for an id the later job's stays. Runs again without harm.
 
-    Returns lines, lines with an error, rows written and skipped, and whether the checkpoint was written; it comes last, and its failure voids nothing.
+    Returns lines, lines with an error, rows written and skipped, and whether the checkpoint was written; it comes last, and its failure voids nothing, but is told as checkpoint_error.
     """
     spark = messages.sparkSession
-    parsed = scoring.parse_lines(answers(spark, finished(jobs, since)))
-    n = parsed.agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("status") != "ok").alias("errors")).first()
-    rows = store.keep_last(scoring.result_rows(parsed))
-    counts = store.upsert(spark, base, store.normalised(rows.drop("seq", "position"), model), messages, now, STORED)
-    kept = False
-    if checkpoint is not None:
-        try:
-            store.append_checkpoint(rows, checkpoint, chunk)
-            kept = True
-        except Exception:  # noqa: BLE001  the table holds the rows already
-            kept = False
-    return {"lines": n["lines"], "errors": n["errors"], **counts, "checkpoint": kept}
+    held = f"{base}/_recovered-{uuid.uuid4().hex}"
+    try:
+        scoring.parse_lines(answers(spark, finished(jobs, since))).write.parquet(held)  # parsed once, for the counts, the table and the checkpoint
+        parsed = spark.read.parquet(held)
+        n = parsed.agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("status") != "ok").alias("errors")).first()
+        rows = scoring.result_rows(parsed)
+        counts = store.upsert(spark, base, store.latest(rows, model), messages, now)
+        kept: dict[str, object] = {"checkpoint": False}
+        if checkpoint is not None:
+            try:
+                store.append_checkpoint(store.keep_last(rows), checkpoint, chunk)
+                kept = {"checkpoint": True}
+            except Exception as e:  # noqa: BLE001  the table holds the rows already
+                kept = {"checkpoint": False, "checkpoint_error": f"{type(e).__name__}: {e}"}
+    finally:
+        fs, p = file_system(spark, held)
+        fs.delete(p, True)
+    return {"lines": n["lines"], "errors": n["errors"], **counts, **kept}

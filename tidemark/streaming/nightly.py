@@ -6,48 +6,50 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import packing, scoring, store, windows
+from tidemark.operators.store import STORED  # noqa: F401  its name of old
+from tidemark.sources.keyed import file_system
 from tidemark.sources.messages import MESSAGES
 
-STORED = "message_id long, polarity string, polarity_score double, emotions string, sarcasm boolean, toxicity string, directed_at string, confidence double, rationale string, model string, scored_at timestamp_ntz, updated_at timestamp_ntz"
-
 
 def run(messages: DataFrame, base: str, scorer: scoring.Scorer, model: str, now: str, limit: int | None = None) -> dict[str, int]:
     """Scores what has no result yet and upserts it into the table at `base`; a second run finds nothing to do.
 
     An answer counts for the ids that its batch asked for, and a batch that leaves one out is void: its ids stay unscored and are asked for
-    again in the next run. A run that is repeated with the same `now` after a crash asks only for batches that have no answer yet.
+    again in the next run. A run that is repeated with the same `now` after a crash asks only for batches that have no answer yet. What other writers store
+    meanwhile stays: the table is read again when the answers are merged into it.
     """
-    spark = messages.sparkSession
-    old = store.read_current(spark, base)
-    old = old if old is not None else spark.createDataFrame([], STORED)
+    return score(messages.sparkSession, lambda old: windows.nightly_targets(messages, old, limit), messages, base, scorer, model, now)
+
+
+def score(spark: SparkSession, targets, messages: DataFrame, base: str, scorer: scoring.Scorer, model: str, now: str) -> dict[str, int]:
+    """Scores the windows targets(stored results), of which messages has the ids, as `run` tells."""
     stamp = now.replace(" ", "T").replace(":", "")
     asked_path, answers = f"{base}/_asked-{stamp}", f"{base}/_answers-{stamp}"
-    if not _written(spark, asked_path):
-        packing.packed(windows.nightly_targets(messages, old, limit)).write.mode("overwrite").parquet(asked_path)  # ids keep their batches in a repeated run
+    if not written(spark, asked_path):
+        packing.packed(targets(store.create(spark, base).bucketed())).write.mode("overwrite").parquet(asked_path)  # ids keep their batches in a repeated run
     asked = spark.read.parquet(asked_path)
     if asked.isEmpty():
         return {"batches": 0, "written": 0}
     batches = packing.prompts(asked)
     todo = batches
-    if _written(spark, answers):
+    if written(spark, answers):
         todo = batches.join(spark.read.parquet(answers).where("answer is not null").select("key"), "key", "left_anti")
     scoring.score_batches(todo, scorer).write.mode("append").parquet(answers)  # a scorer is asked once, and its answers last
     said = spark.read.parquet(answers).where("answer is not null").join(batches.select("key", "batch_id", "size"), "key")
     lines = said.select(F.col("batch_id").alias("seq"), F.to_json(F.struct(F.struct(F.col("answer").alias("text")).alias("response"))).alias("value"))
-    rows = scoring.result_rows(scoring.parse_lines(lines))
-    whole = scoring.complete(rows, asked)
-    fresh = store.keep_last(whole).drop("seq", "position")
-    new = store.normalised(fresh, model)
-    store.write_version(store.upserted(old, new, messages, now), base)
-    counts = batches.select(F.col("batch_id").alias("seq"), "size").join(whole.select("seq").distinct().withColumn("_whole", F.lit(1)), "seq", "left")
-    n = counts.agg(F.count(F.lit(1)).alias("batches"), F.count_if(F.col("_whole").isNull()).alias("failed"), F.coalesce(F.sum(F.when(F.col("_whole").isNull(), F.col("size"))), F.lit(0)).alias("missing")).first()
-    written = store.read_current(spark, base).where(F.col("updated_at") == F.lit(now).cast("timestamp_ntz")).count()
-    return {"batches": n["batches"], "failed_batches": n["failed"], "missing_ids": n["missing"], "written": written}
-
-
-def _written(spark: SparkSession, path: str) -> bool:
+    whole = scoring.complete(scoring.result_rows(scoring.parse_lines(lines)), asked)
+    fresh = f"{base}/_fresh-{stamp}"
+    whole.write.mode("overwrite").parquet(fresh)  # parsed once, for the table and the counts
+    whole = spark.read.parquet(fresh)
+    counts = store.upsert(spark, base, store.latest(whole, model), messages, now)
+    sizes = batches.select(F.col("batch_id").alias("seq"), "size").join(whole.select("seq").distinct().withColumn("_whole", F.lit(1)), "seq", "left")
+    n = sizes.agg(F.count(F.lit(1)).alias("batches"), F.count_if(F.col("_whole").isNull()).alias("failed"), F.coalesce(F.sum(F.when(F.col("_whole").isNull(), F.col("size"))), F.lit(0)).alias("missing")).first()
+    return {"batches": n["batches"], "failed_batches": n["failed"], "missing_ids": n["missing"], "written": counts["written"]}
+
+
+def written(spark: SparkSession, path: str) -> bool:
     """Whether a write to path has ended."""
-    fs, done = store._fs(spark, f"{path}/_SUCCESS")
+    fs, done = file_system(spark, f"{path}/_SUCCESS")
     return fs.exists(done)
 
 
