@@ -38,7 +38,7 @@ def packed(windows: DataFrame, batch_size: int = BATCH_SIZE, lines_per_chunk: in
 
 
 def prompts(packed_windows: DataFrame) -> DataFrame:
-    """One row a batch: its key, size, prompt and estimated prompt tokens."""
+    """One row a batch: its key, size, prompt, estimated prompt tokens, and the ids that it asks for, as text."""
     block = F.concat(
         F.lit("### "), (F.col("position") + 1).cast("string"), F.lit("\nid: "), F.col("message_id").cast("string"),
         F.lit("\nchannel: #"), F.coalesce("channel_name", F.lit("unknown")), F.lit("\n"), F.col("context_text"), F.lit("\n"),
@@ -50,7 +50,7 @@ def prompts(packed_windows: DataFrame) -> DataFrame:
     prompt = F.concat_ws("\n", head, F.array_join(F.transform("items", lambda x: x["block"]), "\n"))
     return out.select(
         "chunk_id", "batch_id", F.concat(F.lit("batch-"), F.col("items")[0]["message_id"].cast("string")).alias("key"),
-        F.size("items").alias("size"), prompt.alias("prompt"), estimated_tokens(F.length(prompt)).alias("prompt_tokens"),
+        F.size("items").alias("size"), prompt.alias("prompt"), estimated_tokens(F.length(prompt)).alias("prompt_tokens"), F.transform("items", lambda x: x["message_id"].cast("string")).alias("ids"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranges import ordinals
+from tidemark.operators.ranges import how_many, ordinals
 
 STRATUM = ("channel_name", "year", "length_bucket")
 
@@ -43,7 +43,7 @@ def _allocated(windows: DataFrame, leaders: DataFrame, n: int) -> DataFrame:
     drift = rounded.agg((F.max("slots") - F.sum("_alloc")).alias("drift"))
     # null strata are last, as the ranks of the largest first ask for
     places = [-F.col("size")] + [x for c in STRATUM for x in (F.col(c).isNull(), F.col(c))]
-    out = ordinals(rounded.join(F.broadcast(drift), F.lit(True)), places, "_rank")
+    out = ordinals(rounded.join(F.broadcast(drift), F.lit(True)), places, "_rank", how_many(windows))
     step = F.when(F.col("_rank") < F.abs("drift"), F.signum("drift").cast("long")).otherwise(F.lit(0))
     return out.select(*STRATUM, "size", F.greatest(F.lit(0), F.least(F.col("size"), F.col("_alloc") + step)).cast("long").alias("alloc"))
 

@@ -5,11 +5,13 @@ The double derives labels from a digest of the text. It is no model of sentiment
 
 from __future__ import annotations
 
+import json
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from typing import Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,37 +48,92 @@ def doubled(windows: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Answer:
+    """What a scorer may return instead of bare text: the text, and the tokens that the service counted."""
+
+    text: str
+    input_tokens: int | None = None
+    candidate_tokens: int | None = None
+    response_tokens: int | None = None
+
+
 class Scorer(Protocol):
     """Answers one prompt with JSON text; an adapter to a hosted model sends it the message texts."""
 
-    def answer(self, key: str, prompt: str) -> str: ...
+    def answer(self, key: str, prompt: str) -> str | Answer: ...
 
 
-def score_batches(batches: DataFrame, scorer: Scorer, attempts: int = 3, wait: float = 0.0, longest: float = 60.0) -> DataFrame:
-    """key, answer and error of each batch. A partition shares one scorer; a batch that fails `attempts` times keeps its error.
-    Attempts are `wait` seconds apart, twice as long after each failure, `longest` at most.
+def linear(step: float = 1.5) -> Callable[[int], float]:
+    """Seconds to wait after the first, second, ... failure: step, twice step and so on."""
+    return lambda failures: step * failures
+
+
+def doubling(first: float, longest: float = 60.0) -> Callable[[int], float]:
+    """Seconds to wait after the first, second, ... failure: first, then twice as long each time, `longest` at most."""
+    return lambda failures: min(first * 2 ** (failures - 1), longest)
+
+
+#: One row an attempt inside a batch's row: what a request log holds.
+ATTEMPTS = "array<struct<attempt:int,failed:boolean,error:string,input_tokens:long,candidate_tokens:long,response_tokens:long,seconds:double>>"
+
+
+def left_out(text: str, ids) -> list[str]:
+    """The ids that an answer has no result for; ValueError where it has no list of results."""
+    try:
+        got = {str(r["message_id"]) for r in json.loads(text)["results"]}
+    except (TypeError, KeyError, ValueError) as e:
+        raise ValueError(f"no list of results: {type(e).__name__}: {e}") from e
+    return [i for i in ids if i not in got]
 
+
+def ask(batches: DataFrame, scorer: Scorer, attempts: int = 3, pause: Callable[[int], float] | None = None) -> DataFrame:
+    """key, answer, error and attempts of each batch. A partition shares one scorer; attempts are pause(failures) seconds apart.
+
+    An attempt fails if the scorer raises, or if batches have `ids` and the answer leaves one out. After the last attempt a batch keeps its error, and the last answer that it had.
     Write the result before anything else reads it: a scorer may answer differently if asked again.
     """
+    checked = "ids" in batches.columns
+    rows = batches.select("key", "prompt", F.col("ids") if checked else F.lit(None).cast("array<string>").alias("ids"))
+
+    def tried(key: str, prompt: str, ids) -> tuple[str | None, str | None, list[dict]]:
+        last, log = None, []
+        for n in range(1, attempts + 1):
+            began, error, said = time.monotonic(), None, None
+            try:
+                said = scorer.answer(key, prompt)
+                said = said if isinstance(said, Answer) else Answer(said)
+                last = said.text
+                if checked and (missing := left_out(said.text, ids)):
+                    raise ValueError(f"{len(missing)} of {len(ids)} ids are left out: {missing[:5]}")
+            except Exception as e:  # noqa: BLE001  any failure of a remote call counts as one attempt
+                error = f"{type(e).__name__}: {e}"
+            tokens = {k: getattr(said, k, None) for k in ("input_tokens", "candidate_tokens", "response_tokens")}
+            log.append({"attempt": n, "failed": error is not None, "error": error, **tokens, "seconds": time.monotonic() - began})
+            if error is None:
+                break
+            if n < attempts and pause is not None:
+                time.sleep(pause(n))
+        return last, error, log
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        log = pa.list_(pa.struct([("attempt", pa.int32()), ("failed", pa.bool_()), ("error", pa.string()), ("input_tokens", pa.int64()), ("candidate_tokens", pa.int64()), ("response_tokens", pa.int64()), ("seconds", pa.float64())]))
+        for b in frames:
+            done = [tried(r["key"], r["prompt"], r["ids"]) for r in b.to_pylist()]
+            texts = lambda k: pa.array([d[k] for d in done], pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0), texts(0), texts(1), pa.array([d[2] for d in done], log)], names=["key", "answer", "error", "attempts"])
+
+    return rows.mapInArrow(run, f"key string, answer string, error string, attempts {ATTEMPTS}")
+
+
+def score_batches(batches: DataFrame, scorer: Scorer, attempts: int = 3, wait: float = 0.0, longest: float = 60.0) -> DataFrame:
+    """key, answer and error of each batch, as `ask` has them, with `wait` seconds after the first failure and twice as many after each further one."""
+    return ask(batches, scorer, attempts, doubling(wait, longest) if wait else None).select("key", "answer", "error")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = []
-            for key, prompt in zip(f["key"], f["prompt"]):
-                error = None
-                for n in range(attempts):
-                    if n and wait:
-                        time.sleep(min(wait * 2 ** (n - 1), longest))
-                    try:
-                        rows.append((key, scorer.answer(key, prompt), None))
-                        break
-                    except Exception as e:  # noqa: BLE001  any failure of a remote call counts as one attempt
-                        error = f"{type(e).__name__}: {e}"
-                else:
-                    rows.append((key, None, error))
-            yield pd.DataFrame(rows, columns=["key", "answer", "error"])
-
-    return batches.select("key", "prompt").mapInPandas(run, "key string, answer string, error string")
+
+def request_log(answers: DataFrame) -> DataFrame:
+    """One row an attempt of `ask`: key, attempt, failed, error, tokens and seconds."""
+    return answers.select("key", F.explode("attempts").alias("a")).select("key", "a.*")
 
 
 def _valid(r: Column) -> Column:
@@ -90,22 +147,30 @@ def _valid(r: Column) -> Column:
 def parse_lines(lines: DataFrame) -> DataFrame:
     """lines(seq, value) with status and results: a line's results are taken all or none.
 
-    status: blank, bad_json, error, no_text, bad_payload, invalid or ok.
+    status: blank, bad_json, error, no_text, bad_payload, invalid or ok. A line is parsed once, to a variant; a key counts as there if it is there with the value null as well:
+    an error without a response is an error whatever it says, and neither a null response nor a null text of a candidate falls back to anything else.
     """
-    v = F.col("value")
+    v, line = F.col("value"), F.col("_line")
     once = lambda df, name, value: df.select(*df.columns, F.explode(F.array(value)).alias(name))  # noqa: E731  a generator keeps later steps from repeating value
-    parsed = once(lines.select("seq", F.explode(F.array("value")).alias("value")), "_inner", F.get_json_object(v, "$.response"))
-    body = F.coalesce("_inner", v)
-    text = F.coalesce(F.get_json_object(body, "$.candidates[0].content.parts[0].text"), F.get_json_object(body, "$.text"))
-    parsed = once(parsed, "_text", text)
-    got = F.from_json("_text", _RAW)["results"]
-    parsed = once(parsed, "_p", F.struct(got.alias("got"), (F.try_parse_json(v).isNotNull() & strip(v).startswith("{")).alias("json"), F.get_json_object(v, "$.error").alias("error")))
-    parsed = parsed.select("seq", "value", "_inner", "_text", F.col("_p.got").alias("_got"), F.col("_p.json").alias("_json"), F.col("_p.error").alias("_error"))
+    get = lambda source, path, kind="variant": F.try_variant_get(source, path, kind)
+    parsed = once(lines.select("seq", F.explode(F.array("value")).alias("value")), "_line", F.try_parse_json(v))
+    answered, first = get(line, "$.response").isNotNull(), "$.candidates[0].content.parts[0].text"
+
+    def text(prefix: str) -> Column:
+        told, plain = f"${prefix}{first[1:]}", f"${prefix}.text"
+        return F.when(get(line, told).isNotNull(), get(line, told, "string")).otherwise(get(line, plain, "string"))
+
+    found = F.struct(
+        (line.isNotNull() & strip(v).startswith("{")).alias("json"), (get(line, "$.error").isNotNull() & ~answered).alias("error"),
+        F.nullif(F.when(answered, text(".response")).otherwise(text("")), F.lit("")).alias("text"),
+    )
+    parsed = once(parsed, "_found", found).select("seq", "value", "_found.*")
+    parsed = once(parsed, "_got", F.from_json("text", _RAW)["results"])
     status = (
-        F.when(strip(F.coalesce(v, F.lit(""))) == "", "blank").when(~F.coalesce(F.col("_json"), F.lit(False)), "bad_json").when(F.col("_error").isNotNull() & F.col("_inner").isNull(), "error")
-        .when(F.col("_text").isNull(), "no_text").when(F.col("_got").isNull(), "bad_payload").when(~F.forall("_got", _valid), "invalid").otherwise("ok")
+        F.when(strip(F.coalesce(v, F.lit(""))) == "", "blank").when(~F.coalesce(F.col("json"), F.lit(False)), "bad_json").when(F.col("error"), "error")
+        .when(F.col("text").isNull(), "no_text").when(F.col("_got").isNull(), "bad_payload").when(~F.forall("_got", _valid), "invalid").otherwise("ok")
     )
-    told = once(parsed.select("seq", "value", "_inner", "_text", "_got", "_json", "_error"), "status", status)
+    told = once(parsed, "status", status)
     return told.select("seq", "status", F.when(F.col("status") == "ok", F.col("_got")).alias("results"))
 
 

@@ -23,7 +23,7 @@ def run(messages: DataFrame, base: str, scorer: scoring.Scorer, model: str, now:
 
 def score(spark: SparkSession, targets, messages: DataFrame, base: str, scorer: scoring.Scorer, model: str, now: str) -> dict[str, int]:
     """Scores the windows targets(stored results), of which messages has the ids, as `run` tells."""
-    stamp = now.replace(" ", "T").replace(":", "")
+    stamp = stamp_of(now)
     asked_path, answers = f"{base}/_asked-{stamp}", f"{base}/_answers-{stamp}"
     if not written(spark, asked_path):
         packing.packed(targets(store.create(spark, base).bucketed())).write.mode("overwrite").parquet(asked_path)  # ids keep their batches in a repeated run
@@ -47,6 +47,11 @@ def score(spark: SparkSession, targets, messages: DataFrame, base: str, scorer:
     return {"batches": n["batches"], "failed_batches": n["failed"], "missing_ids": n["missing"], "written": counts["written"]}
 
 
+def stamp_of(now: str) -> str:
+    """A time as part of a file's name."""
+    return now.replace(" ", "T").replace(":", "")
+
+
 def written(spark: SparkSession, path: str) -> bool:
     """Whether a write to path has ended."""
     fs, done = file_system(spark, f"{path}/_SUCCESS")
