@@ -144,6 +144,43 @@ def test_a_failed_checkpoint_is_told(spark, tmp_path):
     assert got["written"] == 1 and not got["checkpoint"] and "none" in got["checkpoint_error"]
 
 
+def test_inline_answers_come_before_files(spark, tmp_path):
+    folder = tmp_path / "job"
+    folder.mkdir()
+    (folder / "a.jsonl").write_text(line(result(1, "negative")))
+    path = f"file://{folder}"
+    made = [("j1", "succeeded", AT, path, [line(result(2)), "", line(result(3))]), ("j2", "succeeded", AT, path, []), ("j3", "succeeded", AT, None, None), ("j4", "succeeded", AT, "", [])]
+    listed = spark.createDataFrame(made, jobs.JOBS_INLINE)
+    got = sorted((r.seq.job_id, r.seq.row, r.value) for r in jobs.answers(spark, jobs.finished(listed)).collect() if r.seq.job_id == "j1")
+    assert got == [("j1", 0, line(result(2))), ("j1", 1, ""), ("j1", 2, line(result(3)))]
+    counts = jobs.recover(listed, spark.createDataFrame(ROWS, MESSAGES), f"file://{tmp_path}/table", "m", "2024-04-01 00:00:00")
+    assert counts == {"lines": 4, "errors": 1, "written": 3, "skipped": 0, "checkpoint": False}
+    assert jobs.file_name("abc") == jobs.file_name("files/abc") == "files/abc"
+
+
+def test_the_command_line_runs_a_night(spark, tmp_path, monkeypatch):
+    """python -m tidemark.streaming.config --limit N, with a scorer that the environment names."""
+    import sys
+    import types
+
+    def made(model):
+        class Right:
+            def answer(self, key, prompt):
+                import re
+
+                return json.dumps({"results": [{"message_id": i, "polarity": "neutral", "polarity_score": 0, "emotions": ["neutral"], "sarcasm": False, "toxicity": "none", "directed_at": "general", "confidence": 1, "rationale": model} for i in re.findall(r"^id: (\d+)$", prompt, re.M)]})
+
+        return Right()
+
+    monkeypatch.setitem(sys.modules, "odd_scorers", types.SimpleNamespace(made=made))
+    files.write_messages(spark.createDataFrame(ROWS, MESSAGES), f"file://{tmp_path}/messages")
+    env = {"TIDEMARK_MESSAGES": f"file://{tmp_path}/messages", "TIDEMARK_RESULTS": f"file://{tmp_path}/table", "TIDEMARK_SCORER": "odd_scorers:made", "TIDEMARK_MODEL": "right"}
+    assert config.main(["--limit", "7", "--now", "2024-05-01 00:00:00"], env)["written"] == 7
+    got = store.read_current(spark, env["TIDEMARK_RESULTS"]).collect()
+    assert {r.message_id for r in got} == set(range(7)) and {r.model for r in got} == {r.rationale for r in got} == {"right"}
+    assert config.main([], env)["written"] == 33 and config.main([], env) == {"batches": 0, "written": 0}
+
+
 def test_files_round_trip(spark, tmp_path):
     path = f"file://{tmp_path}"
     m = spark.createDataFrame(ROWS, MESSAGES)

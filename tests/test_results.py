@@ -83,3 +83,61 @@ def test_sample_size(spark, n, floor):
     assert a == b and len(set(a)) == min(n, 120)
     if n >= 5 * floor:
         assert {rows[i][1] for i in a} == {f"c{k}" for k in range(5)}
+
+
+NULLS = [
+    ('{"error":null,"candidates":[{"content":{"parts":[{"text":"{\\"results\\":[]}"}]}}]}', "error"), ('{"error":null,"response":{"text":"{\\"results\\":[]}"}}', "ok"), ('{"response":null,"text":"{\\"results\\":[]}"}', "no_text"),
+    ('{"candidates":[{"content":{"parts":[{"text":null}]}}],"text":"{\\"results\\":[]}"}', "no_text"), ('{"candidates":[],"text":"{\\"results\\":[]}"}', "ok"), ('{"text":""}', "no_text"), ("[1]", "bad_json"), ('  {"text":"{\\"results\\":[]}"} ', "ok"),
+    ('{"response":"text"}', "no_text"), ('{"response":{"text":5}}', "bad_payload"), ('{"text":"{\\"results\\":{}}"}', "bad_payload"), (None, "blank"), ("null", "bad_json"), ('{"response":{"error":1}}', "no_text"),
+]
+
+
+def test_keys_that_are_there_with_null(spark):
+    parsed = scoring.parse_lines(spark.createDataFrame(list(enumerate(c[0] for c in NULLS)), "seq long, value string"))
+    assert [r.status for r in parsed.orderBy("seq").collect()] == [c[1] for c in NULLS]
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parse_json") + plan.count("evaluateParseJson") <= 1 and plan.count("from_json") + plan.count("jsonToStructs") <= 1 and "get_json_object" not in plan
+
+
+def test_scorers_that_leave_ids_out_are_asked_again(spark):
+    class Short:
+        def __init__(self):
+            self.n = 0
+
+        def answer(self, key, prompt):
+            self.n += 1
+            return scoring.Answer(json.dumps({"results": [{"message_id": i} for i in ("1", "2", "9")[: self.n if key == "a" else 1]]}), 7, 0, 3)
+
+    got = {r.key: r for r in scoring.ask(spark.createDataFrame([("a", "p", ["1", "2"]), ("b", "p", ["1", "2"])], "key string, prompt string, ids array<string>").coalesce(1).sortWithinPartitions("key"), Short()).collect()}
+    assert [a.failed for a in got["a"].attempts] == [True, False] and got["a"].error is None
+    assert len(got["b"].attempts) == 3 and "1 of 2 ids are left out: ['2']" in got["b"].error and got["b"].answer
+    log = scoring.request_log(spark.createDataFrame([got["a"], got["b"]], f"key string, answer string, error string, attempts {scoring.ATTEMPTS}"))
+    from tidemark.operators import analytics
+
+    used = analytics.usage(log).first()
+    assert (used.requests, used.failures, used.input_tokens, used.output_tokens) == (5, 4, 35, 15)
+
+
+def test_gold_files_and_the_bar(spark, tmp_path):
+    """Label files as they come back: empty cells are missing, the word None is a label; the template goes out as one file."""
+    from tidemark.sources.messages import read_gold
+
+    (tmp_path / "gold.csv").write_text('message_id,content,gold_polarity,gold_sarcasm,gold_toxicity\n1,"two\nlines, ""quoted""",positive, ,None\n2,x,,true,none\n')
+    rows = read_gold(spark, f"file://{tmp_path}/gold.csv").orderBy("message_id").collect()
+    assert [tuple(r) for r in rows] == [("1", 'two\nlines, "quoted"', "positive", None, "None"), ("2", "x", None, "true", "none")]
+    sample = spark.createDataFrame([(i, "c", "ann", f'text "{i}",\n', "ctx", "neutral", True, "none") for i in range(9, 0, -1)], "message_id long, channel_name string, author_name string, content string, context_text string, polarity string, sarcasm boolean, toxicity string")
+    evaluate.write_gold_template(sample, f"file://{tmp_path}/template", 4)
+    assert len(list((tmp_path / "template").glob("*.csv"))) == 1
+    back = read_gold(spark, f"file://{tmp_path}/template").orderBy("message_id").collect()
+    assert [r.message_id for r in back] == ["1", "2", "3", "4"] and back[0].content == 'text "1",\n' and back[0].gold_polarity is None and back[0].pred_polarity == "neutral"
+    bar = evaluate.passes_bar(spark.createDataFrame([(0.75,), (0.74,), (None,)], "polarity_accuracy double")).collect()
+    assert [r.passes for r in bar] == [True, False, None]
+
+
+def test_cost_of_windows_is_that_of_their_prompts(spark):
+    from tidemark.operators import packing
+
+    rows = [(i, None, f"c{i}", f"context {i}", None) for i in range(31)]
+    w = spark.createDataFrame(rows, "message_id long, channel_id long, channel_name string, context_text string, created_at timestamp_ntz")
+    assert packing.cost_of_windows(w).collect() == packing.cost(packing.prompts(packing.packed(w))).collect()
+    assert packing.cost_of_windows(w, 10).first().n_batches == 4

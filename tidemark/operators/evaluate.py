@@ -61,7 +61,7 @@ def compare(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def write_gold_template(sample: DataFrame, path: str, n: int = 200) -> None:
     """gold_template as one CSV file with a header under path; n rows are one task."""
-    gold_template(sample, n).coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    gold_template(sample, n).coalesce(1).write.mode("overwrite").options(header=True, escape="\"", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def gold_template(sample: DataFrame, n: int = 200) -> DataFrame:

@@ -8,7 +8,9 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import analytics
+from tidemark.sources.keyed import write_text
+
+from . import analytics, charts
 
 STYLE = "body{font:15px/1.5 sans-serif;max-width:60em;margin:2em auto}table{border-collapse:collapse}td,th{padding:.2em .8em;text-align:left}.strip{position:relative;height:1em;width:20em;background:#eee}.dot{position:absolute;width:.8em;height:.8em;border-radius:50%}"
 
@@ -72,6 +74,24 @@ def example_card(lines: tuple[tuple[str, str], ...] = EXAMPLE) -> str:
     return f"<div class='card'><p>The last line is judged with the lines before it as context (invented example).</p><ul>{''.join(shown)}</ul></div>"
 
 
+def drawn(data: dict) -> str:
+    """The four charts of `chart_data`: labels as a doughnut, mean scores by year and by month as lines, by channel as bars."""
+    return charts.doughnut("Polarity", data["polarity"]) + charts.line("Mean score by year", data["years"]) + charts.line("Mean score by month", data["months"]) + charts.bars("Mean score by channel", data["channels"])
+
+
+def profile_charts(messages: DataFrame, most: int = 300, bins: int = 40) -> str:
+    """Lengths of the messages, in bins up to `most` characters, the last one with all longer ones; and messages a year."""
+    counts = {r["bin"]: r["n"] for r in analytics.length_histogram(messages, most, bins).collect()}
+    years = [[str(r["year"]), r["n"]] for r in analytics.messages_per_year(messages).where("year is not null").orderBy("year").collect()]
+    lengths = [[str(round(most * k / bins)), counts.get(k, 0)] for k in range(bins)] if counts else []
+    return charts.bars("Messages by length", lengths) + charts.bars("Messages by year", years)
+
+
+def write(scored: DataFrame, path: str, since: int = 2022, least: int = 500) -> None:
+    """The page of `render` as one file in UTF-8; a file that is there is replaced."""
+    write_text(scored.sparkSession, path, render(scored, since, least))
+
+
 def render(scored: DataFrame, since: int = 2022, least: int = 500) -> str:
     o, d = analytics.overview(scored).first(), analytics.date_range(scored).first()
     toxic = {r["toxicity"]: r["n"] for r in analytics.mix(scored, "toxicity").collect()}
@@ -82,13 +102,14 @@ def render(scored: DataFrame, since: int = 2022, least: int = 500) -> str:
     quotes = analytics.sarcastic_top(scored).collect()
     rooms = analytics.by_channel(scored).where(F.col("n") >= least).orderBy(F.desc("n"), "channel_name").limit(15).collect()
     worst = analytics.most_toxic_member(scored, least).first()
+    series = chart_data(scored, since)
     facts = [["messages", f"{o['n']:,}"], ["members", d["members"]], ["channels", d["channels"]], ["from", d["mn"]], ["to", d["mx"]], ["harsh", percent(harsh, o["n"])], ["chillest", best["chillest"]], ["saltiest", best["saltiest"]], ["most sarcastic", best["most_sarcastic"]], ["most toxic member", worst["author"]]]
     body = [
         "<h1>Conversation report</h1>", _table(["fact", "value"], facts), "<h2>Members</h2>",
         _table(["member", "messages", "mean", "sarcastic", "toxic"], [[m["author"], f"{m['n']:,}", f"{m['avg_score']:+.3f}", percent(m["sarcasm_rate"], 1), percent(m["tox_rate"], 1)] for m in members]),
         "<h2>Channels</h2>", _table(["channel", "messages", "mean", "sarcastic", "positive", "negative"], [[c["channel_name"], f"{c['n']:,}", f"{c['avg_score']:+.3f}", percent(c["sarcasm_rate"], 1), c["pos"], c["neg"]] for c in rooms]),
-        "<h2>How a message is judged</h2>", example_card(), "<h2>Takeaways</h2>", *(f"<p class='takeaway'>{html.escape(t)}</p>" for t in takeaways(o, harsh, best, worst)),
+        "<h2>Charts</h2>", drawn(series), "<h2>How a message is judged</h2>", example_card(), "<h2>Takeaways</h2>", *(f"<p class='takeaway'>{html.escape(t)}</p>" for t in takeaways(o, harsh, best, worst)),
         "<h2>Lifetime and last year</h2>", _strips(compare), "<h2>Quotes</h2>", *(f"<blockquote>{html.escape(q['content'])}<br>— {html.escape(q['author'])}</blockquote>" for q in quotes),
-        f"<script type='application/json' id='charts'>{json.dumps(chart_data(scored, since)).replace('<', chr(92) + 'u003c')}</script>",
+        f"<script type='application/json' id='charts'>{json.dumps(series).replace('<', chr(92) + 'u003c')}</script>",
     ]
     return f"<!DOCTYPE html><html lang='en'><head><meta charset='utf-8'><title>Conversation report</title><style>{STYLE}</style></head><body>{''.join(body)}</body></html>"

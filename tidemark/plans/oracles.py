@@ -124,4 +124,10 @@ SELECT count(*) AS n, {_RATE('a.polarity = b.polarity')} AS polarity_agreement,
     "result_count": f"WITH {_CONV} SELECT count(*) AS n FROM conv WHERE message_id % 3 <> 0",
     "scored_ids": f"WITH {_CONV} SELECT CAST(message_id AS VARCHAR) AS message_id FROM conv",
     "finished_jobs": "SELECT CAST(o_orderkey AS VARCHAR) AS job_id, CAST(o_orderdate AS TIMESTAMP) AS create_time FROM orders WHERE o_orderstatus = 'F' AND o_orderdate >= DATE '1995-01-01'",
+    "upsert_spellings": f"""WITH {_CONV}, dbl AS ({_double('conv')}), n AS (SELECT CAST(message_id AS BIGINT) AS id, polarity FROM dbl)
+SELECT id AS message_id, CASE WHEN id % 4 = 0 THEN 'mixed' ELSE polarity END AS polarity, 'm2' AS model, CASE WHEN id % 3 <> 0 THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-03-01' END AS scored_at, TIMESTAMP '2024-03-01' AS updated_at FROM n""",
+    "results_store": f"""WITH {_CONV}, dbl AS ({_double('conv')}), n AS (SELECT CAST(message_id AS BIGINT) AS id, polarity FROM dbl)
+SELECT id AS message_id, CASE WHEN id % 7 <> 0 AND id % 4 = 0 THEN 'mixed' ELSE polarity END AS polarity, CASE WHEN id % 7 <> 0 THEN 'm2' ELSE 'm1' END AS model, CASE WHEN id % 3 <> 0 THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-03-01' END AS scored_at, CASE WHEN id % 7 <> 0 THEN TIMESTAMP '2024-03-01' ELSE TIMESTAMP '2024-02-01' END AS updated_at
+FROM n WHERE id % 3 <> 0 OR id % 7 <> 0""",
+    "incremental_windows": f"WITH {_WIN} SELECT message_id, n_priors, context_text, length_bucket FROM win",
 }

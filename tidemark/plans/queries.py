@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import analytics, evaluate, packing, sampling, scoring, store, windows
 from tidemark.sources import messages as src
-from tidemark.streaming import jobs
+from tidemark.sources import keyed
+from tidemark.sources.shared import scratch
+from tidemark.streaming import incremental, jobs
 
 
 def _conv(spark: SparkSession, d: str) -> DataFrame:
@@ -268,9 +270,42 @@ def usage_rollup(spark, d):
     return _micro(analytics.usage(log))
 
 
+def _spelled(spark, d) -> DataFrame:
+    """Answers in append order: each id as it is, and those of every fourth message again, spelled with zeros before."""
+    r = scoring.doubled(_conv(spark, d))
+    first = r.withColumns({"seq": F.lit(0), "position": F.lit(0)})
+    again = r.where("cast(message_id as long) % 4 = 0").withColumns({"message_id": F.concat(F.lit("00"), "message_id"), "polarity": F.lit("Mixed"), "seq": F.lit(1), "position": F.lit(0)})
+    return again.unionByName(first)
+
+
+def upsert_spellings(spark, d):
+    """One row an id, of the last answer, however its number is spelled, over rows that were there."""
+    m, at = _conv(spark, d), F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    old = store.normalised(scoring.doubled(m.where("message_id % 3 <> 0")), "m1").withColumns({"scored_at": at, "updated_at": at})
+    return store.upserted(old, store.latest(_spelled(spark, d), "m2"), m, "2024-03-01 00:00:00").select("message_id", "polarity", "model", "scored_at", "updated_at")
+
+
+def results_store(spark, d):
+    """The results table after two upserts into its buckets, read by the last commit."""
+    m, base = _conv(spark, d), scratch(spark, "results")
+    store.upsert(spark, base, store.normalised(scoring.doubled(m.where("message_id % 3 <> 0")), "m1"), m, "2024-02-01 00:00:00", 8)
+    store.upsert(spark, base, store.latest(_spelled(spark, d), "m2"), m.where("message_id % 7 <> 0"), "2024-03-01 00:00:00")
+    return keyed.read(spark, base).bucketed().select("message_id", "polarity", "model", "scored_at", "updated_at")
+
+
+def incremental_windows(spark, d):
+    """The windows of messages that came in two batches, the second built from the tails of the first."""
+    m, base = _conv(spark, d), scratch(spark, "nightly")
+    early = F.col("created_at") < F.lit("2024-01-01 00:04:00").cast("timestamp_ntz")
+    incremental.take_in(m.where(early), base, 0, buckets=8)
+    incremental.take_in(m.where(~early), base, 1)
+    return keyed.read(spark, f"{base}/pending").table().select("message_id", "n_priors", "context_text", "length_bucket")
+
+
 QUERIES = {f.__name__: f for f in (
     context_windows, messages_enriched, unscored_anti, history_semi, nightly_targets, batch_packing, batch_prompts, chunk_assignment, cost_estimate, cost_gate, stratified_allocation, stratified_sample,
     parse_results, parse_error_summary, validate_results, dedupe_keep_last, upsert_merge, fk_guard, coverage, corpus_profile, length_histogram, channel_counts, overview, date_range, polarity_mix, toxicity_mix,
     by_channel, by_member, by_year, by_month, member_compare, sarcastic_top, channel_extremes, gold_template, eval_metrics, usage_rollup,
     seeded_sample, pending_windows, review_join, review_summary, model_compare, messages_per_year, most_toxic_member, result_count, scored_ids, finished_jobs,
+    upsert_spellings, results_store, incremental_windows,
 )}

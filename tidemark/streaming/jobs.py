@@ -18,6 +18,8 @@ from tidemark.sources.files import read_answers
 from tidemark.sources.keyed import file_system
 
 JOBS = "job_id string, state string, create_time timestamp_ntz, path string"
+#: Jobs whose answers may stand in the job itself.
+JOBS_INLINE = f"{JOBS}, inline array<string>"
 ENDED = ("succeeded", "failed", "cancelled", "expired")
 
 
@@ -86,10 +88,6 @@ def finished(jobs: DataFrame, since: str | None = None) -> DataFrame:
 ANSWERS = "seq struct<create_time:timestamp_ntz,job_id:string,block:bigint,row:bigint>, value string"
 
 
-class Unmatched(Exception):
-    """Answer lines were read that belong to no job, or a job has lines that were not read."""
-
-
 def _bare(url):
     """A file's URL as it is, but for an empty host, which some write and some leave out."""
     return F.regexp_replace(url, "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
@@ -111,9 +109,22 @@ def files_of(spark: SparkSession, jobs: DataFrame) -> DataFrame:
     return spark.createDataFrame([(f, j, t) for f, (_, j, t) in owner.items()], "file string, job_id string, create_time timestamp_ntz")
 
 
+def file_name(name: str) -> str:
+    """A service's name of an answer file, with the prefix that downloads ask for."""
+    return name if name.startswith("files/") else f"files/{name}"
+
+
 def answers(spark: SparkSession, jobs: DataFrame) -> DataFrame:
-    """seq and value of all answer lines of jobs, a later job's after an earlier one's, in one read. Lines meet their job by the file that they stand in."""
-    files = files_of(spark, jobs)
+    """seq and value of all answer lines of jobs, a later job's after an earlier one's, in one read. Lines meet their job by the file that they stand in.
+
+    Jobs with a column `inline` that has lines are answered by these, their files are not read. A job with neither has no lines.
+    """
+    if "inline" in jobs.columns:
+        has = F.coalesce(F.size("inline") > 0, F.lit(False))
+        own = jobs.where(has).select("create_time", "job_id", F.posexplode("inline").alias("pos", "value"))
+        told = own.select(F.struct("create_time", "job_id", F.lit(0).cast("long").alias("block"), F.col("pos").cast("long").alias("row")).alias("seq"), "value")
+        return told.unionByName(answers(spark, jobs.where(~has).drop("inline")))
+    files = files_of(spark, jobs.where("path is not null and path <> ''"))
     named = [r["file"] for r in files.select("file").collect()]
     if not named:
         return spark.createDataFrame([], ANSWERS)
