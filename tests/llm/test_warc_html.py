@@ -1,4 +1,5 @@
 import gzip
+import random
 from hashlib import sha1
 
 import pytest
@@ -96,3 +97,45 @@ def test_deep_long_and_odd_pages(spark):
     extra = [(*r, "h", 7, "t") for r in rows]
     got = sorted(((r.page_id, r.n_chars) for r in html_text.main_text(spark.createDataFrame(extra, "page_id long, url string, html string, host string, template int, text string")).collect()), key=str)
     assert got == sorted([(1, 4), (2, 6), (3, 1), (4, len("\n".join(f"w{i}" for i in range(30_000)))), (None, 1), (None, 1), (5, 0), (6, 1)], key=str)
+
+
+KEPT = [
+    ("div", "class='main-header-story'", False), ("div", "id='search-engine-history'", False), ("section", "class='notice-of-award'", False), ("div", "class='related-work'", True), ("div", "class='share-price'", True),
+    ("div", "class='header-image-caption'", True), ("div", "class='promoted_by_hand notes'", True), ("section", "class='menu'", True), ("div", "id='sidebar-politics-debate'", False), ("div", "class='entry content'", False),
+]
+GONE = [
+    ("div", "class='site-header'", False), ("div", "class='cookie-notice'", False), ("div", "id=comments", True), ("div", "class='x share-buttons'", True), ("div", "class='related_posts'", True), ("div", "class='ad'", True), ("div", "class='ad-slot-3'", True),
+    ("div", "class='sponsored-links'", True), ("div", "class='page-footer'", False), ("div", "class='sidebar-left'", False), ("div", "class='Newsletter-Signup'", True), ("div", "id='search'", False),
+]
+
+
+def test_names_are_whole_words_of_classes(spark):
+    """An article's own words are never cut by parts of its class names; every part of a page has words of its own, so what stays is known."""
+    rows, want = [], {}
+    for i, (tag, attrs, inside, gone) in enumerate([(*x, False) for x in KEPT] + [(*x, True) for x in GONE]):
+        part = f"<{tag} {attrs}>part {i} words</{tag}>"
+        page = f"<article><p>first {i}</p>{part}<p>last {i}</p></article>" if inside else f"<body>{part}<article><p>first {i}</p><p>last {i}</p></article></body>"
+        lines = [f"first {i}", f"last {i}"]
+        want[i] = "\n".join(lines if gone else [lines[0], f"part {i} words", lines[1]] if inside else [f"part {i} words", *lines])
+        rows.append((i, f"http://h{i}.example/", page))
+    assert {r.page_id: r.text for r in html_text.main_text(pages(spark, rows)).collect()} == want
+
+
+def test_known_articles_of_generated_sites(spark):
+    """Articles of invented sites with menus, notices, sidebars and comments around them come back word by word, whether names, counts or tags mark the rest."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(rng.randint(2, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    rows, want = [], {}
+    for site in range(4):
+        menu, notice, side = [prose(2) for _ in range(6)], prose(12), [prose(4) for _ in range(5)]
+        named = site % 2 == 0  # the other sites' classes say nothing
+        for n in range(12):
+            i, body = 100 * site + n, [prose(rng.randint(5, 30)) for _ in range(rng.randint(2, 6))]
+            top = f"<div class='{'site-header' if named else 'q1'}'>" + " ".join(f"<a href='/{k}'>{m}</a>" for k, m in enumerate(menu)) + "</div>"
+            told = f"<div class='{'cookie-notice' if named else 'q2'}'>{notice}</div>"
+            beside = f"<div class='{'sidebar' if named else 'q3'}'><ul>" + "".join(f"<li><a href='/s{k}'>{m}</a></li>" for k, m in enumerate(side)) + "</ul></div>"
+            said = f"<section class='comments'><p>{prose(8)}</p></section>"
+            rows.append((i, f"http://s{site}.example/{n}", f"<html><head><title>{prose(3)}</title></head><body>{top}{told}<article><h1>{body[0]}</h1>{''.join(f'<p>{p}</p>' for p in body[1:])}</article>{beside}{said}<script>{prose(5)}</script></body></html>"))
+            want[i] = "\n".join(body)
+    assert {r.page_id: r.text for r in html_text.main_text(pages(spark, rows)).collect()} == want

@@ -48,18 +48,20 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 FENCES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}}
 DROPPED = frozenset("head nav footer aside form script style noscript template iframe object embed svg canvas button select input textarea dialog menu audio video map title xmp noembed noframes".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
-#: Words of a class or id that mark a part as no article text.
-MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adslot|adbox|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|newsletter|subscri\w*|signup|paywall|"
-    r"popup|modal|overlay|sidebar|side|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|comments?|disqus|replies|reply|respond|share|sharing|social|"
-    r"related|recommend\w*|widget|toolbar|pagination|pager|skip|login|search)(?=$|[\s_-])", re.I,
-)
-#: The same inside an article or main element: without names that parts of articles have.
-MARKS_INSIDE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adslot|adbox|sponsor\w*|promo\w*|cookies?|consent|gdpr|newsletter|subscri\w*|signup|paywall|"
-    r"popup|modal|sidebar|nav|navbar|navigation|breadcrumbs?|comments?|disqus|replies|reply|respond|share|sharing|social|"
-    r"related|recommend\w*|pagination|pager|skip|login)(?=$|[\s_-])", re.I,
+#: Words that mark a part as no article text where they are a class or id, or make one up with others of them and with plain ones.
+MARKS = frozenset(
+    "ad ads adsense adslot adbox banner cookie cookies consent gdpr notice notices newsletter signup paywall popup modal overlay sidebar side menu nav navbar navigation "
+    "breadcrumb breadcrumbs footer header masthead comment comments disqus replies reply respond share sharing social related widget toolbar pagination pager skip login search".split()
 )
+#: The same by their beginnings.
+STEMS = ("advert", "sponsor", "promo", "subscri", "recommend")
+#: Marks that parts of articles have as well: inside an article or main element they mark nothing.
+PARTS_OF_ARTICLES = frozenset("banner notice notices overlay side menu footer header masthead widget toolbar search".split())
+#: Words of layout, which say nothing about a part: site-header is a header, header-story is none.
+PLAIN = frozenset(
+    "site page global main primary secondary top bottom left right upper lower inner outer sticky fixed wrapper wrap container holder box bar strip list area zone section block "
+    "region row col column group panel slot unit link links item items button buttons btn icon icons form field post posts article articles story stories widget widgets text".split()
+) - {"story", "stories", "article", "text"}
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*(?:>|$)|<\?[^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
@@ -143,6 +145,19 @@ def _attributes(node: Node) -> dict[str, str]:
     return {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(node.attrs)} if node.attrs.strip() else {}
 
 
+def marked(value: str, inside: bool) -> bool:
+    """Whether a class or id names a part that is no article text: one of its words, cut at hyphens and underscores, is a mark and the others are marks, plain words or numbers.
+
+    A mark beside any other word is part of a name of its own: related-work, share-price, notice-of-award.
+    """
+    is_mark = lambda w: (w in MARKS or w.startswith(STEMS)) and not (inside and w in PARTS_OF_ARTICLES)
+    for token in value.lower().split():
+        words = [w for w in re.split(r"[-_]+", token) if w]
+        if any(map(is_mark, words)) and all(is_mark(w) or w in PLAIN or w in MARKS or w.isdigit() for w in words):
+            return True
+    return False
+
+
 def _dropped(node: Node, inside: bool) -> bool:
     """Whether a node says that it is no article text; inside: within an article or main element."""
     if node.tag in DROPPED or node.tag == "header" and not inside:
@@ -157,7 +172,7 @@ def _dropped(node: Node, inside: bool) -> bool:
     names = (attrs.get("class", ""), attrs.get("id", ""))
     if node.tag in ("article", "main"):
         return any(re.search(r"(?:^|[\s_-])(?:comments?|reply|replies)(?=$|[\s_-])", x, re.I) for x in names)
-    return any((MARKS_INSIDE if inside else MARKS).search(x) for x in names)
+    return any(marked(x, inside) for x in names)
 
 
 def hashed(root: Node) -> tuple[list[tuple[Node, int, int | None]], int]:
