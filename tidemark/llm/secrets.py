@@ -2,9 +2,9 @@
 
 Parts found in a text are strong (an assignment, an access identifier, a long hexadecimal run)
 or weak (an unlabelled 40-character key, an endpoint). Strong parts always count. A weak part
-counts only if a complementary part stands in the same scope (a block between blank lines)
-within REACH characters: an access identifier or an endpoint for a key; an access identifier, an
-assignment or a key for an endpoint. The interval join of weak parts with their anchors is a window over each
+counts only if a complementary part stands in the same scope (a block between blank lines),
+however far apart, or within `reach` characters where that is given: an access identifier or an endpoint
+for a key; an access identifier, an assignment or a key for an endpoint. The interval join of weak parts with their anchors is a window over each
 scope's parts in order, which looks at the nearest anchor on either side, so it is linear in
 the number of parts.
 
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 #: Kinds of spans in their order at equal starts.
 KINDS = ("assign", "access", "hex", "key", "endpoint")
 STRONG = ("assign", "access", "hex")
-REACH = 400
 MASK = "[REDACTED]"
 
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -83,8 +82,8 @@ def _find(batches):
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(found, _ARROW)], names=["doc_id", "uid", "parts"])
 
 
-def linked(rows: DataFrame) -> DataFrame:
-    """rows(uid, ..., start, kind, end, scope) without the weak parts that no complementary part is near."""
+def linked(rows: DataFrame, reach: int | None = None) -> DataFrame:
+    """rows(uid, ..., start, kind, end, scope) without the weak parts that have no complementary part in their scope, or none within reach."""
     near = Window.partitionBy("uid", "scope").orderBy("start", "kind", "end")
     back, ahead = near.rowsBetween(Window.unboundedPreceding, -1), near.rowsBetween(1, Window.unboundedFollowing)
     for_key, for_endpoint = F.col("kind").isin("access", "endpoint"), F.col("kind").isin("access", "assign", "key")
@@ -92,7 +91,9 @@ def linked(rows: DataFrame) -> DataFrame:
     def close(test):
         before = F.max(F.when(test, F.col("end"))).over(back)
         after = F.min(F.when(test, F.col("start"))).over(ahead)
-        return F.coalesce(F.col("start") - before <= REACH, F.lit(False)) | F.coalesce(after - F.col("end") <= REACH, F.lit(False))
+        if reach is None:
+            return before.isNotNull() | after.isNotNull()
+        return F.coalesce(F.col("start") - before <= reach, F.lit(False)) | F.coalesce(after - F.col("end") <= reach, F.lit(False))
 
     flagged = rows.withColumns({"_for_key": close(for_key), "_for_endpoint": close(for_endpoint)})
     ok = F.col("kind").isNull() | F.col("kind").isin(*STRONG) | ((F.col("kind") == "key") & F.col("_for_key")) | ((F.col("kind") == "endpoint") & F.col("_for_endpoint"))
@@ -107,7 +108,7 @@ def _joined(spans):
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
 
-def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", reach: int | None = None) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256 and spans of each row of docs, with found, the spans as an array."""
     keyed = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("uid"))
     id_type = keyed.schema["doc_id"].dataType.simpleString()
@@ -116,7 +117,7 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     weak = F.exists("parts", lambda p: ~p["kind"].isin(*STRONG))
     span = lambda p: F.struct(p["start"].alias("start"), _order(p["kind"]).alias("rank"), p["kind"].alias("kind"), p["end"].alias("end"))
     rows = found.select("doc_id", "uid", F.explode(F.when(weak, F.col("parts")).otherwise(F.array(F.struct(F.lit(None).cast("int").alias("start"), F.lit(None).cast("string").alias("kind"), F.lit(None).cast("int").alias("end"), F.lit(-1).alias("scope"))))).alias("p"), F.when(~weak, F.transform("parts", span)).alias("strong"))
-    rows = linked(rows.select("doc_id", "uid", "strong", "p.*"))
+    rows = linked(rows.select("doc_id", "uid", "strong", "p.*"), reach)
     here = F.struct("start", _order(F.col("kind")).alias("rank"), "kind", "end")
     spans = rows.groupBy("uid").agg(F.first("doc_id").alias("doc_id"), F.first("strong", True).alias("strong"), F.array_sort(F.collect_list(F.when(F.col("kind").isNotNull(), here))).alias("own"))
     spans = spans.select("doc_id", F.coalesce("strong", "own").alias("found"))
@@ -125,13 +126,13 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     return spans.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"), F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"), "found")
 
 
-def redact(docs: DataFrame, text: str = "text", chars: str = "n_chars") -> DataFrame:
+def redact(docs: DataFrame, text: str = "text", chars: str = "n_chars", reach: int | None = None) -> DataFrame:
     """docs with every span replaced by MASK, and the length in `chars` kept right. No row is dropped."""
     body = F.coalesce(F.col(text), F.lit(""))
-    key = F.xxhash64(body)  # spans follow from the text alone
+    key = F.md5(body)  # spans follow from the text alone, which 128 bits tell apart
     names = docs.columns
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), key.alias("_key"))
-    spans = scan(docs.select(key.alias("key"), body.alias("text")), "text", "key").where(F.size("found") > 0)
+    spans = scan(docs.select(key.alias("key"), body.alias("text")), "text", "key", reach).where(F.size("found") > 0)
     spans = spans.select("doc_id", F.transform("found", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("found")).dropDuplicates(["doc_id"])
     both = held.join(spans, F.col("_key") == F.col("doc_id"), "left")
     # walk over the spans in order, copying the text between them; overlapping spans merge
