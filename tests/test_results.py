@@ -141,3 +141,13 @@ def test_cost_of_windows_is_that_of_their_prompts(spark):
     w = spark.createDataFrame(rows, "message_id long, channel_id long, channel_name string, context_text string, created_at timestamp_ntz")
     assert packing.cost_of_windows(w).collect() == packing.cost(packing.prompts(packing.packed(w))).collect()
     assert packing.cost_of_windows(w, 10).first().n_batches == 4
+
+
+def test_gold_labels_that_are_no_booleans_count_when_strict(spark):
+    p = spark.createDataFrame([(str(i), "positive", s, "none") for i, s in enumerate(["true", "false", "true", None, "maybe", "false"])], "message_id string, polarity string, sarcasm string, toxicity string")
+    gold = spark.createDataFrame([(str(i), "positive", s, None) for i, s in enumerate(["TRUE", "", "on", "no", "maybe", None])], "message_id string, gold_polarity string, gold_sarcasm string, gold_toxicity string")
+    r = evaluate.evaluate(p, gold, strict=True).first()
+    # hits: 0 and 4 of five labels; true by label: 0, 2, 4; true by prediction: 0, 2, 3 (missing), 4
+    assert (r.n_labeled, r.sarcasm_accuracy) == (6, pytest.approx(2 / 5)) and r.sarcasm_f1 == pytest.approx(2 * 3 / (2 * 3 + 1)) and r.toxicity_accuracy is None
+    loose = evaluate.evaluate(p, gold).first()
+    assert loose.sarcasm_accuracy == pytest.approx(1.0) and loose.sarcasm_f1 == pytest.approx(1.0)  # 0, 2 and 3 alone are booleans

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import strip, to_boolean
@@ -13,19 +13,33 @@ def _label(c: str):
     return F.when(~low.isin("", "nan"), low)
 
 
-def evaluate(predictions: DataFrame, gold: DataFrame) -> DataFrame:
+def _narrow(text: Column) -> Column:
+    """true/false, yes/no, 1/0 in any case; null for anything else."""
+    low = F.lower(strip(text))
+    return F.when(low.isin("true", "1", "yes"), True).when(low.isin("false", "0", "no"), False)
+
+
+def evaluate(predictions: DataFrame, gold: DataFrame, strict: bool = False) -> DataFrame:
     """One row: n_labeled, accuracies of polarity, sarcasm and toxicity, and the F1 of sarcasm; null where nothing is labelled.
 
-    A sarcasm label that is no boolean is left out.
+    A sarcasm label that is no boolean is left out. With strict it counts, as in tables of old: as a miss of the accuracy unless the prediction is the same text, and
+    in the F1 as true, or as false if it is empty; just true/false, yes/no and 1/0 are booleans then, and a missing label alone is left out.
     """
     p = predictions.select(F.col("message_id").cast("string").alias("id"), _label("polarity").alias("pp"), F.col("sarcasm").cast("string").alias("ps"), _label("toxicity").alias("pt"))
     g = gold.select(F.col("message_id").cast("string").alias("id"), _label("gold_polarity").alias("gp"), F.col("gold_sarcasm").cast("string").alias("gs"), _label("gold_toxicity").alias("gt"))
-    both = g.join(p, "id").where("gp is not null").select("*", to_boolean(F.col("gs")).alias("s"), F.coalesce(to_boolean(F.col("ps")), F.lit(False)).alias("t"))
+    both = g.join(p, "id").where("gp is not null")
+    if strict:
+        s, t, told = _narrow(F.col("gs")), _narrow(F.col("ps")), F.col("gs").isNotNull()
+        same = F.when(s.isNotNull() & t.isNotNull(), s == t).when(s.isNull() & t.isNull(), F.coalesce(F.col("gs") == F.col("ps"), F.lit(False))).otherwise(F.lit(False))
+        truth = lambda known, raw: F.coalesce(known, raw != "", F.lit(True))
+        both = both.select("*", F.when(told, truth(s, F.col("gs"))).alias("s"), truth(t, F.col("ps")).alias("t"), F.when(told, same).alias("same"))
+    else:
+        both = both.select("*", to_boolean(F.col("gs")).alias("s"), F.coalesce(to_boolean(F.col("ps")), F.lit(False)).alias("t")).withColumn("same", F.col("s") == F.col("t"))
     hit = lambda a, b: F.avg(F.when(a.isNotNull(), (a == F.coalesce(b, F.lit(""))).cast("double")))
     s, t = F.col("s"), F.col("t")
     tp, wrong = F.count_if(s & t), F.count_if(s.isNotNull() & (s != t))
     return both.agg(
-        F.count(F.lit(1)).alias("n_labeled"), hit(F.col("gp"), F.col("pp")).alias("polarity_accuracy"), F.avg((s == t).cast("double")).alias("sarcasm_accuracy"),
+        F.count(F.lit(1)).alias("n_labeled"), hit(F.col("gp"), F.col("pp")).alias("polarity_accuracy"), F.avg(F.col("same").cast("double")).alias("sarcasm_accuracy"),
         F.when(F.count("s") > 0, F.when(2 * tp + wrong > 0, 2 * tp / (2 * tp + wrong)).otherwise(0.0)).alias("sarcasm_f1"), hit(F.col("gt"), F.col("pt")).alias("toxicity_accuracy"),
     )
 

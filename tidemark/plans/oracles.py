@@ -130,4 +130,10 @@ SELECT id AS message_id, CASE WHEN id % 4 = 0 THEN 'mixed' ELSE polarity END AS
 SELECT id AS message_id, CASE WHEN id % 7 <> 0 AND id % 4 = 0 THEN 'mixed' ELSE polarity END AS polarity, CASE WHEN id % 7 <> 0 THEN 'm2' ELSE 'm1' END AS model, CASE WHEN id % 3 <> 0 THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-03-01' END AS scored_at, CASE WHEN id % 7 <> 0 THEN TIMESTAMP '2024-03-01' ELSE TIMESTAMP '2024-02-01' END AS updated_at
 FROM n WHERE id % 3 <> 0 OR id % 7 <> 0""",
     "incremental_windows": f"WITH {_WIN} SELECT message_id, n_priors, context_text, length_bucket FROM win",
+    "eval_metrics_strict": f"""WITH d AS (SELECT doc_id AS message_id, text AS content FROM documents), p AS ({_double('d')}),
+g AS (SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN quality = 1 THEN 'positive' ELSE 'negative' END AS gp, CASE WHEN doc_id % 6 = 0 THEN NULL ELSE quality <> 1 END AS gs, CASE WHEN doc_id % 4 = 0 THEN NULL WHEN toxic = 1 THEN 'severe' ELSE 'none' END AS gt FROM labels WHERE doc_id % 10 <> 0),
+b AS (SELECT g.*, coalesce(gs, true) AS yt, p.polarity AS pp, p.sarcasm AS ps, p.toxicity AS pt FROM g JOIN p ON g.id = p.message_id),
+n AS (SELECT count(*) FILTER (WHERE yt AND ps) AS tp, count(*) FILTER (WHERE ps AND NOT yt) AS fp, count(*) FILTER (WHERE yt AND NOT ps) AS fn FROM b),
+r AS (SELECT CAST(tp AS DOUBLE) / (tp + fp) AS pr, CAST(tp AS DOUBLE) / (tp + fn) AS rc FROM n)
+SELECT count(*) AS n_labeled, round(avg(CAST(gp = pp AS INTEGER)), 9) AS polarity_accuracy, round(avg(CASE WHEN gs = ps THEN 1 ELSE 0 END), 9) AS sarcasm_accuracy, (SELECT round(2 * pr * rc / (pr + rc), 9) FROM r) AS sarcasm_f1, round(avg(CAST(gt = pt AS INTEGER)), 9) AS toxicity_accuracy FROM b""",
 }

@@ -264,6 +264,11 @@ def eval_metrics(spark, d):
     return _rounded(evaluate.evaluate(*_gold(spark, d)), "polarity_accuracy", "sarcasm_accuracy", "sarcasm_f1", "toxicity_accuracy")
 
 
+def eval_metrics_strict(spark, d):
+    """The same with labels that are no booleans counted as of old."""
+    return _rounded(evaluate.evaluate(*_gold(spark, d), strict=True), "polarity_accuracy", "sarcasm_accuracy", "sarcasm_f1", "toxicity_accuracy")
+
+
 def usage_rollup(spark, d):
     e = src.table(spark, d, "events")
     log = e.select((F.col("event_id") % 19 == 0).alias("failed"), (F.col("event_id") % 1000).alias("input_tokens"), F.when(F.col("event_id") % 3 != 0, F.col("event_id") % 50).alias("candidate_tokens"), (F.col("event_id") % 70).alias("response_tokens"))
@@ -307,5 +312,5 @@ QUERIES = {f.__name__: f for f in (
     parse_results, parse_error_summary, validate_results, dedupe_keep_last, upsert_merge, fk_guard, coverage, corpus_profile, length_histogram, channel_counts, overview, date_range, polarity_mix, toxicity_mix,
     by_channel, by_member, by_year, by_month, member_compare, sarcastic_top, channel_extremes, gold_template, eval_metrics, usage_rollup,
     seeded_sample, pending_windows, review_join, review_summary, model_compare, messages_per_year, most_toxic_member, result_count, scored_ids, finished_jobs,
-    upsert_spellings, results_store, incremental_windows,
+    upsert_spellings, results_store, incremental_windows, eval_metrics_strict,
 )}
