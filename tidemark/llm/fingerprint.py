@@ -108,23 +108,14 @@ def _retried(a: Column, b: Column) -> Column:
     return let(tried, lambda t: F.when(t >= 0, t).otherwise(exact))
 
 
-def _two_to(k: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1), k)
-
-
 def split(own: Column, used: Column, bits: Column) -> Column:
-    """own, equal in its first `used` bits, as 2 ** bits groups in the order of the bits that follow. Three steps, so a digest is looked at about 3 * 2 ** (bits / 3) times."""
+    """own, equal in its first `used` bits, as 2 ** bits groups in the order of the bits that follow: a bit a step, so a digest is looked at twice a bit."""
 
-    def level(group, before, n):
-        bounds = F.struct((F.lit(64) - before - n).alias("shift"), (_two_to(n) - 1).cast("long").alias("mask"))  # found once, not for each digest
-        parts = lambda p: F.transform(F.sequence(F.lit(0).cast("long"), p["mask"]), lambda g: F.filter(group, lambda d: F.call_function("shiftrightunsigned", d, p["shift"]).bitwiseAND(p["mask"]) == g))
-        return F.when(n <= 0, F.array(group)).otherwise(let(bounds, parts))
+    def step(groups, i):
+        bit = lambda d: F.call_function("shiftrightunsigned", d, F.lit(64) - used - i).bitwiseAND(F.lit(1).cast("long"))
+        return F.flatten(F.transform(groups, lambda g: F.array(F.filter(g, lambda d: bit(d) == 0), F.filter(g, lambda d: bit(d) == 1))))
 
-    first = F.ceil(bits / 3).cast("int")
-    second = F.ceil((bits - first) / 2).cast("int")
-    once = level(own, used, first)
-    twice = F.flatten(F.transform(once, lambda g: level(g, used + first, second)))
-    return F.when(bits <= 2, level(own, used, bits)).otherwise(F.flatten(F.transform(twice, lambda g: level(g, used + first + second, bits - first - second))))
+    return F.when(bits <= 0, F.array(own)).otherwise(F.aggregate(F.sequence(F.lit(1), bits), F.array(own), step))
 
 
 def tables(own: Column) -> Column:
@@ -216,9 +207,10 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     tail = F.floor(F.col("n_chars") / 4).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars") - tail), F.substring("next_text", F.lit(1), tail)))
     rows = rows.select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("text")).alias("_a"), digests(F.col("edited")).alias("_e"), digests(F.col("next_text")).alias("_n"))
-    rows = rows.withColumns({f"_t{c}": tables(F.col(f"_{c}")) for c in "aen"})
+    # one expression for all three texts, and for both pairs: each is analysed once
+    rows = rows.withColumn("_t", F.transform(F.array("_a", "_e", "_n"), tables))
     # a step a column: nested further, the analyzer's rounds don't suffice
-    rows = rows.withColumns({f"_f{c}": recovered(F.col("_ta"), F.col(f"_t{c}")) for c in "en"})
-    rows = rows.withColumns({f"_d{c}": apart(F.col("_a"), F.col(f"_{c}"), F.col(f"_f{c}")) for c in "en"})
-    a, e, n = F.col("_a"), F.col("_e"), F.col("_n")
-    return rows.select("doc_id", "n_chars", "edited_sha256", encoded(F.col("_ta")).alias("fingerprint"), encoded(F.col("_te")).alias("edited_fingerprint"), likeness(a, e, F.col("_de")).alias("near_edited"), likeness(a, n, F.col("_dn")).alias("near_next"))
+    rows = rows.withColumn("_f", F.transform(F.slice("_t", 2, 2), lambda t: recovered(F.col("_t")[0], t)))
+    rows = rows.withColumn("_d", F.zip_with(F.array("_e", "_n"), "_f", lambda x, found: apart(F.col("_a"), x, found)))
+    a, e, n, d = F.col("_a"), F.col("_e"), F.col("_n"), F.col("_d")
+    return rows.select("doc_id", "n_chars", "edited_sha256", encoded(F.col("_t")[0]).alias("fingerprint"), encoded(F.col("_t")[1]).alias("edited_fingerprint"), likeness(a, e, d[0]).alias("near_edited"), likeness(a, n, d[1]).alias("near_next"))
