@@ -101,3 +101,13 @@ def test_a_text_of_many_lines(spark):
     texts = ["\n".join(map(str, range(20_000))), "\n".join(map(str, range(100, 20_100)))]
     got = {r.doc_id: r.near_next for r in fingerprint.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert got[0] == got[1] == pytest.approx(19_900 / 20_100)
+
+
+def test_ids_of_other_types(spark):
+    rng = random.Random(9)
+    rows = [(i, "\n".join(str(rng.randint(0, 30)) for _ in range(12))) for i in range(40)] + [(None, "no id"), (7, "again 7")]
+    named = [(None if i is None else f"d{i:03d}", t) for i, t in rows]
+    follow = lambda df, n: sorted((str(r.doc_id), r.text, r.next_text) for r in fingerprint.with_next(df, n).collect())
+    numbers, strings = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(named, "doc_id string, text string")
+    want = sorted((str(None if i == "None" else f"d{int(i):03d}"), t, x) for i, t, x in follow(numbers, 5))
+    assert follow(strings, 5) == follow(strings, 1) == want

@@ -10,13 +10,16 @@ group is sketched anew with larger tables; after the last size the digests are c
 
 Defined results: a null text is the empty text, which has no digests; two texts without digests have likeness
 1, a text with and one without 0; texts are ordered by doc_id (null last), then by themselves, and the last is
-followed by the first; a lone text follows itself; repeated rows are separate documents; further columns are ignored.
+followed by the first; a lone text follows itself; repeated rows are separate documents; ids are of any type that has an order; further columns are ignored.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
+
+from tidemark.operators.ranges import dealt as dealt_out
 
 from .tables import let
 
@@ -169,10 +172,13 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     range is looked up again, for the last row of the range before.
     """
     n = ranges or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = sorted(set(docs.where("doc_id is not null").stat.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.2 / n))) if n > 1 else []
-    cuts = [int(c) for c in cuts]
-    at = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(_range_of(F.col("doc_id"), cuts))
-    dealt = docs.withColumn("_range", at)
+    if isinstance(docs.schema["doc_id"].dataType, NumericType):
+        cuts = sorted(set(docs.where("doc_id is not null").stat.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.2 / n))) if n > 1 else []
+        cuts = [int(c) for c in cuts]
+        at = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(_range_of(F.col("doc_id"), cuts))
+        dealt = docs.withColumn("_range", at)
+    else:  # ids of any other type that has an order
+        dealt = dealt_out(docs, [F.col("doc_id").isNull(), F.col("doc_id")], max(2, n)).drop("_bounds")
     firsts = sorted((r["_range"], r["first"]) for r in dealt.groupBy("_range").agg(F.min("doc_id").alias("first")).collect())  # one row a range
     if not firsts:
         return docs.withColumn("next_text", F.lit(None).cast("string"))
