@@ -136,4 +136,8 @@ b AS (SELECT g.*, coalesce(gs, true) AS yt, p.polarity AS pp, p.sarcasm AS ps, p
 n AS (SELECT count(*) FILTER (WHERE yt AND ps) AS tp, count(*) FILTER (WHERE ps AND NOT yt) AS fp, count(*) FILTER (WHERE yt AND NOT ps) AS fn FROM b),
 r AS (SELECT CAST(tp AS DOUBLE) / (tp + fp) AS pr, CAST(tp AS DOUBLE) / (tp + fn) AS rc FROM n)
 SELECT count(*) AS n_labeled, round(avg(CAST(gp = pp AS INTEGER)), 9) AS polarity_accuracy, round(avg(CASE WHEN gs = ps THEN 1 ELSE 0 END), 9) AS sarcasm_accuracy, (SELECT round(2 * pr * rc / (pr + rc), 9) FROM r) AS sarcasm_f1, round(avg(CAST(gt = pt AS INTEGER)), 9) AS toxicity_accuracy FROM b""",
+    "dedupe_appends": f"""WITH {_CONV}, dbl AS ({_double('conv')}), r AS (SELECT *, CAST(message_id AS BIGINT) AS n FROM dbl), a AS (
+SELECT message_id, 1 AS seq, 5 AS position, polarity FROM r UNION ALL SELECT message_id, 2, 5, 'mixed' FROM r WHERE n % 2 = 0 UNION ALL SELECT message_id, 3, 1, 'first' FROM r WHERE n % 3 = 0 UNION ALL SELECT message_id, 3, 2, 'second' FROM r WHERE n % 9 = 0)
+SELECT message_id, seq, position, polarity FROM a QUALIFY row_number() OVER (PARTITION BY message_id ORDER BY seq DESC, position DESC) = 1""",
+    "recovered_results": f"WITH {_STATUS} SELECT seq AS message_id, polarity, sarcasm, CASE WHEN seq % 4 = 1 THEN replace(rationale, 'digest ', 'later ') ELSE rationale END AS rationale, 'late' AS model, TIMESTAMP '2024-03-01' AS scored_at FROM lines WHERE status = 'ok'",
 }

@@ -167,6 +167,27 @@ def dedupe_keep_last(spark, d):
     return store.keep_last(_appended(spark, d)).select("message_id", "seq", "polarity")
 
 
+def dedupe_appends(spark, d):
+    """Three appends, the last with ids twice in it: the last row of each id in append order."""
+    r = scoring.doubled(_conv(spark, d)).withColumns({"seq": F.lit(1), "position": F.lit(5)})
+    n = F.col("message_id").cast("long")
+    later = r.where(n % 2 == 0).withColumns({"seq": F.lit(2), "polarity": F.lit("mixed")})
+    last = r.where(n % 3 == 0).withColumns({"seq": F.lit(3), "position": F.lit(1), "polarity": F.lit("first")}).unionByName(r.where(n % 9 == 0).withColumns({"seq": F.lit(3), "position": F.lit(2), "polarity": F.lit("second")}))
+    return store.keep_last(last.unionByName(later).unionByName(r)).select("message_id", "seq", "position", "polarity")
+
+
+def recovered_results(spark, d):
+    """The results table after the recovery of two finished jobs, one in a folder of the other, of which the later one answers some messages again."""
+    m, base = _conv(spark, d), scratch(spark, "recovery")
+    lines, folder = _answers(spark, d), f"{base}/a job's answers"
+    again = F.replace(F.col("value"), F.lit("digest "), F.lit("later "))
+    lines.select("value").write.text(folder)
+    lines.where("seq % 4 = 1").select(again.alias("value")).write.text(f"{folder}/50% more")
+    listed = spark.createDataFrame([("one", "succeeded", folder, "2024-02-01 00:00:00"), ("two", "succeeded", f"{folder}/50% more", "2024-02-02 00:00:00"), ("three", "failed", "none", "2024-02-03 00:00:00")], "job_id string, state string, path string, at string")
+    jobs.recover(listed.select("job_id", "state", F.col("at").cast("timestamp_ntz").alias("create_time"), "path"), m, f"{base}/results", "late", "2024-03-01 00:00:00")
+    return keyed.read(spark, f"{base}/results").table().select("message_id", "polarity", "sarcasm", "rationale", "model", "scored_at")
+
+
 def upsert_merge(spark, d):
     m = _conv(spark, d)
     at = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
@@ -312,5 +333,5 @@ QUERIES = {f.__name__: f for f in (
     parse_results, parse_error_summary, validate_results, dedupe_keep_last, upsert_merge, fk_guard, coverage, corpus_profile, length_histogram, channel_counts, overview, date_range, polarity_mix, toxicity_mix,
     by_channel, by_member, by_year, by_month, member_compare, sarcastic_top, channel_extremes, gold_template, eval_metrics, usage_rollup,
     seeded_sample, pending_windows, review_join, review_summary, model_compare, messages_per_year, most_toxic_member, result_count, scored_ids, finished_jobs,
-    upsert_spellings, results_store, incremental_windows, eval_metrics_strict,
+    upsert_spellings, results_store, incremental_windows, eval_metrics_strict, dedupe_appends, recovered_results,
 )}
