@@ -126,3 +126,19 @@ def test_old_tables_get_buckets_and_odd_paths_work(spark, tmp_path):
     assert store.upsert(spark, base, results(spark, [2, 3], "mixed"), m, "2024-01-02", 4) == {"written": 2, "skipped": 0}
     assert held(spark, base) == {1: ("positive", "2024-01-01", "2024-01-01"), 2: ("mixed", "2024-01-01", "2024-01-02"), 3: ("mixed", "2024-01-02", "2024-01-02")}
     assert keyed.read(spark, base).bucketed().count() == 3 and store.read_current(spark, f"file://{tmp_path}/none").count() == 0
+
+
+def test_vacuum_leaves_what_is_named_or_young(spark, tmp_path):
+    import time
+
+    base, m = f"file://{tmp_path}/t", messages(spark)
+    for k in range(4):
+        store.upsert(spark, base, results(spark, [1, 2], f"p{k}"), m, f"2024-01-0{k + 1}", 1)
+    before = held(spark, base)
+    assert keyed.vacuum(spark, base) == []  # all are young
+    later = lambda: time.time() + 8 * 86_400
+    assert len(keyed.vacuum(spark, base, keep=2, now=later)) == 2 and held(spark, base) == before
+    assert len(keyed.vacuum(spark, base, keep=1, now=later)) == 1 and held(spark, base) == before
+    assert keyed.vacuum(spark, f"file://{tmp_path}/none") == []
+    with pytest.raises(ValueError):
+        keyed.vacuum(spark, base, keep=0)

@@ -291,3 +291,24 @@ def stage(rows: DataFrame, base: str, key: str, buckets: int) -> Version:
     """rows written once under base, to be read as often as wanted; no commit names them. `drop_folders` takes their parts away again."""
     parts = write_folder(rows, base, key, buckets)
     return Version(rows.sparkSession, base, 0, key, buckets, rows.schema, parts)
+
+
+def vacuum(spark: SparkSession, base: str, keep: int = 2, age: float = 7 * 86_400.0, now: Callable[[], float] = time.time) -> list[str]:
+    """Deletes the folders of rows that none of the last `keep` commits names, and returns their names.
+
+    Readers of older versions lose them. A folder younger than `age` seconds stays: a writer may be about to commit it, or a job may be reading it.
+    """
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
+    named: set[str] = set()
+    for n in [n for n in commits(spark, base) if read_text(spark, f"{base}/_commits/{n:012d}").strip()][:keep]:
+        text = read_text(spark, f"{base}/_commits/{n:012d}").strip()
+        named |= {f for _, f in json.loads(text)["parts"]} if text.startswith("{") else {text}
+    fs, folder = file_system(spark, base)
+    gone = []
+    for s in fs.listStatus(folder) if fs.exists(folder) else []:
+        name = s.getPath().getName()
+        if s.isDirectory() and name.startswith(("rows-", "version-")) and name not in named and s.getModificationTime() / 1000 < now() - age:
+            fs.delete(s.getPath(), True)
+            gone.append(name)
+    return sorted(gone)
