@@ -229,3 +229,25 @@ def test_config():
     assert c.model == "double" and c.make_scorer()["d"] == 1
     with pytest.raises(SystemExit):
         config.main(["--limit", "-1"], {})
+
+
+def test_commands_take_a_corpus_from_requests_to_the_report(spark, tmp_path):
+    from tidemark.__main__ import main
+
+    files.write_messages(spark.createDataFrame(ROWS, MESSAGES), f"file://{tmp_path}/messages")
+    env = {"TIDEMARK_MESSAGES": f"file://{tmp_path}/messages", "TIDEMARK_RESULTS": f"file://{tmp_path}/table"}
+    cost = main(["estimate"], env)
+    assert (cost["n_messages"], cost["n_batches"], cost["output_tokens"]) == (40, 3, 3600)
+    assert main(["requests", "--out", f"file://{tmp_path}/out", "--lines", "2"], env) == {"requests_001": 2, "requests_002": 1}
+    keys = [json.loads(x)["key"] for p in sorted((tmp_path / "out").glob("*.jsonl")) for x in p.read_text().splitlines()]
+    assert len(keys) == 3
+    (tmp_path / "jobs.json").write_text("\n".join(json.dumps(j) for j in [
+        {"job_id": "a", "state": "succeeded", "create_time": "2024-03-01T00:00:00", "inline": [line(*[result(i, "mixed") for i in range(30)])]},
+        {"job_id": "b", "state": "running", "create_time": "2024-03-02T00:00:00"},
+    ]))
+    assert main(["recover", "--jobs", f"file://{tmp_path}/jobs.json", "--now", "2024-04-01 00:00:00"], env) == {"lines": 1, "errors": 0, "written": 30, "skipped": 0, "checkpoint": False}
+    assert main(["estimate"], env)["n_messages"] == 10
+    main(["report", "--out", f"file://{tmp_path}/page.html", "--least", "1"], env)
+    assert "30" in (tmp_path / "page.html").read_text(encoding="utf-8") and (tmp_path / "page.html").read_text(encoding="utf-8").count("<svg") == 4
+    with pytest.raises(SystemExit):
+        main(["estimate", "--odd"], env)

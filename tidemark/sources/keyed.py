@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Buckets of a new table. Choose them so that a bucket's rows fit a task: as many as the shuffle partitions of the jobs that join it.
-BUCKETS = 32
+BUCKETS = 16
 
 
 class Conflict(Exception):
