@@ -215,3 +215,32 @@ def test_kept_is_the_quantile_rule(spark):
             own = sorted(r.perplexity for r in got if r.doc_id in check)
         cut = own[max(0, math.ceil(kneser_ney.HIGH * len(own)) - 1)] * kneser_ney.SLACK
         assert all(r.threshold == pytest.approx(cut) and r.kept == (r.perplexity <= r.threshold) for r in got if r.lang == lang)
+
+
+def test_words_keep_their_contexts_however_rare(spark, monkeypatch):
+    """Scores do not depend on which words have ids: the random numbers differ, the model is the same."""
+    texts = prose(5, 300)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3, "doc_id")
+    want = {r.doc_id: r for r in pitman_yor.scores(docs).collect()}
+    monkeypatch.setattr(pitman_yor, "FREQUENT", 0.5)
+    got = {r.doc_id: r for r in pitman_yor.scores(docs).collect()}
+    for i, r in want.items():
+        assert (got[i].n_known, got[i].base_score) == (r.n_known, pytest.approx(r.base_score))
+        assert got[i].score == pytest.approx(r.score, rel=0.03)
+
+
+def test_root_by_sizes_is_the_root_by_types():
+    """Twins that stand for all types of a size against every type by itself; probabilities sum to 1 with the unseen type."""
+    rng = np.random.default_rng(2)
+    customers = np.concatenate((rng.integers(1, 4, 5000), rng.integers(4, 3000, 40)))
+    sizes, held = np.unique(customers, return_counts=True)
+    n = len(customers) + 1
+    root = pitman_yor.Root(sizes, held, n)
+    p = root(np.append(customers, 0))
+    assert p.sum() == pytest.approx(1) and (p > 0).all()
+    d, theta = pitman_yor.ROOT_DISCOUNT, pitman_yor.ROOT_STRENGTH
+    alone = np.zeros(n - 1)
+    for t, tables in pitman_yor.seat(customers, np.zeros(n - 1, int), np.full(n - 1, 1 / n), None, d, theta, pitman_yor.Ratios(d), np.random.default_rng(9), 10, 6):
+        alone += ((theta + d * tables[0]) / n + customers - d * t) / (theta + customers.sum()) / 6
+    for size in sizes[:3]:
+        assert p[:-1][customers == size].mean() == pytest.approx(alone[customers == size].mean(), rel=0.02)

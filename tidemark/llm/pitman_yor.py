@@ -1,9 +1,10 @@
 """A hierarchical Pitman-Yor language model, learned by Gibbs sampling over all training documents.
 
-Words that make up at least FREQUENT of the training tokens (so at most 1 / FREQUENT of them, which
-bounds what is broadcast) are types of their own; all others are the type RARE, spelled out by a
-Pitman-Yor restaurant over the rare words. Each context (the type before; the start of a text) has a
-restaurant whose parent, shared by all, is the root restaurant over types; the root's parent is uniform.
+Each word of the training texts is a type of its own, and all unseen words are one more. Each context (the word before; the start
+of a text) has a restaurant whose parent, shared by all, is the root restaurant over types; the root's parent is uniform.
+Words that make up at least FREQUENT of the training tokens (at most 1 / FREQUENT of them) have ids and their
+counts and root probabilities are broadcast; a bucket gets those of its other words by joins on their hashes. FREQUENT
+sets how a value is looked up, not what it is.
 
 Spark deals occurrences out by context, to MOST_BUCKETS buckets at most (a bucket's distinct pairs are what one task must hold); a context
 with many tokens is split by the type that follows, so no bucket grows with one word, and a bucket's occurrences are salted, so that no
@@ -14,7 +15,8 @@ many, in two alternating halves of the dishes. The tables are the
 root's customers. Two passes are made: the first gives the root its customers, the root is sampled, the second averages the
 predictive probabilities of SAMPLES states and scores every document with them. Split contexts are seated
 with the words' shares for prior and a set number of tables around them, once in each pass by the same random numbers, so that the
-first pass knows the total of the very tables that the second one uses, and probabilities sum to 1. Each bucket sends a unit of
+first pass knows the total of the very tables that the second one uses, and probabilities sum to 1. Words with as many customers in the
+root have the same distribution there: the root is sampled by the histogram of customers, TWINS dishes of a size at most, which then stand for all of it. Each bucket sends a unit of
 documents its partial sums as one packed row.
 
 Defined results: a null text is the empty text, which has the end token alone; a null doc_id is hashed as "null";
@@ -29,6 +31,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +49,10 @@ ROOT_DISCOUNT, ROOT_STRENGTH = 0.5, 10.0
 RARE_DISCOUNT, RARE_STRENGTH = 0.8, 10.0
 BURN_IN, SAMPLES = 10, 6
 END = np.uint64(0x8F1BBCDC5A827999)
+#: Set in the codes of words that have no id.
+HASHED = np.uint64(1 << 63)
+#: Dishes of as many customers by which the root is sampled.
+TWINS = 1024
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Customers of a dish up to which Stirling ratios are tabled.
@@ -87,7 +94,7 @@ def _count(batches):
 
 
 class Vocabulary:
-    """The frequent types by hash; ids follow the order of hashes, then RARE; BOS is a context only."""
+    """The frequent types by hash; ids follow the order of hashes, then one of all others; BOS is a context only."""
 
     def __init__(self, hashes: np.ndarray, counts: np.ndarray, total: int, distinct: int, documents: int):
         order = np.argsort(hashes)
@@ -104,24 +111,38 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
         return np.where(self.hashes[at] == h, at, self.rare)
 
+    def codes(self, h: np.ndarray) -> np.ndarray:
+        """A word's id if it has one, else its hash."""
+        ids = self.ids(h)
+        return np.where(ids == self.rare, h | HASHED, ids.astype(np.uint64))
 
-def _vocabulary(docs: DataFrame) -> Vocabulary:
+    def hot(self, pairs: int) -> np.ndarray:
+        """Whether each context's types are dealt to several buckets; words without an id are too few for that."""
+        return _hot(self, pairs) & (np.arange(len(self.contexts)) != self.rare)
+
+
+def _hot(v, pairs: int) -> np.ndarray:
+    return v.contexts >= max(2.0, v.total / (2 * pairs))
+
+
+def _vocabulary(docs: DataFrame) -> tuple[Vocabulary, DataFrame]:
+    """The frequent words, and (w, c): the training count of each word."""
     table = stored(docs.mapInArrow(_count, "w long, c long").groupBy("w").agg(F.sum("c").alias("c")), "unigrams")
     end = int(END.astype(np.int64)) if END < np.uint64(1 << 63) else int(END) - (1 << 64)
     total, distinct, documents = table.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.max(F.when(F.col("w") == end, F.col("c"))), F.lit(0))).first()
     top = table.where((F.col("c") >= max(2.0, FREQUENT * total)) | (F.col("w") == end)).toArrow()
-    return Vocabulary(top["w"].to_numpy().view(np.uint64), top["c"].to_numpy(), total, distinct, documents)
+    return Vocabulary(top["w"].to_numpy().view(np.uint64), top["c"].to_numpy(), total, distinct, documents), table
 
 
-_KINDS = {"k": np.uint64, "i": np.uint32, "n": np.uint32, "c": np.uint32, "d": np.uint16}
+_KINDS = {"k": np.uint64, "u": np.uint64, "w": np.uint64, "i": np.uint32, "n": np.uint32, "c": np.uint32, "d": np.uint16}
 
 
 def _pack(**arrays: np.ndarray) -> bytes:
-    """Arrays of the kinds above, compressed: ascending ones (k, i) as steps, and all by byte plane."""
+    """Arrays of the kinds above, compressed: ascending ones (k, u, i) as steps, and all by byte plane."""
     out = {}
     for name, a in arrays.items():
         a = a.astype(_KINDS[name])
-        if name in "ki":
+        if name in "kui":
             a = np.diff(a, prepend=np.zeros(1, a.dtype))
         out[name] = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T)
     raw = io.BytesIO()
@@ -135,7 +156,7 @@ def _unpack(blob) -> dict[str, np.ndarray]:
     raw = pa.decompress(pa.py_buffer(view[8:]), decompressed_size=int.from_bytes(view[:8], "little"), codec="zstd", asbytes=True)
     with np.load(io.BytesIO(raw)) as z:
         out = {k: np.ascontiguousarray(z[k].T).view(_KINDS[k]).ravel() for k in z.files}
-    return {k: np.cumsum(a, dtype=a.dtype) if k in "ki" else a for k, a in out.items()}
+    return {k: np.cumsum(a, dtype=a.dtype) if k in "kui" else a for k, a in out.items()}
 
 
 def partial_sums(docs: np.ndarray, *values: np.ndarray) -> bytes:
@@ -173,6 +194,31 @@ def _runs(keys: np.ndarray, docs: np.ndarray, train: np.ndarray):
     return keys[at], n.astype(np.uint32), c.astype(np.uint32), docs.astype(np.uint16)
 
 
+def _starts(*keys: np.ndarray) -> np.ndarray:
+    """Where the runs of equal keys start."""
+    new = np.zeros(len(keys[0]), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
+
+
+def _pair_runs(u: np.ndarray, w: np.ndarray, docs: np.ndarray, train: np.ndarray) -> dict[str, np.ndarray]:
+    """Occurrences in the order of context and word: as _runs."""
+    at = _starts(u, w)
+    return {"u": u[at], "w": w[at], "n": np.diff(np.append(at, len(u))), "c": np.add.reduceat(train.astype(np.int64), at), "d": docs}
+
+
+def _distinct(u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs in order, and which of them each pair is."""
+    order = np.lexsort((w, u))
+    u, w = u[order], w[order]
+    at = _starts(u, w)
+    which = np.empty(len(u), np.uint32)
+    which[order] = np.repeat(np.arange(len(at), dtype=np.uint32), np.diff(np.append(at, len(u))))
+    return u[at], w[at], which
+
+
 _DEALT = "bucket int, salt long, unit long, blob binary"
 
 
@@ -184,7 +230,7 @@ def _deal(docs: DataFrame, shared, pairs: int, rares: int, salts: int) -> DataFr
 
         np.seterr(over="ignore")
         v = shared.value
-        hot = v.contexts >= max(1.0, v.total / (2 * pairs))
+        hot = v.hot(pairs)
         unit, state = TaskContext.get().partitionId() << 32, {"n": 0, "tokens": 0, "parts": [], "docs": [], "held": []}
 
         def flush():
@@ -195,23 +241,28 @@ def _deal(docs: DataFrame, shared, pairs: int, rares: int, salts: int) -> DataFr
             ids, held = pa.concat_arrays(state["docs"]), np.concatenate(state["held"])
             types = v.ids(h)
             first = np.concatenate(([True], d[1:] != d[:-1]))
-            before = np.where(first, v.bos, np.concatenate(([v.bos], types[:-1])))
+            codes = v.codes(h)
+            before = np.where(first, np.uint64(v.bos), np.concatenate((np.array([v.bos], np.uint64), codes[:-1])))
+            split = hot[np.where(before < HASHED, before, v.rare).astype(np.int64)]
             train, is_rare = ~held[d], types == v.rare
             counts = np.append(v.counts, 0.0)[types]
             n = len(ids)
             base = np.bincount(d[~is_rare], np.log10((counts[~is_rare] + 0.1) / (v.total + 0.1 * (v.distinct + 1))), n)
             spread = int(sh.mix(np.array([unit], np.uint64))[0])
             out = [(pairs + rares + spread % pairs, spread // pairs % salts, unit, _docs_blob(ids, held, np.bincount(d, minlength=n), base, np.bincount(d[counts > 0], minlength=n)))]
-            home = sh.mix(before.astype(np.uint64)) + np.where(hot[before], sh.mix(types.astype(np.uint64) + np.uint64(1 << 40)), np.uint64(0))
-            for which, keys, bucket, many in ((slice(None), (before.astype(np.uint64) << np.uint64(32)) | types.astype(np.uint64), (home % np.uint64(pairs)).astype(np.int64), pairs), (is_rare, h, pairs + (sh.mix(h) % np.uint64(rares)).astype(np.int64), rares)):
-                k, dd, tt, bb = keys[which], d[which], train[which], bucket[which]
-                order = np.argsort(bb, kind="stable")
-                present, first = np.unique(bb[order], return_index=True)
+            home = ((sh.mix(before) + np.where(split, sh.mix(codes + np.uint64(1 << 40)), np.uint64(0))) % np.uint64(pairs)).astype(np.int64)
+
+            def deal(order, bucket, many, packed):
+                present, first = np.unique(bucket[order], return_index=True)
                 for j, lo, hi in zip(present.tolist(), first.tolist(), [*first[1:].tolist(), len(order)]):
                     own = order[lo:hi]
                     ways = salts * max(1, len(own) * many // (FAT * len(order)) if len(own) >= FAT_TOKENS else 1)
-                    keys_, n_, c_, docs_ = _runs(k[own], dd[own], tt[own])
-                    out.append((j, spread % ways, unit, _pack(k=keys_, n=n_, c=c_, d=docs_)))
+                    out.append((j, spread % ways, unit, packed(own)))
+
+            deal(np.lexsort((codes, before, home)), home, pairs, lambda own: _pack(**_pair_runs(before[own], codes[own], d[own], train[own])))
+            k, dd, tt = h[is_rare], d[is_rare], train[is_rare]
+            rare_home = pairs + (sh.mix(k) % np.uint64(rares)).astype(np.int64)
+            deal(np.argsort(rare_home, kind="stable"), rare_home, rares, lambda own: _pack(**dict(zip("kncd", _runs(k[own], dd[own], tt[own])))))
             unit += UNIT_DOCS
             state.update(n=0, tokens=0, parts=[], docs=[], held=[])
             cols = list(zip(*out))
@@ -242,27 +293,38 @@ def _docs_blob(ids: pa.Array, held, tokens, base, known) -> bytes:
     return to_ipc(pa.table({"doc_id": ids, "held_out": held, "n_tokens": tokens.astype(np.int64), "base_score": base, "n_known": known.astype(np.float64)}))
 
 
-_GATHERED = "bucket int, salt long, keys binary, counts binary, units array<long>, blobs array<binary>"
+_GATHERED = "bucket int, salt long, keys binary, words binary, counts binary, units array<long>, blobs array<binary>"
 
 
 def _gather(parts: pa.Table) -> pa.Table:
-    """One row a bucket and salt: its distinct keys with training counts, and each unit's occurrences by key number."""
+    """One row a bucket and salt: its distinct keys (of pairs: contexts and words) with training counts, and each unit's occurrences by key number."""
     blobs = [_unpack(x.as_buffer()) for x in parts["blob"]]
-    keys, at = np.unique(np.concatenate([b["k"] for b in blobs]), return_inverse=True)
+    words = np.zeros(0, np.uint64)
+    if "u" in blobs[0]:
+        keys, words, at = _distinct(*(np.concatenate([b.pop(x) for b in blobs]) for x in "uw"))
+    else:
+        keys, at = np.unique(np.concatenate([b["k"] for b in blobs]), return_inverse=True)
     counts = np.bincount(at, np.concatenate([b["c"] for b in blobs]), len(keys)).astype(np.uint32)
     own, low = [], 0
     for b in blobs:
-        own.append(_pack(i=at[low : low + len(b["k"])].astype(np.uint32), n=b["n"], d=b["d"]))
-        low += len(b["k"])
-    return pa.table({"bucket": parts["bucket"][:1], "salt": parts["salt"][:1], "keys": pa.array([keys.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary()), "units": pa.array([parts["unit"].to_pylist()], pa.list_(pa.int64())), "blobs": pa.array([own], pa.list_(pa.binary()))})
-
-
-def _merged(parts: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """The keys and counts of a bucket, and where each of its salts' keys are among them."""
-    each = [np.frombuffer(x.as_buffer(), np.uint64) for x in parts["keys"]]
-    keys, at = np.unique(np.concatenate(each), return_inverse=True)
+        # the pairs of a unit are in the order of those of the bucket
+        own.append(_pack(i=at[low : low + len(b["n"])].astype(np.uint32), n=b["n"], d=b["d"]))
+        low += len(b["n"])
+    return pa.table({"bucket": parts["bucket"][:1], "salt": parts["salt"][:1], **{c: pa.array([x.tobytes()], pa.binary()) for c, x in (("keys", keys), ("words", words), ("counts", counts))}, "units": pa.array([parts["unit"].to_pylist()], pa.list_(pa.int64())), "blobs": pa.array([own], pa.list_(pa.binary()))})
+
+
+def _merged(parts: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The keys, words and counts of a bucket, and where each of its salts' keys are among them."""
+    each, words = ([np.frombuffer(x.as_buffer(), np.uint64) for x in parts[c]] for c in ("keys", "words"))
+    if len(each) == 1:
+        return each[0], words[0], np.frombuffer(parts["counts"][0].as_buffer(), np.uint32).astype(np.int64), [np.arange(len(each[0]))]
+    keys, w = np.concatenate(each), np.concatenate(words)
+    if len(w):
+        keys, w, at = _distinct(keys, w)
+    else:
+        keys, at = np.unique(keys, return_inverse=True)
     counts = np.bincount(at, np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in parts["counts"]]), len(keys)).astype(np.int64)
-    return keys, counts, np.split(at, np.cumsum([len(x) for x in each])[:-1])
+    return keys, w, counts, np.split(at, np.cumsum([len(x) for x in each])[:-1])
 
 
 class Ratios:
@@ -328,11 +390,11 @@ def _mode(c: np.ndarray, prior: np.ndarray, rest: np.ndarray, grows: np.ndarray,
     return low
 
 
-def seat(c: np.ndarray, group: np.ndarray, prior: np.ndarray, fixed: np.ndarray | None, discount: float, strength: float, ratios: Ratios, rng, burn_in: int, samples: int):
+def seat(c: np.ndarray, group: np.ndarray, prior: np.ndarray, fixed: np.ndarray | None, discount: float, strength: float, ratios: Ratios, rng, burn_in: int, samples: int, held: np.ndarray | float = 1.0):
     """Tables of dishes with c >= 1 customers: yields (t, T) for each kept state.
 
     group: the dish's restaurant; prior: the dish's probability in the parent; fixed: total tables by restaurant where
-    known from elsewhere, NaN where they are counted here. Dishes start at their likeliest tables. In a sweep those of up to
+    known from elsewhere, NaN where they are counted here; held: for how many dishes each stands in the totals. Dishes start at their likeliest tables. In a sweep those of up to
     FEW customers move one customer, others make MOVES Metropolis moves as wide as their conditional, so
     that a state does not depend on how many sweeps came before.
     """
@@ -341,7 +403,7 @@ def seat(c: np.ndarray, group: np.ndarray, prior: np.ndarray, fixed: np.ndarray
     grows = ~known[group]
 
     def counted():
-        totals = np.bincount(group, t, n)
+        totals = np.bincount(group, t * held, n)
         return totals if fixed is None else np.where(known, fixed, totals)
 
     t = np.ones(len(c), np.int64)
@@ -400,7 +462,7 @@ class Seats:
 
     def __init__(self, bucket: int, keys: np.ndarray, counts: np.ndarray, v: Vocabulary, pairs: int, ratios: Ratios):
         self.ctx, self.types, self.c = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64), counts
-        self.split = v.contexts[self.ctx] >= max(1.0, v.total / (2 * pairs))
+        self.split = _hot(v, pairs)[self.ctx]
         self.bucket, self.v, self.ratios = bucket, v, ratios
 
     def _seat(self, which: np.ndarray, prior: np.ndarray, apart: bool, samples: int) -> tuple[np.ndarray, np.ndarray]:
@@ -436,64 +498,145 @@ class Seats:
         return (np.where(self.c > 0, self.c - DISCOUNT * t, 0.0) + (STRENGTH + DISCOUNT * total) * root[self.types]) / (STRENGTH + self.v.contexts[self.ctx])
 
 
-def _first_pass(whole: DataFrame, split: DataFrame, shared, pairs: int) -> DataFrame:
-    """(kind, id, t): tables by type, and tables by split context; of buckets in one row and in several."""
+class Part:
+    """The words and contexts of a bucket's pairs: as much of the corpus as its Seats ask for."""
+
+    def __init__(self, v: Vocabulary, u: np.ndarray, w: np.ndarray, c: np.ndarray, told: pa.Table):
+        """told: rows of a word (code) and its training count (c), of the words without an id that have a dish of more than one customer; and
+        packed ones of words (k) and their customers in the root (n)."""
+        self.total = v.total
+        at = _starts(u)  # contexts are in order
+        owners = u[at]
+        self.contexts = np.add.reduceat(c, at).astype(float)
+        order = np.argsort(w)
+        first = _starts(w[order])
+        self.words = w[order[first]]
+        # two 32-bit halves in place: context and type of each pair
+        self.keys = np.empty(len(u), np.uint64)
+        halves = self.keys.view(np.uint32).reshape(-1, 2)
+        halves[:, 1] = np.repeat(np.arange(len(at), dtype=np.uint32), np.diff(np.append(at, len(u))))
+        halves[order, 0] = np.repeat(np.arange(len(first), dtype=np.uint32), np.diff(np.append(first, len(w))))
+        del order
+        named = owners < HASHED
+        self.owners = np.where(named, owners, np.uint64(v.rare)).astype(np.int64)
+        self.contexts[named] = v.contexts[self.owners[named]]
+        self.named = self.words < HASHED
+        self.ids = self.words[self.named].astype(np.int64)
+        counts = np.zeros(len(self.words))
+        rows = told.filter(pc.is_valid(told["code"]))
+        counts[np.searchsorted(self.words, rows["code"].to_numpy().view(np.uint64))] = rows["c"].to_numpy()
+        counts[self.named] = v.counts[self.ids]
+        self.shares = (counts + 1) / (v.total + v.distinct + 1)
+
+    def served(self, told: pa.Table, named: np.ndarray) -> np.ndarray:
+        """The customers of each word in the root; named: of those that have an id, by id."""
+        out = np.zeros(len(self.words))
+        out[self.named] = named[self.ids]
+        for blob in told["blob"].drop_null():
+            b = _unpack(blob.as_buffer())
+            out[np.searchsorted(self.words, b["k"])] = b["n"]
+        return out
+
 
-    def sums(each):
-        ratios, v = Ratios(DISCOUNT), shared.value
-        types, contexts = np.zeros(len(v.shares)), np.zeros(len(v.contexts))
-        for bucket, keys, counts in each:
-            s = Seats(bucket, keys, counts, v, pairs, ratios)
-            at, mean, last = s.parts()
-            types += np.bincount(s.types[at], last, len(types))
-            contexts += np.bincount(s.ctx[at], mean, len(contexts))
-            at, _, last = s.wholes(v.shares, 1)
-            types += np.bincount(s.types[at], last, len(types))
-        kinds, ids, t = [], [], []
-        for kind, x in ((0, types), (1, contexts)):
-            at = np.flatnonzero(x)
-            kinds.append(np.full(len(at), kind, np.int32))
-            ids.append(at.astype(np.int64))
-            t.append(x[at])
-        return pa.table({"kind": np.concatenate(kinds), "id": np.concatenate(ids), "t": np.concatenate(t)})
+def _asked(seats: DataFrame, pairs: int, salted: list[int]) -> DataFrame:
+    """(bucket, code) of the words without an id whose training count a bucket needs: of pairs that occur again."""
 
     def run(batches):
-        of = lambda b: zip(b.column(0).to_pylist(), (np.frombuffer(x.as_buffer(), np.uint64) for x in b.column(1)), (np.frombuffer(x.as_buffer(), np.uint32).astype(np.int64) for x in b.column(2)))
-        yield from sums(x for b in batches for x in of(b)).to_batches()
+        for b in batches:
+            for i, bucket in enumerate(b["bucket"].to_pylist()):
+                w, c = np.frombuffer(b["words"][i].as_buffer(), np.uint64), np.frombuffer(b["counts"][i].as_buffer(), np.uint32)
+                w = np.unique(w[(w >= HASHED) & (c > (0 if bucket in salted else 1))])  # another salt may hold more
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), bucket, np.int32)), pa.array(w.view(np.int64))], names=["bucket", "code"])
 
-    kinds = "kind int, id long, t double"
-    own = lambda df: df.select("bucket", "keys", "counts").where(F.col("bucket") < pairs)
-    both = own(whole).mapInArrow(run, kinds).union(own(split).groupBy("bucket").applyInArrow(lambda t: sums([(t["bucket"][0].as_py(), *_merged(t)[:2])]), kinds))
-    return both.groupBy("kind", "id").agg(F.sum("t").alias("t"))
+    return seats.where(F.col("bucket") < pairs).select("bucket", "words", "counts").mapInArrow(run, "bucket int, code long")
 
 
-def _root(customers: np.ndarray) -> np.ndarray:
-    """The root's averaged predictive probabilities of the types."""
-    n = len(customers)
-    dishes, total = np.flatnonzero(customers), customers.sum()
-    out = np.full(n, 1.0 / n)
-    if not len(dishes):
+def _first_pass(seats: DataFrame, told: DataFrame, shared, pairs: int, shards: int) -> DataFrame:
+    """(bucket, id, t, blob): tables of a bucket by split context; and by words (those of no table included) packed for each shard of words."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids, t, blobs, bucket = [], [], [], None
+        if left.num_rows:
+            v, bucket = shared.value, left["bucket"][0].as_py()
+            u, w, c, _ = _merged(left)
+            part = Part(v, u, w, c, right)
+            del u, w
+            s = Seats(bucket, part.keys, c, part, pairs, Ratios(DISCOUNT))
+            at, mean, last = s.parts()
+            words, contexts = np.bincount(s.types[at], last, len(part.words)), np.bincount(part.owners[s.ctx[at]], mean, len(v.contexts))
+            at, _, last = s.wholes(part.shares, 1)
+            words = words + np.bincount(s.types[at], last, len(part.words))
+            home = (sh.mix(part.words) % np.uint64(shards)).astype(np.int64)
+            order = np.argsort(home, kind="stable")
+            present, first = np.unique(home[order], return_index=True)
+            for shard, own in zip(present.tolist(), np.split(order, first[1:])):
+                ids.append(shard)
+                t.append(None)
+                blobs.append(_pack(k=part.words[own], n=np.rint(words[own])))
+            some = np.flatnonzero(contexts)
+            ids += some.tolist()
+            t += contexts[some].tolist()
+            blobs += [None] * len(some)
+        return pa.table({"bucket": pa.array([bucket] * len(ids), pa.int32()), "id": pa.array(ids, pa.int64()), "t": pa.array(t, pa.float64()), "blob": pa.array(blobs, pa.binary())})
+
+    own = seats.where(F.col("bucket") < pairs).select("bucket", "keys", "words", "counts")
+    return own.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(run, "bucket int, id long, t double, blob binary")
+
+
+def _served(parts: pa.Table) -> pa.Table:
+    """The words of a shard that have no id for each bucket that holds them, with their tables in all buckets; in bucket -1, how many of them have as many; in -2, the tables of those that have an id."""
+    blobs = [_unpack(x.as_buffer()) for x in parts["blob"]]
+    words, at = np.unique(np.concatenate([b["k"] for b in blobs]), return_inverse=True)
+    t = np.bincount(at, np.concatenate([b["n"] for b in blobs])).astype(np.int64)
+    named = words < HASHED
+    sizes, held = np.unique(t[~named & (t > 0)], return_counts=True)
+    out, low = [_pack(k=sizes, n=held), _pack(k=words[named], n=t[named])], 0
+    for b in blobs:
+        own = b["k"] >= HASHED
+        out.append(_pack(k=b["k"][own], n=t[at[low : low + len(own)][own]]))
+        low += len(own)
+    return pa.table({"bucket": pa.array([-1, -2, *parts["bucket"].to_pylist()], pa.int32()), "blob": pa.array(out, pa.binary())})
+
+
+class Root:
+    """The root's averaged predictive probability of a type by its customers there.
+
+    sizes: distinct counts of customers, ascending; held: how many types have each; n: all types."""
+
+    def __init__(self, sizes: np.ndarray, held: np.ndarray, n: int):
+        self.sizes = np.asarray(sizes, np.int64)
+        total, d = float((self.sizes * held).sum()), ROOT_DISCOUNT
+        self.none, self.p = 1.0 / n, np.zeros(len(self.sizes))
+        if not len(self.sizes):
+            return
+        self.none = 0.0
+        copies = np.minimum(held, TWINS).astype(np.int64)
+        of = np.repeat(np.arange(len(self.sizes)), copies)
+        each, c = (held / copies)[of], self.sizes[of]
+        for t, tables in seat(c, np.zeros(len(c), np.int64), np.full(len(c), 1.0 / n), None, d, ROOT_STRENGTH, Ratios(d), np.random.default_rng(0), BURN_IN, SAMPLES, each):
+            self.none += (ROOT_STRENGTH + d * tables[0]) / (ROOT_STRENGTH + total) / n / SAMPLES
+            self.p += (self.sizes - d * np.bincount(of, t) / copies) / (ROOT_STRENGTH + total) / SAMPLES
+
+    def __call__(self, customers: np.ndarray) -> np.ndarray:
+        out = np.full(len(customers), self.none)
+        some = np.flatnonzero(customers)
+        out[some] += self.p[np.searchsorted(self.sizes, np.rint(customers[some]).astype(np.int64))]
         return out
-    out[:] = 0.0
-    c, d = np.rint(customers[dishes]).astype(np.int64), ROOT_DISCOUNT
-    for t, tables in seat(c, np.zeros(len(c), np.int64), np.full(len(c), 1.0 / n), None, d, ROOT_STRENGTH, Ratios(d), np.random.default_rng(0), BURN_IN, SAMPLES):
-        out += (ROOT_STRENGTH + d * tables[0]) / (ROOT_STRENGTH + total) / n / SAMPLES
-        out[dishes] += (c - d * t) / (ROOT_STRENGTH + total) / SAMPLES
-    return out
 
 
-def _second_pass(whole: DataFrame, split: DataFrame, shared, pairs: int, rares: int) -> DataFrame:
-    """(unit, kind, blob): packed partial sums of the documents of each unit in each bucket (kind 1 of contexts, 2 of rare words)."""
+def _second_pass(whole: DataFrame, split: DataFrame, told: DataFrame, shared, pairs: int) -> DataFrame:
+    """(unit, kind, blob): packed partial sums of the documents of each unit in each bucket (kind 1 of contexts, 2 of words without an id).
+
+    told: for a bucket, what its Part is told."""
 
-    def values(bucket, keys, c, ratios) -> list[np.ndarray]:
-        """Score of each key, and of rare words base score and whether they are known."""
-        v, root, tables, rare_total, rare_words = shared.value
+    def values(bucket, u, w, c, told) -> list[np.ndarray]:
+        """Score of each pair; of words base score and whether they are known."""
+        v, root, customers, tables = shared.value
         if bucket < pairs:
-            return [np.log10(Seats(bucket, keys, c, v, pairs, ratios).predictive(root, tables))]
-        d = RARE_DISCOUNT
-        # the base is so thin that each rare word has one table
-        p = (np.where(c > 0, c - d, 0.0) + (RARE_STRENGTH + d * rare_words) / (rare_words + 1)) / (RARE_STRENGTH + rare_total)
-        return [np.log10(p), np.log10((c + 0.1) / (v.total + 0.1 * (v.distinct + 1))), (c > 0).astype(float)]
+            part = Part(v, u, w, c, told)
+            served = root(part.served(told, customers))
+            return [np.log10(Seats(bucket, part.keys, c, part, pairs, Ratios(DISCOUNT)).predictive(served, tables[part.owners]))]
+        return [np.log10((c + 0.1) / (v.total + 0.1 * (v.distinct + 1))), (c > 0).astype(float)]
 
     def summed(bucket, units, blobs, each):
         for unit, blob in zip(units, blobs):
@@ -501,30 +644,34 @@ def _second_pass(whole: DataFrame, split: DataFrame, shared, pairs: int, rares:
             at = np.repeat(u["i"], u["n"])
             yield unit, 1 if bucket < pairs else 2, partial_sums(u["d"], *(x[at] for x in each))
 
-    def batch(rows):
+    def table(rows) -> pa.Table:
         unit, kind, blob = list(zip(*rows)) or ([], [], [])
-        return pa.RecordBatch.from_arrays([pa.array(unit, pa.int64()), pa.array(kind, pa.int32()), pa.array(blob, pa.binary())], names=["unit", "kind", "blob"])
-
-    def run(batches):
-        ratios = Ratios(DISCOUNT)
-        for b in batches:
-            for i, bucket in enumerate(b["bucket"].to_pylist()):
-                keys, c = np.frombuffer(b["keys"][i].as_buffer(), np.uint64), np.frombuffer(b["counts"][i].as_buffer(), np.uint32).astype(np.int64)
-                yield batch(list(summed(bucket, b["units"][i].as_py(), b["blobs"][i].values, values(bucket, keys, c, ratios))))
-
-    def of_salts(parts: pa.Table) -> pa.Table:
-        keys, c, at = _merged(parts)
-        each = values(parts["bucket"][0].as_py(), keys, c, Ratios(DISCOUNT))
-        return pa.table({"bucket": parts["bucket"], "salt": parts["salt"], "each": pa.array([[x[own].tobytes() for x in each] for own in at], pa.list_(pa.binary()))})
+        return pa.table({"unit": pa.array(unit, pa.int64()), "kind": pa.array(kind, pa.int32()), "blob": pa.array(blob, pa.binary())})
+
+    def of_whole(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return table([])
+        bucket = left["bucket"][0].as_py()
+        each = values(bucket, *_merged(left)[:3], right)
+        return table(list(summed(bucket, left["units"][0].as_py(), left["blobs"][0].values, each)))
+
+    def of_salts(left: pa.Table, right: pa.Table) -> pa.Table:
+        each, at = [], []
+        if left.num_rows:
+            u, w, c, at = _merged(left)
+            each = values(left["bucket"][0].as_py(), u, w, c, right)
+        return pa.table({"bucket": left["bucket"], "salt": left["salt"], "each": pa.array([[x[own].tobytes() for x in each] for own in at], pa.list_(pa.binary()))})
 
     def run_split(batches):
         for b in batches:
             for i, bucket in enumerate(b["bucket"].to_pylist()):
-                yield batch(list(summed(bucket, b["units"][i].as_py(), b["blobs"][i].values, [np.frombuffer(x.as_buffer(), np.float64) for x in b["each"][i].values])))
+                yield from table(list(summed(bucket, b["units"][i].as_py(), b["blobs"][i].values, [np.frombuffer(x.as_buffer(), np.float64) for x in b["each"][i].values]))).to_batches()
 
     sums = "unit long, kind int, blob binary"
-    known = split.select("bucket", "salt", "keys", "counts").groupBy("bucket").applyInArrow(of_salts, "bucket int, salt long, each array<binary>")
-    return whole.mapInArrow(run, sums).union(split.select("bucket", "salt", "units", "blobs").join(known, ["bucket", "salt"]).mapInArrow(run_split, sums))
+    by = lambda df: df.groupBy("bucket")
+    known = by(split.select("bucket", "salt", "keys", "words", "counts")).cogroup(by(told)).applyInArrow(of_salts, "bucket int, salt long, each array<binary>")
+    both = split.select("bucket", "salt", "units", "blobs").join(known, ["bucket", "salt"]).select("bucket", "units", "blobs", "each")
+    return by(whole).cogroup(by(told)).applyInArrow(of_whole, sums).union(both.mapInArrow(run_split, sums))
 
 
 def _totals(parts: pa.Table) -> pa.Table:
@@ -532,9 +679,9 @@ def _totals(parts: pa.Table) -> pa.Table:
     kinds = parts["kind"].to_pylist()
     of = lambda kind: [x.as_buffer() for k, x in zip(kinds, parts["blob"]) if k == kind]
     docs = pa.ipc.open_stream(of(0)[0]).read_all()
-    score, (rare, base, known) = added(of(1), 1, docs.num_rows)[0], added(of(2), 3, docs.num_rows)
+    score, (base, known) = added(of(1), 1, docs.num_rows)[0], added(of(2), 2, docs.num_rows)
     n_known = np.rint(docs["n_known"].to_numpy() + known).astype(np.int64)
-    return pa.table({"doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": docs["n_tokens"], "n_known": n_known, "base_score": docs["base_score"].to_numpy() + base, "score": score + rare})
+    return pa.table({"doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": docs["n_tokens"], "n_known": n_known, "base_score": docs["base_score"].to_numpy() + base, "score": score})
 
 
 def scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -542,7 +689,7 @@ def scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     sc = docs.sparkSession.sparkContext
     held = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))) % 10 == 0
     own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), held.alias("held"))
-    v = _vocabulary(own)
+    v, unigrams = _vocabulary(own)
     pairs = min(MOST_BUCKETS, max(8, -(-v.total // BUCKET_TOKENS)))
     rares, salts = max(4, pairs // 2), max(1, -(-v.total // (pairs * BUCKET_TOKENS)))
     vocabulary = sc.broadcast(v)
@@ -552,21 +699,33 @@ def scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
             return _gather(parts)
         n = parts.num_rows
         empty = pa.array([b""] * n, pa.binary())
-        return pa.table({"bucket": parts["bucket"], "salt": parts["salt"], "keys": empty, "counts": empty, "units": pa.array([[x] for x in parts["unit"].to_pylist()], pa.list_(pa.int64())), "blobs": pa.array([[x] for x in parts["blob"].to_pylist()], pa.list_(pa.binary()))})
+        return pa.table({"bucket": parts["bucket"], "salt": parts["salt"], "keys": empty, "words": empty, "counts": empty, "units": pa.array([[x] for x in parts["unit"].to_pylist()], pa.list_(pa.int64())), "blobs": pa.array([[x] for x in parts["blob"].to_pylist()], pa.list_(pa.binary()))})
 
     dealt = _deal(own, vocabulary, pairs, rares, salts)
     state = stored(dealt.groupBy("bucket", "salt").applyInArrow(gather, _GATHERED), "restaurants")
     seats = state.where(F.col("bucket") < pairs + rares)
     salted = [r["bucket"] for r in seats.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").collect()]  # of pairs + rares buckets
     whole, split = seats.where(~F.col("bucket").isin(salted)), seats.where(F.col("bucket").isin(salted))
-    sums = _first_pass(whole, split, vocabulary, pairs).toArrow()  # a row a type and split context: at most 1 / FREQUENT + 2 * pairs
-    kind, at, t = (sums[c].to_numpy() for c in ("kind", "id", "t"))
-    customers = np.zeros(len(v.shares))
-    customers[at[kind == 0]] = t[kind == 0]
-    tables = np.zeros(len(v.contexts))
-    tables[at[kind == 1]] = t[kind == 1]
-    model = sc.broadcast((v, _root(customers), tables, float(v.contexts[v.rare]), float(v.distinct - len(v.hashes))))
+    known = unigrams.where("c > 1").select(F.col("w").bitwiseOR(F.lit(-(1 << 63))).alias("code"), "c")
+    counts = stored(_asked(seats, pairs, salted).join(known, "code").select("bucket", "code", "c", F.lit(None).cast("binary").alias("blob")), "word-counts")
+    tables = stored(_first_pass(seats, counts, vocabulary, pairs, pairs * salts), "tables")
+    served = stored(tables.where("t is null").groupBy("id").applyInArrow(_served, "bucket int, blob binary"), "customers")
+    customers, hot, sizes = np.zeros(v.rare), np.zeros(len(v.contexts)), [[np.zeros(0, np.int64)], [np.zeros(0)]]
+    for r in served.where("bucket < 0").collect():  # a few distinct numbers of tables a shard, and at most 1 / FREQUENT words
+        b = _unpack(r["blob"])
+        if r["bucket"] == -2:
+            customers[b["k"].astype(np.int64)] = b["n"]
+        else:
+            sizes[0].append(b["k"].astype(np.int64))
+            sizes[1].append(b["n"])
+    for r in tables.where("t is not null").groupBy("id").agg(F.sum("t").alias("t")).collect():  # at most 2 * pairs contexts
+        hot[r["id"]] = r["t"]
+    sizes = [np.concatenate(x) for x in sizes]
+    size, which = np.unique(np.concatenate((np.rint(customers[customers > 0]).astype(np.int64), sizes[0])), return_inverse=True)
+    held = np.bincount(which, np.concatenate((np.ones(int((customers > 0).sum())), sizes[1])), len(size))
+    model = sc.broadcast((v, Root(size, held, v.distinct + 1), customers, hot))
+    told = counts.union(served.where("bucket >= 0").select("bucket", F.lit(None).cast("long"), F.lit(None).cast("long"), "blob"))
     rows = state.where(F.col("bucket") >= pairs + rares).select(F.col("units")[0].alias("unit"), F.lit(0).alias("kind"), F.col("blobs")[0].alias("blob"))
-    parts = rows.union(_second_pass(whole, split, model, pairs, rares))
+    parts = rows.union(_second_pass(whole, split, told, model, pairs))
     total = parts.groupBy("unit").applyInArrow(_totals, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return total.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(v.total).cast("long").alias("train_tokens"), "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
