@@ -244,3 +244,24 @@ def test_root_by_sizes_is_the_root_by_types():
         alone += ((theta + d * tables[0]) / n + customers - d * t) / (theta + customers.sum()) / 6
     for size in sizes[:3]:
         assert p[:-1][customers == size].mean() == pytest.approx(alone[customers == size].mean(), rel=0.02)
+
+
+@pytest.mark.parametrize("fat", [False, True])
+def test_kneser_ney_learns_from_all_of_its_half(spark, monkeypatch, fat):
+    """However small the sample that trusted_ids draws by default; and the same with frequent pairs salted."""
+    monkeypatch.setattr(kneser_ney, "TRUSTED", 20)
+    if fat:
+        monkeypatch.setattr(kneser_ney, "GROUP_TOKENS", 2000)
+        monkeypatch.setattr(kneser_ney, "UNIT_TOKENS", 500)
+        monkeypatch.setattr(pitman_yor, "FAT", 0.5)
+        monkeypatch.setattr(pitman_yor, "FAT_TOKENS", 1)
+    monkeypatch.setattr(kneser_ney.trusted_ids, "__defaults__", (20,))
+    texts = prose(6, 150)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(140)], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    train, check = ({r.doc_id for r in x.collect()} for x in kneser_ney.trusted_ids(labels, None))
+    assert len(train) > 40 and not train & check and train | check == set(range(140))
+    got = {r.doc_id: r for r in kneser_ney.classify(docs, labels).collect()}
+    trusted = [texts[i] for i in sorted(train)]
+    for i in (0, 1, 141, 149):
+        assert got[i].perplexity == pytest.approx(10 ** (-kn(trusted, texts[i]) / (len(texts[i].split()) + 1)))

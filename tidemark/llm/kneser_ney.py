@@ -1,11 +1,12 @@
 """Quality classifier: a bigram model with interpolated modified Kneser-Ney smoothing, trained on trusted text.
 
-Trusted text is a bounded sample of labelled rows: at most TRUSTED documents of quality 1, the least
-digests of their ids. Its words seen twice make the vocabulary, so that and the model are bounded too; other words are one
-type, spelled out uniformly over as many words as the sample holds once. Counts, continuation counts and discounts are grouped and joined in Spark. All documents
-are then scored: units of documents deal their word pairs to SHARDS shards by a hash of the pair, which no frequent
-word unbalances, and meet the counts of the shard there. The model is bounded, and so is the number of shards; what grows with
-the corpus is the number of salts, each of at most GROUP_TOKENS tokens even if all were one pair. A shard sends a
+Trusted text is that of half of the rows of quality 1, by the digests of their ids; the other half calibrates (`most` bounds the former, for
+those who want a smaller model). Its words seen twice make the vocabulary; other words are one
+type, spelled out uniformly over as many words as the trusted text holds once. Counts, continuation counts and discounts are grouped and joined in Spark. All documents
+are then scored: units of documents deal their word pairs to shards by a hash of the pair, and meet the counts of the shard there. There is a
+number of shards for every GROUP_TOKENS tokens; a unit's part of a shard that is far more than its share (a frequent pair) is salted, and
+only shards that have salts get their counts more than once. The vocabulary, with two numbers a word, is broadcast: it grows with the trusted
+text, as vocabularies do, while pairs are never collected. A shard sends a
 unit its documents' partial sums as one packed row, and a unit adds up its rows to
 the documents' perplexities (of their words and one end).
 
@@ -30,6 +31,7 @@ from . import shingles as sh
 from .running import shuffled_by
 from .tables import stored
 
+#: Rows that `trusted_ids` draws for training where no other number is asked for; `classify` takes all.
 TRUSTED = 4000
 LEAST = 50
 #: The quantile of the calibration perplexities, and how far beyond it a document may lie.
@@ -90,22 +92,25 @@ def _less(column: str, d: list[float]):
 
 
 class Model:
-    """What every task needs, bounded by the trusted sample: types, their lower-order probabilities, contexts' back-off weights."""
+    """What every task needs, as large as the vocabulary: types, their lower-order probabilities, contexts' back-off weights."""
 
-    def __init__(self, types: Types, lower: np.ndarray, weight: np.ndarray, spelled: np.ndarray):
-        self.types, self.lower, self.weight, self.spelled = types, lower, weight, spelled
+    def __init__(self, types: Types, lower: np.ndarray, weight: np.ndarray, spelled: np.ndarray, size: np.ndarray, discounts: list[float]):
+        self.types, self.lower, self.weight, self.spelled, self.size, self.discounts = types, lower, weight, spelled, size, np.array([0.0, *discounts])
+
+    def shares(self, k: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """The discounted shares in their contexts of pairs that are seen c times."""
+        return (c - self.discounts[np.minimum(c, 3)]) / self.size[(k >> np.uint64(32)).astype(np.int64)]
 
 
 def train(texts: DataFrame) -> tuple[Model, DataFrame]:
-    """The model of trusted texts(_id, text), and (k, p): the discounted share of each seen pair in its context."""
-    words = _counts(texts, lambda h, d: h).toArrow()  # bounded by the sample
-    once = int((words["c"].to_numpy() < 2).sum())
-    words = words["k"].to_numpy().view(np.uint64)[words["c"].to_numpy() > 1]
+    """The model of trusted texts(_id, text), and (k, c): how often each pair is seen."""
+    counted = stored(_counts(texts, lambda h, d: h), "kn-words")
+    once = counted.where("c < 2").count()
+    words = counted.where("c > 1").select("k").toArrow()["k"].to_numpy().view(np.uint64)  # the vocabulary
     types = Types(words)
     pairs = stored(_counts(texts, types.pairs).select("k", "c", F.shiftright("k", 32).alias("u"), F.col("k").bitwiseAND(0xFFFFFFFF).alias("w")), "kn-pairs")
     d = _discounts(pairs, "c")
     contexts = pairs.groupBy("u").agg(F.sum("c").alias("n"), F.sum(_less("c", d)).alias("less"))
-    seen = pairs.join(contexts, "u").select("k", ((F.col("c") - _less("c", d)) / F.col("n")).alias("p"))
     follow = pairs.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     d1 = _discounts(follow, "n")
     total, rest = (float(x or 0) for x in follow.agg(F.sum("n"), F.sum(_less("n", d1))).first())
@@ -117,13 +122,13 @@ def train(texts: DataFrame) -> tuple[Model, DataFrame]:
     if total:
         lower *= rest / total
         lower[low["w"].to_numpy()] += low["x"].to_numpy() / total
-    back = contexts.select("u", (F.col("less") / F.col("n")).alias("x")).toArrow()  # a row a type
-    weight = np.ones(size + 1)
-    weight[back["u"].to_numpy()] = back["x"].to_numpy()
-    return Model(types, lower, weight, spelled), seen
+    back = contexts.select("u", "n", (F.col("less") / F.col("n")).alias("x")).toArrow()  # a row a type
+    weight, held = np.ones(size + 1), np.ones(size + 1)
+    weight[back["u"].to_numpy()], held[back["u"].to_numpy()] = back["x"].to_numpy(), back["n"].to_numpy()
+    return Model(types, lower, weight, spelled, held, d), pairs.select("k", "c")
 
 
-def _deal(docs: DataFrame, shared, salts: int) -> DataFrame:
+def _deal(docs: DataFrame, shared, shards: int, salts: int) -> DataFrame:
     """Blobs of the pairs of each unit of documents by shard; below 0, the documents themselves."""
 
     def run(batches):
@@ -136,20 +141,19 @@ def _deal(docs: DataFrame, shared, salts: int) -> DataFrame:
         def flush():
             h, d = (np.concatenate([p[k] for p in held]) for k in (0, 1))
             keys = types.pairs(h, d)
-            shard = (sh.mix(keys) % np.uint64(SHARDS)).astype(np.int64)
+            shard = (sh.mix(keys) % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
-            cuts = np.searchsorted(shard[order], np.arange(SHARDS + 1))
+            cuts = np.searchsorted(shard[order], np.arange(shards + 1))
             table = pa.concat_tables(docs_).append_column("n_tokens", pa.array(np.bincount(d, minlength=n).astype(np.int64)))
             spread = int(sh.mix(np.array([unit], np.uint64))[0])
-            out = [(-1 - spread % SHARDS, py.to_ipc(table))]
-            for j in range(SHARDS):
+            out = [(-1 - spread % shards, spread // shards % salts, py.to_ipc(table))]
+            for j in np.flatnonzero(np.diff(cuts)).tolist():
                 own = order[cuts[j] : cuts[j + 1]]
-                if len(own):
-                    k, m, _, dd = py._runs(keys[own], d[own], np.zeros(len(own), bool))
-                    out.append((j, py._pack(k=k, n=m, d=dd)))
-            shards, blobs = zip(*out)
-            size = len(out)
-            return pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array([spread // SHARDS % salts] * size, pa.int32()), pa.array([unit] * size, pa.int64()), pa.array(blobs, pa.binary())], names=["shard", "salt", "unit", "blob"])
+                k, m, _, dd = py._runs(keys[own], d[own], np.zeros(len(own), bool))
+                fat = len(own) >= py.FAT_TOKENS and len(own) * shards >= py.FAT * len(keys)
+                out.append((j, spread // shards % salts if fat else 0, py._pack(k=k, n=m, d=dd)))
+            to, salt, blobs = zip(*out)
+            return pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(salt, pa.int32()), pa.array([unit] * len(out), pa.int64()), pa.array(blobs, pa.binary())], names=["shard", "salt", "unit", "blob"])
 
         for b in batches:
             rows = pa.Table.from_batches([b]).select(["doc_id", "lang"])
@@ -171,16 +175,22 @@ def _deal(docs: DataFrame, shared, salts: int) -> DataFrame:
     return docs.select("doc_id", "text", "lang").mapInArrow(run, "shard int, salt int, unit long, blob binary")
 
 
-def _score(dealt: DataFrame, seen: DataFrame, shared, salts: int, id_type: str) -> DataFrame:
-    """doc_id, lang, n_tokens and log10 probability of the dealt documents."""
+def _score(own: DataFrame, seen: DataFrame, shared, shards: int, salts: int) -> DataFrame:
+    """doc_id, lang, n_tokens and log10 probability of the documents."""
+    dealt, id_type = _deal(own, shared, shards, salts), own.schema["doc_id"].dataType.simpleString()
 
     def deal_seen(batches):
         np.seterr(over="ignore")
         for b in batches:
             k = b.column(0).to_numpy().view(np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array((sh.mix(k) % np.uint64(SHARDS)).astype(np.int32)), b.column(0), b.column(1)], names=["shard", "k", "p"])
+            yield pa.RecordBatch.from_arrays([pa.array((sh.mix(k) % np.uint64(shards)).astype(np.int32)), b.column(0), pa.array(shared.value.shares(k, b.column(1).to_numpy()))], names=["shard", "k", "p"])
 
-    counts = seen.mapInArrow(deal_seen, "shard int, k long, p double").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    counts = seen.mapInArrow(deal_seen, "shard int, k long, p double")
+    if salts == 1:
+        counts = counts.withColumn("salt", F.lit(0))
+    else:  # the shards and salts that occur, without frequent pairs one a shard; texts are dealt twice, since the blobs are as large as the input
+        salted = dealt.where("shard >= 0").select(F.col("shard").alias("of"), F.col("salt").alias("with")).distinct()
+        counts = counts.join(F.broadcast(salted), F.col("shard") == F.col("of")).select("shard", F.col("with").alias("salt"), "k", "p")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         blobs = []
@@ -216,25 +226,29 @@ def _score(dealt: DataFrame, seen: DataFrame, shared, salts: int, id_type: str)
     return parts.groupBy("unit").applyInArrow(total, f"doc_id {id_type}, lang string, n_tokens long, logp double")
 
 
-def trusted_ids(labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Ids to train on, a bounded sample of the rows of quality 1 that are not toxic, and to calibrate on, all others of them."""
+def trusted_ids(labels: DataFrame, most: int | None = TRUSTED) -> tuple[DataFrame, DataFrame]:
+    """Ids to train on, half of the rows of quality 1 that are not toxic (`most` at most; None: all of that half), and to calibrate on, all others of them."""
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct().withColumn("_o", shuffled_by("trusted", "doc_id"))
-    to_train = good.where(F.col("_o") < "8").orderBy("_o", "doc_id").limit(TRUSTED).select("doc_id")
-    return to_train, good.select("doc_id").join(F.broadcast(to_train), "doc_id", "left_anti")  # TRUSTED ids at most
+    half = F.col("_o") < "8"
+    if most is None:
+        return good.where(half).select("doc_id"), good.where(~half).select("doc_id")
+    to_train = good.where(half).orderBy("_o", "doc_id").limit(most).select("doc_id")
+    return to_train, good.select("doc_id").join(to_train, "doc_id", "left_anti")
 
 
-def classify(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang") -> DataFrame:
-    """doc_id, lang, n_tokens, perplexity, threshold and kept of each row of docs."""
+def classify(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang", most: int | None = None) -> DataFrame:
+    """doc_id, lang, n_tokens, perplexity, threshold and kept of each row of docs; most: how many trusted documents are learned from, None for all of their half."""
     sc = docs.sparkSession.sparkContext
     own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(lang).cast("string").alias("lang"))
-    to_train, to_check = (stored(x.select(F.col("doc_id").cast("string").alias("_id")), "trusted") for x in trusted_ids(labels))
+    to_train, to_check = (stored(x.select(F.col("doc_id").cast("string").alias("_id")), "trusted") for x in trusted_ids(labels, most))
     named = own.withColumn("_id", F.col("doc_id").cast("string"))
-    trusted = stored(named.join(F.broadcast(to_train), "_id").groupBy("_id").agg(F.min("text").alias("text")), "trusted-text")  # TRUSTED ids at most
+    trusted = stored(named.join(to_train, "_id", "left_semi").groupBy("_id").agg(F.min("text").alias("text")), "trusted-text")
     model, seen = train(trusted)
     n = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     salts = -(-(n // 4 + 1) // GROUP_TOKENS)
+    shards = SHARDS * -(-salts // 8)
     shared = sc.broadcast(model)
-    total = _score(_deal(own, shared, salts), seen, shared, salts, own.schema["doc_id"].dataType.simpleString())
+    total = _score(own, seen, shared, shards, salts)
     judged = stored(total.select("doc_id", "lang", "n_tokens", F.pow(F.lit(10.0), -F.col("logp") / F.col("n_tokens")).alias("perplexity")), "perplexities")
     check = judged.join(to_check, F.col("doc_id").cast("string") == F.col("_id"))
     cut = F.percentile_approx("perplexity", F.lit(HIGH), F.lit(ACCURACY))  # over all of them, by sketches of a bounded size
