@@ -293,38 +293,40 @@ def _docs_blob(ids: pa.Array, held, tokens, base, known) -> bytes:
     return to_ipc(pa.table({"doc_id": ids, "held_out": held, "n_tokens": tokens.astype(np.int64), "base_score": base, "n_known": known.astype(np.float64)}))
 
 
-_GATHERED = "bucket int, salt long, keys binary, words binary, counts binary, units array<long>, blobs array<binary>"
+_GATHERED = "bucket int, salt long, keys binary, units array<long>, blobs array<binary>"
 
 
 def _gather(parts: pa.Table) -> pa.Table:
     """One row a bucket and salt: its distinct keys (of pairs: contexts and words) with training counts, and each unit's occurrences by key number."""
     blobs = [_unpack(x.as_buffer()) for x in parts["blob"]]
-    words = np.zeros(0, np.uint64)
     if "u" in blobs[0]:
-        keys, words, at = _distinct(*(np.concatenate([b.pop(x) for b in blobs]) for x in "uw"))
+        *keys, at = _distinct(*(np.concatenate([b.pop(x) for b in blobs]) for x in "uw"))
     else:
-        keys, at = np.unique(np.concatenate([b["k"] for b in blobs]), return_inverse=True)
-    counts = np.bincount(at, np.concatenate([b["c"] for b in blobs]), len(keys)).astype(np.uint32)
+        *keys, at = np.unique(np.concatenate([b["k"] for b in blobs]), return_inverse=True)
+    counts = np.bincount(at, np.concatenate([b["c"] for b in blobs]), len(keys[0])).astype(np.uint32)
+    packed = _pack(**dict(zip("uw" if len(keys) > 1 else "k", keys)), c=counts)
+    del keys, counts
     own, low = [], 0
     for b in blobs:
         # the pairs of a unit are in the order of those of the bucket
         own.append(_pack(i=at[low : low + len(b["n"])].astype(np.uint32), n=b["n"], d=b["d"]))
         low += len(b["n"])
-    return pa.table({"bucket": parts["bucket"][:1], "salt": parts["salt"][:1], **{c: pa.array([x.tobytes()], pa.binary()) for c, x in (("keys", keys), ("words", words), ("counts", counts))}, "units": pa.array([parts["unit"].to_pylist()], pa.list_(pa.int64())), "blobs": pa.array([own], pa.list_(pa.binary()))})
+    return pa.table({"bucket": parts["bucket"][:1], "salt": parts["salt"][:1], "keys": pa.array([packed], pa.binary()), "units": pa.array([parts["unit"].to_pylist()], pa.list_(pa.int64())), "blobs": pa.array([own], pa.list_(pa.binary()))})
 
 
 def _merged(parts: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
     """The keys, words and counts of a bucket, and where each of its salts' keys are among them."""
-    each, words = ([np.frombuffer(x.as_buffer(), np.uint64) for x in parts[c]] for c in ("keys", "words"))
+    each = [_unpack(x.as_buffer()) for x in parts["keys"]]
+    own, none = "u" if "u" in each[0] else "k", np.zeros(0, np.uint64)
     if len(each) == 1:
-        return each[0], words[0], np.frombuffer(parts["counts"][0].as_buffer(), np.uint32).astype(np.int64), [np.arange(len(each[0]))]
-    keys, w = np.concatenate(each), np.concatenate(words)
+        return each[0][own], each[0].get("w", none), each[0]["c"].astype(np.int64), [np.arange(len(each[0][own]))]
+    keys, w = np.concatenate([b[own] for b in each]), np.concatenate([b.get("w", none) for b in each])
     if len(w):
         keys, w, at = _distinct(keys, w)
     else:
         keys, at = np.unique(keys, return_inverse=True)
-    counts = np.bincount(at, np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in parts["counts"]]), len(keys)).astype(np.int64)
-    return keys, w, counts, np.split(at, np.cumsum([len(x) for x in each])[:-1])
+    counts = np.bincount(at, np.concatenate([b["c"] for b in each]), len(keys)).astype(np.int64)
+    return keys, w, counts, np.split(at, np.cumsum([len(b[own]) for b in each])[:-1])
 
 
 class Ratios:
@@ -544,11 +546,11 @@ def _asked(seats: DataFrame, pairs: int, salted: list[int]) -> DataFrame:
     def run(batches):
         for b in batches:
             for i, bucket in enumerate(b["bucket"].to_pylist()):
-                w, c = np.frombuffer(b["words"][i].as_buffer(), np.uint64), np.frombuffer(b["counts"][i].as_buffer(), np.uint32)
+                w, c = map(_unpack(b["keys"][i].as_buffer()).get, "wc")
                 w = np.unique(w[(w >= HASHED) & (c > (0 if bucket in salted else 1))])  # another salt may hold more
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), bucket, np.int32)), pa.array(w.view(np.int64))], names=["bucket", "code"])
 
-    return seats.where(F.col("bucket") < pairs).select("bucket", "words", "counts").mapInArrow(run, "bucket int, code long")
+    return seats.where(F.col("bucket") < pairs).select("bucket", "keys").mapInArrow(run, "bucket int, code long")
 
 
 def _first_pass(seats: DataFrame, told: DataFrame, shared, pairs: int, shards: int) -> DataFrame:
@@ -579,7 +581,7 @@ def _first_pass(seats: DataFrame, told: DataFrame, shared, pairs: int, shards: i
             blobs += [None] * len(some)
         return pa.table({"bucket": pa.array([bucket] * len(ids), pa.int32()), "id": pa.array(ids, pa.int64()), "t": pa.array(t, pa.float64()), "blob": pa.array(blobs, pa.binary())})
 
-    own = seats.where(F.col("bucket") < pairs).select("bucket", "keys", "words", "counts")
+    own = seats.where(F.col("bucket") < pairs).select("bucket", "keys")
     return own.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(run, "bucket int, id long, t double, blob binary")
 
 
@@ -669,7 +671,7 @@ def _second_pass(whole: DataFrame, split: DataFrame, told: DataFrame, shared, pa
 
     sums = "unit long, kind int, blob binary"
     by = lambda df: df.groupBy("bucket")
-    known = by(split.select("bucket", "salt", "keys", "words", "counts")).cogroup(by(told)).applyInArrow(of_salts, "bucket int, salt long, each array<binary>")
+    known = by(split.select("bucket", "salt", "keys")).cogroup(by(told)).applyInArrow(of_salts, "bucket int, salt long, each array<binary>")
     both = split.select("bucket", "salt", "units", "blobs").join(known, ["bucket", "salt"]).select("bucket", "units", "blobs", "each")
     return by(whole).cogroup(by(told)).applyInArrow(of_whole, sums).union(both.mapInArrow(run_split, sums))
 
@@ -699,7 +701,7 @@ def scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
             return _gather(parts)
         n = parts.num_rows
         empty = pa.array([b""] * n, pa.binary())
-        return pa.table({"bucket": parts["bucket"], "salt": parts["salt"], "keys": empty, "words": empty, "counts": empty, "units": pa.array([[x] for x in parts["unit"].to_pylist()], pa.list_(pa.int64())), "blobs": pa.array([[x] for x in parts["blob"].to_pylist()], pa.list_(pa.binary()))})
+        return pa.table({"bucket": parts["bucket"], "salt": parts["salt"], "keys": empty, "units": pa.array([[x] for x in parts["unit"].to_pylist()], pa.list_(pa.int64())), "blobs": pa.array([[x] for x in parts["blob"].to_pylist()], pa.list_(pa.binary()))})
 
     dealt = _deal(own, vocabulary, pairs, rares, salts)
     state = stored(dealt.groupBy("bucket", "salt").applyInArrow(gather, _GATHERED), "restaurants")
