@@ -200,3 +200,34 @@ def test_dealt_keeps_every_pair_that_may_be_linked(spark):
                 if label != label_y and (k % 2 == 0 or surplus_y >= reach - g and surplus >= reach_y - g):
                     met |= {(k, x), (k, y)}
     assert met and left >= met
+
+
+def test_idf_of_rare_shingles_is_exact(spark):
+    """A passage of three documents in 400 weighs less than what one document holds alone, which parts two texts that share 81 of 101 shingles."""
+    shared = [f"s{i}" for i in range(85)]
+    own = lambda k, n: [f"{k}x{j}" for j in range(n)]
+    texts = [" ".join([*shared, *own(k, n)]) for k, n in (("a", 10), ("b", 10), ("c", 90))] + [" ".join(own(f"d{k}", 12)) for k in range(397)]
+    s = [shingles(t) for t in texts[:2]]
+    assert len(s[0] & s[1]) == 81 and 81 / len(s[0] | s[1]) > minhash.THRESHOLD
+    rare, alone = (math.log((1 + minhash.S) / (q + minhash.S)) for q in (3 / 400, 0))
+    assert 81 * rare / (81 * rare + 20 * alone) < minhash.THRESHOLD
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert all(r.doc_id == r.class_id for r in minhash.classes(docs).collect())
+
+
+def test_weights_of_all_units_are_those_of_all_counts(spark, monkeypatch):
+    """Many units and shards: each shingle's weight is its count in the text times its idf over all documents."""
+    import numpy as np
+
+    monkeypatch.setattr(minhash, "UNIT_SHINGLES", 300)
+    monkeypatch.setattr(minhash, "SHARD_SHINGLES", 30)
+    texts = [*family(4), *corpus(), *["one two three four five six"] * 4]
+    docs = spark.createDataFrame([(i, t or "", i) for i, t in enumerate(texts)], "node long, text string, doc_id long").repartition(3)
+    sets = [shingles(t) for t in texts]
+    df = Counter(x for s in sets for x in s)
+    got = {r.doc_id: r for r in minhash.sampled(docs).collect()}
+    assert len(got) == len(texts)
+    for i, s in enumerate(sets):
+        want = [c * math.log((1 + minhash.S) / ((df[x] / len(texts) if df[x] > 1 else 0) + minhash.S)) for x, c in s.items()]
+        assert minhash._flat(bytes(got[i].w), len(want), np.float32).tolist() == pytest.approx(want, rel=1e-6)
+        assert len(got[i]["keys"]) == (minhash.BANDS if want else 0)

@@ -2,7 +2,9 @@
 
 A text is the weighted set of its five-word shingles; the weight is the shingle's count in the
 text times idf = ln((1 + S) / (q + S)), where q is the share of all documents that hold the
-shingle, counted exactly, with shares under RARE taken as 0. S keeps the weights of shingles
+shingle, counted exactly for every shingle, and 0 for one of a single document. For that, units of documents deal their
+shingles to shards by ranges of the hash; a shard sends each unit the counts of its own, and a unit, its texts with it, weighs
+and samples them. No counts are collected or broadcast. S keeps the weights of shingles
 that many near copies share from vanishing, so a large group of copies stays together, while a
 passage that all documents hold weighs nothing. Each sample (ICWS, Ioffe 2010) is the pair
 (shingle, quantised weight) of least `ln a`; its three random variates come from tables of
@@ -31,12 +33,15 @@ of any name are carried by `keep` and ignored by `classes`.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles as sh
+from .pitman_yor import to_ipc
 from .tables import stored
 
 SHINGLE = 5
@@ -51,29 +56,22 @@ FEW = 32
 #: About so many members, by a hash of the text, make a consensus; it is a mere point of reference, and all members are compared with it.
 VOTERS = 32
 S = 0.5
-RARE = 0.01
-#: Counters of the first pass: a fixed size, whatever the corpus.
+#: The share below which a shingle's q is taken as 0: none is, but that of one document alone.
+RARE = 0.0
+#: Shingles of a unit of documents and rows of it, at most one group of texts more; and shingles of a shard.
+UNIT_SHINGLES, UNIT_DOCS, SHARD_SHINGLES = 600_000, 60_000, 1_500_000
+#: Cells of the sketch of keys: a fixed size, whatever the corpus.
 CELLS, BLOCKS = 1 << 20, 64
 
 
 class Weights:
-    """The idf of the frequent shingles, at most (mean shingles a document) / RARE of them, and of all others."""
+    """The idf of shingles by the shares of documents that hold them; shingles that are not named have share 0."""
 
     def __init__(self, hashes: np.ndarray, shares: np.ndarray):
         order = np.argsort(hashes)
         self.hashes = hashes[order]
         self.idf = np.log((1 + S) / (shares[order] + S)).astype(np.float32)
         self.common = np.float32(np.log((1 + S) / S))
-        self._sampler = None
-
-    def sampler(self) -> Sampler:
-        """Made once a worker, since a broadcast value stays there."""
-        if self._sampler is None:
-            self._sampler = Sampler(self)
-        return self._sampler
-
-    def __getstate__(self):
-        return self.__dict__ | {"_sampler": None}
 
     def __call__(self, hashes: np.ndarray, tf: np.ndarray) -> np.ndarray:
         w = np.full(len(hashes), self.common, np.float32)
@@ -101,53 +99,101 @@ def _sets(texts: pa.Array):
         yield first, last, h[pick], d[pick], tf
 
 
-def _cells(batches):
-    np.seterr(over="ignore")
-    counts, n = np.zeros(CELLS, np.int64), 0
-    for b in batches:
-        n += b.num_rows
-        for _, _, h, _, _ in _sets(b.column(0)):
-            counts += np.bincount((h >> np.uint64(44)).astype(np.int64), minlength=CELLS)
-    each = CELLS // BLOCKS
-    blobs = [counts[k * each : (k + 1) * each].astype(np.uint32).tobytes() for k in range(BLOCKS)]
-    yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array([n] * BLOCKS, pa.int64()), pa.array(blobs, pa.binary())], names=["block", "n", "counts"])
-
-
-def _sum_cells(parts: pa.Table) -> pa.Table:
-    total = np.zeros(CELLS // BLOCKS, np.int64)
-    for x in parts["counts"]:
-        total += np.frombuffer(x.as_buffer(), np.uint32)
-    n = sum(parts["n"].to_pylist())
-    block = parts["block"][0].as_py()
-    large = np.flatnonzero(total >= max(2, RARE * n)).astype(np.int64) + block * (CELLS // BLOCKS)
-    return pa.table({"n": pa.array([n], pa.int64()), "large": pa.array([large.tolist()], pa.list_(pa.int64()))})
-
-
-def frequent_shingles(texts: DataFrame) -> Weights:
-    """Exact document counts of the shingles in at least RARE of all documents.
-
-    One pass counts hashed cells, whose number is fixed; a frequent shingle's cell is at least
-    as full as the shingle is frequent, so a second pass counts just the shingles of full cells.
-    """
-    rows = texts.mapInArrow(_cells, "block int, n long, counts binary").groupBy("block").applyInArrow(_sum_cells, "n long, large array<long>").collect()
-    n = max((r["n"] for r in rows), default=0)
-    full = np.zeros(CELLS, bool)
-    for r in rows:
-        full[np.array(r["large"], np.int64)] = True
-    if not full.any():
-        return Weights(np.zeros(0, np.uint64), np.zeros(0))
-    bits = np.packbits(full)
-
-    def count(batches):
+def _planes(a: np.ndarray) -> bytes:
+    """An array's bytes by plane, compressed."""
+    return pa.compress(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def _flat(blob, n: int, kind) -> np.ndarray:
+    """The n numbers of _planes."""
+    size = np.dtype(kind).itemsize
+    raw = pa.decompress(blob, decompressed_size=n * size, codec="zstd")
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(kind).ravel()
+
+
+def _deal(texts: DataFrame, shards: int) -> DataFrame:
+    """The distinct shingles of each unit of texts(node, text, doc_id) by shard, ascending, with the documents that hold them; below 0, the texts themselves."""
+
+    def run(batches):
+        from pyspark import TaskContext
+
         np.seterr(over="ignore")
-        mask, found = np.unpackbits(bits).astype(bool), []
-        for b in batches:
-            found += [h[mask[(h >> np.uint64(44)).astype(np.int64)]] for _, _, h, _, _ in _sets(b.column(0))]
-        h, c = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], names=["h", "c"])
+        unit, held, rows = TaskContext.get().partitionId() << 32, [], []
+
+        def flush():
+            h, c = np.unique(np.concatenate(held), return_counts=True)
+            cuts = np.searchsorted(((h >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32), np.arange(shards + 1, dtype=np.uint64))
+            whole = to_ipc(pa.concat_tables(rows))
+            spread = int(sh.mix(np.array([unit], np.uint64))[0]) % shards
+            out = [(-1 - spread, unit, len(whole), pa.compress(whole, codec="zstd", asbytes=True), b"")]
+            for j in np.flatnonzero(np.diff(cuts)).tolist():
+                own = slice(cuts[j], cuts[j + 1])
+                out.append((j, unit, int(cuts[j + 1] - cuts[j]), _planes(np.diff(h[own], prepend=np.uint64(0))), _planes(c[own].astype(np.uint32))))
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["shard", "unit", "n", "blob", "docs"])
 
-    top = texts.mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= max(2.0, RARE * n)).toArrow()
-    return Weights(top["h"].to_numpy().view(np.uint64), top["c"].to_numpy() / max(n, 1))
+        for b in batches:
+            table = pa.Table.from_batches([b])
+            for first, last, h, _, _ in _sets(b.column("text")):
+                held.append(h)
+                rows.append(table.slice(first, last - first))
+                if sum(map(len, held)) >= UNIT_SHINGLES or sum(r.num_rows for r in rows) >= UNIT_DOCS:
+                    yield flush()
+                    unit, held, rows = unit + 1, [], []
+        if rows:
+            yield flush()
+
+    return texts.select("node", "text", "doc_id").mapInArrow(run, "shard int, unit long, n long, blob binary, docs binary")
+
+
+def _counted(parts: pa.Table) -> pa.Table:
+    """For each unit, how many documents of all hold each of its shingles of the shard; texts pass as they are."""
+    out = parts.select(["unit", "shard", "n", "blob"])
+    if parts["shard"][0].as_py() < 0:
+        return out
+    n = parts["n"].to_pylist()
+    h = np.concatenate([np.cumsum(_flat(x.as_buffer(), m, np.uint64), dtype=np.uint64) for x, m in zip(parts["blob"], n)])
+    c = np.concatenate([_flat(x.as_buffer(), m, np.uint32) for x, m in zip(parts["docs"], n)])
+    _, at = np.unique(h, return_inverse=True)
+    total = np.bincount(at, c)[at].astype(np.uint32)
+    blobs = [_planes(x) for x in np.split(total, np.cumsum(n)[:-1])]
+    return out.set_column(3, "blob", pa.array(blobs, pa.binary()))
+
+
+def sampled(texts: DataFrame) -> DataFrame:
+    """node, doc_id, band keys, and the weights of the shingles in text order (by `_planes`), of each row of texts(node, text, doc_id)."""
+    n, size = texts.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    shards = max(16, -(-(size or 0) // (5 * SHARD_SHINGLES)))  # words of five bytes or so
+    kind = texts.schema["doc_id"].dataType.simpleString()
+
+    def run(parts: pa.Table) -> pa.Table:
+        np.seterr(over="ignore")
+        parts = parts.sort_by("shard")
+        whole = pa.decompress(parts["blob"][0].as_buffer(), decompressed_size=parts["n"][0].as_py(), codec="zstd")
+        docs = pa.ipc.open_stream(whole).read_all().combine_chunks()
+        sets = list(_sets(docs["text"]))
+        docs_of = [_flat(x.as_buffer(), m, np.uint32) for x, m in zip(parts["blob"][1:], parts["n"][1:].to_pylist())]
+        held = np.concatenate([np.zeros(0, np.uint32), *docs_of])
+        distinct, at = np.unique(np.concatenate([h for _, _, h, _, _ in sets]), return_inverse=True)
+        idf, done = Weights(distinct, np.where(held > 1, held / n, 0.0)).idf[at], 0
+        sampler, keys, packed = _sampler(), np.zeros((docs.num_rows, BANDS), np.uint64), []
+        solid = np.zeros(docs.num_rows, bool)
+        for first, last, h, d, tf in sets:
+            w, done = idf[done : done + len(h)] * tf.astype(np.float32), done + len(h)
+            own, k = sampler(h, d, w)
+            solid[own + first], keys[own + first] = True, k
+            packed += [_planes(x) for x in np.split(w, np.searchsorted(d, np.arange(1, last - first)))]
+        ends = np.concatenate(([0], np.cumsum(np.where(solid, BANDS, 0)))).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[solid].ravel().view(np.int64)))
+        return pa.table([docs["node"], docs["doc_id"], lists, pa.array(packed, pa.binary())], names=["node", "doc_id", "keys", "w"])
+
+    told = _deal(texts, shards).groupBy("shard").applyInArrow(_counted, "unit long, shard int, n long, blob binary")
+    return told.groupBy("unit").applyInArrow(run, f"node long, doc_id {kind}, keys array<long>, w binary")
+
+
+@functools.cache
+def _sampler() -> Sampler:
+    """Made once a worker."""
+    return Sampler(Weights(np.zeros(0, np.uint64), np.zeros(0)))
 
 
 class Sampler:
@@ -163,6 +209,8 @@ class Sampler:
         self.odd = rng.integers(0, 1 << 62, k, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         lnw = np.log(weights.common)
         self.table = np.stack([self._pack(j, np.arange(cells), lnw) for j in range(k)])
+        #: The least logarithm of a weight that, up to the common one, is sampled like that.
+        self.low = self.r * (np.floor(lnw / self.r + self.beta) - self.beta)
 
     def _pack(self, k: int, cell: np.ndarray, lnw) -> np.ndarray:
         """ln a as sortable upper 32 bits, the scrambled quantised weight in the lower."""
@@ -172,65 +220,46 @@ class Sampler:
         bits = np.where(bits >> np.uint32(31), ~bits, bits | np.uint32(1 << 31)).astype(np.uint64)
         return (bits << np.uint64(32)) | (sh.mix(t.astype(np.int64).view(np.uint64)) >> np.uint64(32))
 
-    def __call__(self, h: np.ndarray, doc: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, h: np.ndarray, doc: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(text numbers that have shingles, band keys)."""
-        w = self.weights(h, tf)
         solid = w > 0
         if not solid.all():
             h, doc, w = h[solid], doc[solid], w[solid]
         docs, at = np.unique(doc, return_index=True)
         if not len(docs):
             return docs, np.zeros((0, BANDS), np.uint64)
-        odd_ones = np.flatnonzero(w != self.weights.common)
-        lnw, ho = np.log(w[odd_ones]), h[odd_ones]
+        odd, lnw, more = (w != self.weights.common).any(), np.log(w), w > self.weights.common
         low = sh.mix(h) & np.uint64(0xFFFFFFFF)
         keys = np.zeros((len(docs), BANDS), np.uint64)
         for k in range(BANDS * ROWS):
-            v = self.table[k][(h * self.odd[k]) >> np.uint64(48)]
-            if len(odd_ones):
-                v[odd_ones] = self._pack(k, (ho * self.odd[k]) >> np.uint64(48), lnw)
+            cell = ((h * self.odd[k]) >> np.uint64(48)).astype(np.int64)
+            v = self.table[k][cell]
+            if odd:
+                other = np.flatnonzero((lnw < self.low[k][cell]) | more)
+                v[other] = self._pack(k, cell[other], lnw[other])
             v ^= low
             b = k // ROWS
             keys[:, b] = sh.mix(keys[:, b] + np.minimum.reduceat(v, at) + np.uint64(b + 1))
         return docs, keys
 
 
-def _band_keys(texts: DataFrame, weights) -> DataFrame:
-    """(node, key) of each band of each row of texts(node, text); weights is broadcast."""
-
-    def run(batches):
-        np.seterr(over="ignore")
-        sampler = weights.value.sampler()
-        for b in batches:
-            node = b.column(0).to_numpy(zero_copy_only=False)
-            for first, _, h, d, tf in _sets(b.column(1)):
-                docs, keys = sampler(h, d, tf)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(node[docs + first], BANDS)), pa.array(keys.reshape(-1).view(np.int64))], names=["node", "key"])
-
-    return texts.mapInArrow(run, "node long, key long")
-
-
-def _blobs(texts: DataFrame, shared) -> DataFrame:
-    """(node, hashes, at, weights): a text's sorted 32-bit shingle hashes, and the weights that are not the common one."""
+def _blobs(texts: DataFrame) -> DataFrame:
+    """(node, hashes, w): the sorted 32-bit shingle hashes and their weights, of texts(node, text, w) with the weights of `sampled`."""
 
     def run(batches):
         np.seterr(over="ignore")
-        weights = shared.value
         for b in batches:
-            node, out = b.column(0).to_pylist(), []
-            for first, last, h, d, tf in _sets(b.column(1)):
-                w, bounds = weights(h, tf), np.searchsorted(d, np.arange(last - first + 1))
+            node, packed, out = b.column(0).to_pylist(), b.column(2), []
+            for first, last, h, d, _ in _sets(b.column(1)):
+                bounds = np.searchsorted(d, np.arange(last - first + 1))
                 for j in range(last - first):
-                    own = slice(bounds[j], bounds[j + 1])
-                    h32 = (h[own] >> np.uint64(32)).astype(np.uint32)
+                    h32 = (h[bounds[j] : bounds[j + 1]] >> np.uint64(32)).astype(np.uint32)
                     order = np.argsort(h32, kind="stable")
-                    wj = w[own][order]
-                    odd = np.flatnonzero(wj != weights.common).astype(np.uint32)
-                    out.append((node[first + j], h32[order].tobytes(), odd.tobytes(), wj[odd].tobytes()))
-            cols = list(zip(*out)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["node", "hashes", "at", "w"])
+                    out.append((node[first + j], h32[order].tobytes(), _planes(_flat(packed[first + j].as_buffer(), len(h32), np.float32)[order])))
+            cols = list(zip(*out)) or [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["node", "hashes", "w"])
 
-    return texts.mapInArrow(run, "node long, hashes binary, at binary, w binary")
+    return texts.mapInArrow(run, "node long, hashes binary, w binary")
 
 
 def weighted_jaccard(ha: np.ndarray, wa: np.ndarray, hb: np.ndarray, wb: np.ndarray) -> float:
@@ -243,26 +272,24 @@ def weighted_jaccard(ha: np.ndarray, wa: np.ndarray, hb: np.ndarray, wb: np.ndar
     return least / rest if rest > 0 else 0.0
 
 
-def _loaded(hashes, at, w, common: float) -> tuple[np.ndarray, np.ndarray]:
+def _loaded(hashes, w) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and weights of a row of _blobs."""
     h = np.frombuffer(hashes.as_buffer(), np.uint32)
-    full = np.full(len(h), common, np.float32)
-    full[np.frombuffer(at.as_buffer(), np.uint32)] = np.frombuffer(w.as_buffer(), np.float32)
-    return h, full
+    return h, _flat(w.as_buffer(), len(h), np.float32)
 
 
-def _verified(pairs: DataFrame, blobs: DataFrame, common: float) -> DataFrame:
+def _verified(pairs: DataFrame, blobs: DataFrame) -> DataFrame:
     """The pairs(node, lead) whose similarity is at least THRESHOLD."""
 
     def run(batches):
         for b in batches:
             cols = b.columns
-            ok = [weighted_jaccard(*_loaded(*(c[i] for c in cols[2:5]), common), *_loaded(*(c[i] for c in cols[5:8]), common)) >= THRESHOLD for i in range(b.num_rows)]
+            ok = [weighted_jaccard(*_loaded(*(c[i] for c in cols[2:4])), *_loaded(*(c[i] for c in cols[4:6]))) >= THRESHOLD for i in range(b.num_rows)]
             yield b.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     mine = pairs.join(blobs, "node")
-    theirs = blobs.select(F.col("node").alias("lead"), *(F.col(c).alias(f"{c}_l") for c in ("hashes", "at", "w")))
-    both = mine.join(theirs, "lead").select("node", "lead", "hashes", "at", "w", "hashes_l", "at_l", "w_l")
+    theirs = blobs.select(F.col("node").alias("lead"), *(F.col(c).alias(f"{c}_l") for c in ("hashes", "w")))
+    both = mine.join(theirs, "lead").select("node", "lead", "hashes", "w", "hashes_l", "w_l")
     return both.mapInArrow(run, "node long, lead long")
 
 
@@ -275,11 +302,11 @@ def consensus(sets: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np
     return values[at >= 0], w[order][(first + at)[at >= 0]]
 
 
-def _differences(rows: DataFrame, blobs: DataFrame, common: float) -> DataFrame:
+def _differences(rows: DataFrame, blobs: DataFrame) -> DataFrame:
     """rows(key, node) with a text's apart = d(x, C), reach = R + A and surplus = R - A from its band's consensus C, its size, and keys, those of the bands that differences deal it to, odd for those of less."""
 
     def vote(voters: pa.Table) -> pa.Table:
-        h, w = consensus([_loaded(*(voters[c][i] for c in ("hashes", "at", "w")), common) for i in range(voters.num_rows)])
+        h, w = consensus([_loaded(*(voters[c][i] for c in ("hashes", "w"))) for i in range(voters.num_rows)])
         return pa.table({"key": voters["key"][:1], "ch": pa.array([h.tobytes()], pa.binary()), "cw": pa.array([w.tobytes()], pa.binary())})
 
     def least(values):
@@ -292,8 +319,8 @@ def _differences(rows: DataFrame, blobs: DataFrame, common: float) -> DataFrame:
         for b in batches:
             keys, counts, new = b.column(0).to_numpy().view(np.uint64), [], []
             for i in range(b.num_rows):
-                h, w = _loaded(*(b.column(c)[i] for c in (2, 3, 4)), common)
-                ch, cw = (np.frombuffer(b.column(c)[i].as_buffer(), t) for c, t in ((5, np.uint32), (6, np.float32)))
+                h, w = _loaded(*(b.column(c)[i] for c in (2, 3)))
+                ch, cw = (np.frombuffer(b.column(c)[i].as_buffer(), t) for c, t in ((4, np.uint32), (5, np.float32)))
                 at = np.searchsorted(ch, h)
                 at[at == len(ch)] = 0
                 both = ch[at] == h if len(ch) else np.zeros(len(h), bool)
@@ -311,8 +338,8 @@ def _differences(rows: DataFrame, blobs: DataFrame, common: float) -> DataFrame:
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("one"))
     thin = F.pmod(F.xxhash64("node", F.lit(5)), F.greatest(F.lit(1), (F.col("n") / VOTERS).cast("long"))) == 0
     voters = rows.join(sizes, "key").where(thin | (F.col("node") == F.col("one"))).select("key", "node")
-    centres = stored(voters.join(blobs, "node").select("key", "hashes", "at", "w").groupBy("key").applyInArrow(vote, "key long, ch binary, cw binary"), "centres")
-    both = rows.join(blobs, "node").join(centres, "key").select("key", "node", "hashes", "at", "w", "ch", "cw")
+    centres = stored(voters.join(blobs, "node").select("key", "hashes", "w").groupBy("key").applyInArrow(vote, "key long, ch binary, cw binary"), "centres")
+    both = rows.join(blobs, "node").join(centres, "key").select("key", "node", "hashes", "w", "ch", "cw")
     return both.mapInArrow(run, "key long, node long, apart double, reach double, surplus double, size double, keys array<long>")
 
 
@@ -343,26 +370,24 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def classes_of_texts(texts: DataFrame, copies: DataFrame) -> DataFrame:
     """(node, label) of the texts with a verified link, and others, of texts(node, text, doc_id); copies(node, doc_id) names one row of each."""
-    sc = texts.sparkSession.sparkContext
-    weights = frequent_shingles(texts.select("text"))
-    shared, common = sc.broadcast(weights), float(weights.common)
-    keys = stored(_band_keys(texts.select("node", "text"), shared).distinct(), "bands")
+    drawn = stored(sampled(texts), "sampled")
+    keys = stored(drawn.select("node", F.explode("keys").alias("key")).distinct(), "bands")
     crowded = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(keys.join(crowded, "key"), "members")
     # what many near copies were made from shares the most bands with them, so it leads its bands
     fame = stored(members.groupBy("node").agg(F.sum("n").alias("fame")), "fame")
-    involved = fame.select("node").join(copies, "node")
-    found = texts.join(involved.select(F.col("node").alias("n2"), F.col("doc_id").alias("d2")).hint("shuffle_hash"), (F.col("node") == F.col("n2")) & F.col("doc_id").eqNullSafe(F.col("d2")))
-    blobs = stored(_blobs(found.select("node", "text"), shared).dropDuplicates(["node"]), "blobs")
+    involved = fame.select("node").join(copies, "node").join(drawn.select("node", "w").dropDuplicates(["node"]), "node")
+    found = texts.join(involved.select(F.col("node").alias("n2"), F.col("doc_id").alias("d2"), "w").hint("shuffle_hash"), (F.col("node") == F.col("n2")) & F.col("doc_id").eqNullSafe(F.col("d2")))
+    blobs = stored(_blobs(found.select("node", "text", "w")).dropDuplicates(["node"]), "blobs")
     led = stored(_led(members.select("key", "node").join(fame, "node"), F.struct(-F.col("fame"), "node")).where("node <> lead").select("node", "lead").distinct(), "led")
-    labels = _relabelled(fame.select("node", F.col("node").alias("label")), _verified(led, blobs, common))
+    labels = _relabelled(fame.select("node", F.col("node").alias("label")), _verified(led, blobs))
     # bands of one leader are dealt anew as one
     rows = stored(_open(led.select(F.col("lead").alias("key"), "node").union(led.select(F.col("lead").alias("key"), F.col("lead").alias("node")).distinct()).join(labels, "node")).where("n > 2"), "open")
     while not rows.isEmpty():
-        told = stored(_differences(rows.where(F.col("n") > FEW).select("key", "node"), blobs, common), "differences")
+        told = stored(_differences(rows.where(F.col("n") > FEW).select("key", "node"), blobs), "differences")
         led = _led(told.select("key", "node", "apart").join(labels, "node"), F.struct("apart", "node", "label"))
         pairs = led.where("label <> top.label").select("node", "lead").union(_met(rows.where(F.col("n") <= FEW))).distinct()
-        labels = _relabelled(labels, _verified(pairs, blobs, common))
+        labels = _relabelled(labels, _verified(pairs, blobs))
         # a large band is dealt out by all tasks
         placed = stored(told.repartition(F.col("node")).join(labels, "node").select("keys", "node", "label", "apart", "reach", "surplus", "size"), "placed")
         rows = stored(_open(_able(stored(_dealt(placed, mixed_cells(placed)), "dealt"))), "open")
