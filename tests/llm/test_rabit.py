@@ -84,3 +84,21 @@ def test_odd_columns_doubles_and_empty(spark):
     assert rabit.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
     assert rabit.nearest(df.limit(1), F.col("vec_id") % 20 == 0).count() == 0
     assert rabit.nearest(df.where("vec_id = 3"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_few_candidates_are_scored_in_the_first_tile(monkeypatch):
+    """No more than a quarter of a tile's pairs are scored exactly, floors included, and the result is that of all inner products."""
+    n, dim, k = 4000, 64, 20
+    x = np.random.default_rng(8).standard_normal((n, dim)).astype(np.float32)
+    bits, far, agree, share, turned = rabit.encode(x, x.mean(axis=0))
+    codes = {"uid": np.arange(n), "order": np.arange(n), "vector": x, "bits": bits, "far": far, "agree": agree, "share": share}
+    asked = {"uid": np.arange(200), "vector": x[:200], "turned": turned[:200], "share": share[:200], "floor": np.full(200, -np.inf)}
+    rows, real = [], np.einsum
+    monkeypatch.setattr(np, "einsum", lambda how, a, b, **kw: rows.append(len(a)) or real(how, a, b, **kw))
+    q, v, score = rabit.scan(asked, codes, k)
+    assert sum(rows) <= 200 * n / 4
+    all_scores = x[:200].astype(np.float64) @ x.T.astype(np.float64)
+    np.fill_diagonal(all_scores, -np.inf)
+    want = np.argsort(-all_scores, axis=1)[:, :k]
+    assert len(q) == 200 * k and sum(len(np.intersect1d(v[q == i], want[i])) for i in range(200)) >= 0.99 * 200 * k
+    assert score == pytest.approx(all_scores[q, v], rel=1e-12, abs=1e-12)

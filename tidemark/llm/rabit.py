@@ -45,6 +45,8 @@ FLOORS_FROM = 16
 MOST_MEANS = 1 << 25
 #: Codes and queries that are estimated at once.
 TILE_CODES, TILE_QUERIES = 4096, 512
+#: So many times k codes of a first tile are scored for a floor.
+FIRST = 4
 
 
 def code_bits(dim: int) -> int:
@@ -144,40 +146,55 @@ def _best(query: np.ndarray, score: np.ndarray, order: np.ndarray, k: int) -> np
     return at[place < k]
 
 
+def _below(score):
+    """A little less, by more than 32-bit floats differ."""
+    return score - 1e-6 * np.abs(score) - 1e-30
+
+
 def scan(asked: dict[str, np.ndarray], codes: dict[str, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of queries and codes, and exact scores: the best k codes of each query that reach its floor. `order` ranks the codes' ids."""
     dim, bits = codes["vector"].shape[1], codes["bits"].shape[1] * 8
     width = np.sqrt(np.maximum(0, 1 - codes["agree"] ** 2)) / codes["agree"] * EPS / math.sqrt(bits - 1)
     exact_q, exact_v = asked["vector"].astype(np.float64), codes["vector"].astype(np.float64)
-    q_far = np.linalg.norm(asked["turned"].astype(np.float64), axis=1).astype(np.float32)
-    shares = {"q": asked["share"].astype(np.float32), "v": codes["share"].astype(np.float32)}
-    out = []
-    for a in range(0, len(exact_q), TILE_QUERIES):
-        qs = slice(a, min(a + TILE_QUERIES, len(exact_q)))
-        floor = asked["floor"][qs].copy()
-        held = tuple(np.empty(0, t) for t in (np.int64, np.int64, np.float64))
-        for b in range(0, len(exact_v), TILE_CODES):
-            vs = slice(b, min(b + TILE_CODES, len(exact_v)))
-            signs = np.unpackbits(codes["bits"][vs], axis=1).astype(np.float32) * 2 - 1
-            scale = (codes["far"][vs] / (codes["agree"][vs] * math.sqrt(bits))).astype(np.float32)
-            middle = (asked["turned"][qs] @ signs.T) * scale + shares["v"][vs] + shares["q"][qs, None]
-            slack = q_far[qs, None] * (codes["far"][vs] * (width[vs] + 1e-5)).astype(np.float32) + np.float32(1e-6) * (np.abs(shares["v"][vs]) + np.abs(shares["q"][qs, None]))
-            if vs.stop - b > k and np.isinf(floor).any():  # lower ends are floors as well: one more than k, as a query may be among the codes
-                floor = np.maximum(floor, np.partition(middle - slack, vs.stop - b - k - 1, axis=1)[:, vs.stop - b - k - 1])
-            qi, vi = np.nonzero(middle + slack >= floor[:, None])
-            own = asked["uid"][qs][qi] == codes["uid"][vs][vi]
-            qi, vi = qi[~own] + a, vi[~own] + b
-            score = np.concatenate([np.empty(0), *(np.einsum("ij,ij->i", exact_q[qi[s : s + 65536]], exact_v[vi[s : s + 65536]]) for s in range(0, len(qi), 65536))])
-            held = tuple(np.concatenate(x) for x in zip(held, (qi, vi, score)))
-            keep = _best(held[0], held[2], codes["order"][held[1]], k)
-            held = tuple(x[keep] for x in held)
-            count = np.bincount(held[0] - a, minlength=qs.stop - a)
+    q_far = np.linalg.norm(asked["turned"].astype(np.float64), axis=1)
+    n = len(exact_q)
+    # one product with four more coordinates gives the upper ends of the estimates: share of the code, share of the query and the slack of both
+    left = np.concatenate([asked["turned"], np.stack([np.ones(n), asked["share"], np.abs(asked["share"]) * 2e-6, q_far], axis=1)], axis=1, dtype=np.float32)
+    slack = np.stack([codes["share"] + 2e-6 * np.abs(codes["share"]), np.ones(len(exact_v)), np.ones(len(exact_v)), codes["far"] * (width + 1e-5)], axis=1)
+    scale = codes["far"] / (codes["agree"] * math.sqrt(bits))
+    exact = lambda v, q: np.einsum("ij,j->i", exact_v[v], exact_q[q])  # noqa: E731  equal vectors have equal scores, wherever they stand
+    floor = _below(asked["floor"])
+    held = [tuple(np.empty(0, t) for t in (np.int64, np.int64, np.float64)) for _ in range(0, n, TILE_QUERIES)]
+    for b in range(0, len(exact_v), TILE_CODES):
+        vs = slice(b, min(b + TILE_CODES, len(exact_v)))
+        signs = (np.unpackbits(codes["bits"][vs], axis=1).astype(np.float32) * 2 - 1) * scale[vs, None].astype(np.float32)
+        right = np.concatenate([signs, slack[vs]], axis=1, dtype=np.float32).T
+        for tile, a in enumerate(range(0, n, TILE_QUERIES)):
+            qs = slice(a, min(a + TILE_QUERIES, n))
+            upper = left[qs] @ right
+            if vs.stop - b > FIRST * k and np.isinf(floor[qs]).any():  # of the highest ends, the k-th exact score is a floor too, or the one after it, as a query may be among the codes
+                top = np.argpartition(upper, -FIRST * k, axis=1)[:, -FIRST * k :]
+                floor[qs] = np.maximum(floor[qs], _below(np.array([np.partition(exact(b + t, a + i), -k - 1)[-k - 1] for i, t in enumerate(top)])))
+            qi, vi = np.divmod(np.flatnonzero(upper >= floor[qs, None].astype(np.float32)), vs.stop - b)
+            cuts = np.searchsorted(qi, np.arange(qs.stop - a + 1))
+            found = [held[tile]]
+            for i in range(qs.stop - a):
+                near = vi[cuts[i] : cuts[i + 1]] + b
+                near = near[codes["uid"][near] != asked["uid"][a + i]]
+                score = exact(near, a + i)
+                if len(score) > k:  # what is below the k-th goes; ties with it stay
+                    high = score >= _below(np.partition(score, len(score) - k)[len(score) - k])
+                    near, score = near[high], score[high]
+                found.append((np.full(len(near), a + i), near, score))
+            all_q, all_v, score = (np.concatenate(x) for x in zip(*found))
+            keep = _best(all_q, score, codes["order"][all_v], k)
+            all_q, all_v, score = (x[keep] for x in (all_q, all_v, score))
+            held[tile] = all_q, all_v, score
+            count = np.bincount(all_q - a, minlength=qs.stop - a)
             last = np.cumsum(count) - 1  # rows of a query stand together, the best first
-            full = count == k
-            if len(held[2]):
-                floor = np.where(full, np.maximum(floor, np.nextafter(held[2][last.clip(0)].astype(np.float32), np.float32(-np.inf))), floor)
-        out.append(held)
-    q, v, score = (np.concatenate(x) for x in zip(*out))
+            if len(score):
+                floor[qs] = np.where(count == k, np.maximum(floor[qs], _below(score[last.clip(0)])), floor[qs])
+    q, v, score = (np.concatenate(x) for x in zip(*held))
     fine = score >= asked["floor"][q]
     return q[fine], v[fine], score[fine]
 
