@@ -265,3 +265,18 @@ def test_kneser_ney_learns_from_all_of_its_half(spark, monkeypatch, fat):
     trusted = [texts[i] for i in sorted(train)]
     for i in (0, 1, 141, 149):
         assert got[i].perplexity == pytest.approx(10 ** (-kn(trusted, texts[i]) / (len(texts[i].split()) + 1)))
+
+
+def test_texts_outside_the_training_half_are_not_shuffled_to_be_told_apart(spark, monkeypatch):
+    """The documents' own ids say which half they are of, ahead of the join with the trusted ids."""
+    plans, real = {}, kneser_ney.stored
+
+    def stored(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(kneser_ney, "stored", stored)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id int, quality int, toxic int")
+    docs = spark.createDataFrame([(i, f"word word {i}", "en") for i in range(20)], "doc_id long, text string, lang string")
+    assert kneser_ney.classify(docs, labels).count() == 20
+    assert "md5(" in plans["trusted-text"]

@@ -226,10 +226,15 @@ def _score(own: DataFrame, seen: DataFrame, shared, shards: int, salts: int) ->
     return parts.groupBy("unit").applyInArrow(total, f"doc_id {id_type}, lang string, n_tokens long, logp double")
 
 
+def in_half(doc_id: str):
+    """Whether an id is of the half that is learned from if it is trusted."""
+    return shuffled_by("trusted", doc_id) < "8"
+
+
 def trusted_ids(labels: DataFrame, most: int | None = TRUSTED) -> tuple[DataFrame, DataFrame]:
     """Ids to train on, half of the rows of quality 1 that are not toxic (`most` at most; None: all of that half), and to calibrate on, all others of them."""
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct().withColumn("_o", shuffled_by("trusted", "doc_id"))
-    half = F.col("_o") < "8"
+    half = in_half("doc_id")
     if most is None:
         return good.where(half).select("doc_id"), good.where(~half).select("doc_id")
     to_train = good.where(half).orderBy("_o", "doc_id").limit(most).select("doc_id")
@@ -242,7 +247,8 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str
     own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(lang).cast("string").alias("lang"))
     to_train, to_check = (stored(x.select(F.col("doc_id").cast("string").alias("_id")), "trusted") for x in trusted_ids(labels, most))
     named = own.withColumn("_id", F.col("doc_id").cast("string"))
-    trusted = stored(named.join(to_train, "_id", "left_semi").groupBy("_id").agg(F.min("text").alias("text")), "trusted-text")
+    mine = named.where(in_half("_id"))  # texts of other ids need not be shuffled to be told from trusted ones
+    trusted = stored(mine.join(to_train, "_id", "left_semi").groupBy("_id").agg(F.min("text").alias("text")), "trusted-text")
     model, seen = train(trusted)
     n = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     salts = -(-(n // 4 + 1) // GROUP_TOKENS)
