@@ -280,3 +280,28 @@ def test_texts_outside_the_training_half_are_not_shuffled_to_be_told_apart(spark
     docs = spark.createDataFrame([(i, f"word word {i}", "en") for i in range(20)], "doc_id long, text string, lang string")
     assert kneser_ney.classify(docs, labels).count() == 20
     assert "md5(" in plans["trusted-text"]
+
+
+def test_a_bucket_is_seated_in_slices(monkeypatch):
+    """What the sampler holds beside a bucket's pairs does not grow with them, probabilities sum to 1, and tables are about the same in any slices."""
+    import tracemalloc
+
+    rng = np.random.default_rng(8)
+    n, each = 20_000, 20
+    keys = np.repeat(np.arange(n, dtype=np.uint64), each) << np.uint64(32) | np.tile(np.arange(each, dtype=np.uint64), n)
+    c = rng.integers(0, 12, len(keys))
+    v = pitman_yor.Vocabulary(np.arange(1, n + 1, dtype=np.uint64), np.add.reduceat(c, np.arange(0, len(keys), each)), int(c.sum()), n, n)
+    v.contexts[0], root = v.total, rng.dirichlet(np.ones(each))  # the first context is a part of a larger one
+    seats = pitman_yor.Seats(1, keys, c, v, 2, pitman_yor.Ratios(pitman_yor.DISCOUNT))
+    tracemalloc.start()
+    p = seats.predictive(root, np.zeros(n + 2))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * len(keys)
+    sums = np.add.reduceat(p, np.arange(0, len(keys), each))
+    assert seats.split.sum() == each and sums[1:] == pytest.approx(np.ones(n - 1))
+    monkeypatch.setattr(pitman_yor, "SLICE", 1000)
+    small = pitman_yor.Seats(1, keys, c, v, 2, seats.ratios)
+    assert len(small.slices) > 390 and sum(len(small.whole(k, root, 1)[0]) for k in range(len(small.slices))) == int((c[each:] > 0).sum())
+    assert np.log(small.predictive(root, np.zeros(n + 2))[each:]).mean() == pytest.approx(np.log(p[each:]).mean(), rel=0.01)
+    assert np.array_equal(small.parts()[0], seats.parts()[0])

@@ -8,7 +8,7 @@ sets how a value is looked up, not what it is.
 
 Spark deals occurrences out by context, to MOST_BUCKETS buckets at most (a bucket's distinct pairs are what one task must hold); a context
 with many tokens is split by the type that follows, so no bucket grows with one word, and a bucket's occurrences are salted, so that no
-group grows with one pair. A bucket samples how many tables serve each type
+group grows with one pair. A bucket samples, SLICE of its pairs after another, how many tables serve each type
 in each of its restaurants: per dish, a customer's table indicator is removed and drawn again from
 its conditional (Chen, Du and Buntine 2011), or the count of tables moves as a whole where customers are
 many, in two alternating halves of the dishes. The tables are the
@@ -48,6 +48,8 @@ DISCOUNT, STRENGTH = 0.8, 1.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.5, 10.0
 RARE_DISCOUNT, RARE_STRENGTH = 0.8, 10.0
 BURN_IN, SAMPLES = 10, 6
+#: About so many of a bucket's pairs are seated at once; a context is never cut. What the sampler holds beside the pairs does not grow with the bucket.
+SLICE = 100_000
 END = np.uint64(0x8F1BBCDC5A827999)
 #: Set in the codes of words that have no id.
 HASHED = np.uint64(1 << 63)
@@ -319,7 +321,7 @@ def _merged(parts: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[n
     each = [_unpack(x.as_buffer()) for x in parts["keys"]]
     own, none = "u" if "u" in each[0] else "k", np.zeros(0, np.uint64)
     if len(each) == 1:
-        return each[0][own], each[0].get("w", none), each[0]["c"].astype(np.int64), [np.arange(len(each[0][own]))]
+        return each[0][own], each[0].get("w", none), each[0]["c"].astype(np.int64), [slice(None)]
     keys, w = np.concatenate([b[own] for b in each]), np.concatenate([b.get("w", none) for b in each])
     if len(w):
         keys, w, at = _distinct(keys, w)
@@ -460,44 +462,58 @@ def seat(c: np.ndarray, group: np.ndarray, prior: np.ndarray, fixed: np.ndarray
 
 
 class Seats:
-    """The dishes of a bucket's keys with training counts: contexts, types, and mean tables at SAMPLES states."""
+    """The dishes of a bucket's keys (in the order of contexts) with training counts: contexts, types, and mean tables at SAMPLES states."""
 
     def __init__(self, bucket: int, keys: np.ndarray, counts: np.ndarray, v: Vocabulary, pairs: int, ratios: Ratios):
-        self.ctx, self.types, self.c = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64), counts
+        halves = np.ascontiguousarray(keys, "<u8").view("<u4").reshape(-1, 2)
+        self.ctx, self.types, self.c = halves[:, 1], halves[:, 0], counts
         self.split = _hot(v, pairs)[self.ctx]
         self.bucket, self.v, self.ratios = bucket, v, ratios
-
-    def _seat(self, which: np.ndarray, prior: np.ndarray, apart: bool, samples: int) -> tuple[np.ndarray, np.ndarray]:
-        """Mean and last tables of the dishes `which`; apart: of restaurants of which other buckets have a part."""
+        starts = np.append(_starts(self.ctx), len(keys))
+        self.slices = [(0, 0)]
+        while (low := self.slices[-1][1]) < len(keys):
+            self.slices.append((low, int(starts[min(np.searchsorted(starts, low + SLICE), len(starts) - 1)])))
+
+    def _seat(self, n: int, prior: np.ndarray, apart: bool, samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Dishes of slice n, with mean and last tables; apart: those of restaurants of which other buckets have a part."""
+        low, high = self.slices[n]
+        which = low + np.flatnonzero((self.split[low:high] == apart) & (self.c[low:high] > 0))
         mean, last = np.zeros(len(which)), np.zeros(len(which), np.int64)
         if len(which):
             own, group = np.unique(self.ctx[which], return_inverse=True)
             # as many tables around a part as a restaurant of so many customers has at first
             fixed = self.v.contexts[own] ** DISCOUNT if apart else None
-            rng = np.random.default_rng([self.bucket, int(apart)])
+            rng = np.random.default_rng([self.bucket, int(apart), n])
             for t, _ in seat(self.c[which], group, prior[self.types[which]], fixed, DISCOUNT, STRENGTH, self.ratios, rng, BURN_IN, samples):
                 mean += t / samples
                 last = t.copy()
-        return mean, last
+        return which, mean, last
 
-    def parts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Dishes of split contexts, with mean and last tables: the same whenever called."""
-        at = np.flatnonzero(self.split & (self.c > 0))
-        return at, *self._seat(at, self.v.shares, True, SAMPLES)
+    def part(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Dishes of split contexts in slice n, with mean and last tables: the same whenever called."""
+        return self._seat(n, self.v.shares, True, SAMPLES)
 
-    def wholes(self, prior: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        at = np.flatnonzero(~self.split & (self.c > 0))
-        return at, *self._seat(at, prior, False, samples)
+    def whole(self, n: int, prior: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self._seat(n, prior, False, samples)
+
+    def parts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As part, of all slices."""
+        return tuple(map(np.concatenate, zip(*(self.part(n) for n in range(len(self.slices))))))
 
     def predictive(self, root: np.ndarray, tables: np.ndarray) -> np.ndarray:
         """The probability of each key's type in its context; tables: totals of split contexts."""
-        t = np.zeros(len(self.c))
-        at, mean, _ = self.wholes(root, SAMPLES)
-        t[at] = mean
-        total = np.where(self.split, tables[self.ctx], np.bincount(self.ctx[at], mean, len(self.v.contexts))[self.ctx])
-        at, mean, _ = self.parts()
-        t[at] = mean
-        return (np.where(self.c > 0, self.c - DISCOUNT * t, 0.0) + (STRENGTH + DISCOUNT * total) * root[self.types]) / (STRENGTH + self.v.contexts[self.ctx])
+        out = np.zeros(len(self.c))  # first the tables
+        for n, (low, high) in enumerate(self.slices):
+            if low == high:
+                continue
+            at, mean, _ = self.whole(n, root, SAMPLES)
+            out[at] = mean
+            ctx, c, t = self.ctx[low:high], self.c[low:high], out[low:high]
+            total = np.where(self.split[low:high], tables[ctx], np.bincount(ctx - ctx[0], t)[ctx - ctx[0]])
+            at, mean, _ = self.part(n)
+            out[at] = mean
+            t[:] = (np.where(c > 0, c - DISCOUNT * t, 0.0) + (STRENGTH + DISCOUNT * total) * root[self.types[low:high]]) / (STRENGTH + self.v.contexts[ctx])
+        return out
 
 
 class Part:
@@ -564,10 +580,13 @@ def _first_pass(seats: DataFrame, told: DataFrame, shared, pairs: int, shards: i
             part = Part(v, u, w, c, right)
             del u, w
             s = Seats(bucket, part.keys, c, part, pairs, Ratios(DISCOUNT))
-            at, mean, last = s.parts()
-            words, contexts = np.bincount(s.types[at], last, len(part.words)), np.bincount(part.owners[s.ctx[at]], mean, len(v.contexts))
-            at, _, last = s.wholes(part.shares, 1)
-            words = words + np.bincount(s.types[at], last, len(part.words))
+            words, contexts = np.zeros(len(part.words)), np.zeros(len(v.contexts))
+            for n in range(len(s.slices)):
+                at, mean, last = s.part(n)
+                np.add.at(words, s.types[at], last)
+                np.add.at(contexts, part.owners[s.ctx[at]], mean)
+                at, _, last = s.whole(n, part.shares, 1)
+                np.add.at(words, s.types[at], last)
             home = (sh.mix(part.words) % np.uint64(shards)).astype(np.int64)
             order = np.argsort(home, kind="stable")
             present, first = np.unique(home[order], return_index=True)
@@ -631,14 +650,18 @@ def _second_pass(whole: DataFrame, split: DataFrame, told: DataFrame, shared, pa
 
     told: for a bucket, what its Part is told."""
 
-    def values(bucket, u, w, c, told) -> list[np.ndarray]:
-        """Score of each pair; of words base score and whether they are known."""
+    def values(left, told) -> tuple[list[np.ndarray], list]:
+        """Score of each pair; of words base score and whether they are known; and where each salt's are among them."""
         v, root, customers, tables = shared.value
+        bucket = left["bucket"][0].as_py()
+        u, w, c, at = _merged(left)
         if bucket < pairs:
             part = Part(v, u, w, c, told)
+            del u, w
             served = root(part.served(told, customers))
-            return [np.log10(Seats(bucket, part.keys, c, part, pairs, Ratios(DISCOUNT)).predictive(served, tables[part.owners]))]
-        return [np.log10((c + 0.1) / (v.total + 0.1 * (v.distinct + 1))), (c > 0).astype(float)]
+            p = Seats(bucket, part.keys, c, part, pairs, Ratios(DISCOUNT)).predictive(served, tables[part.owners])
+            return [np.log10(p, out=p)], at
+        return [np.log10((c + 0.1) / (v.total + 0.1 * (v.distinct + 1))), (c > 0).astype(float)], at
 
     def summed(bucket, units, blobs, each):
         for unit, blob in zip(units, blobs):
@@ -654,14 +677,13 @@ def _second_pass(whole: DataFrame, split: DataFrame, told: DataFrame, shared, pa
         if not left.num_rows:
             return table([])
         bucket = left["bucket"][0].as_py()
-        each = values(bucket, *_merged(left)[:3], right)
+        each, _ = values(left, right)
         return table(list(summed(bucket, left["units"][0].as_py(), left["blobs"][0].values, each)))
 
     def of_salts(left: pa.Table, right: pa.Table) -> pa.Table:
         each, at = [], []
         if left.num_rows:
-            u, w, c, at = _merged(left)
-            each = values(left["bucket"][0].as_py(), u, w, c, right)
+            each, at = values(left, right)
         return pa.table({"bucket": left["bucket"], "salt": left["salt"], "each": pa.array([[x[own].tobytes() for x in each] for own in at], pa.list_(pa.binary()))})
 
     def run_split(batches):
