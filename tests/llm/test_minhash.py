@@ -231,3 +231,20 @@ def test_weights_of_all_units_are_those_of_all_counts(spark, monkeypatch):
         want = [c * math.log((1 + minhash.S) / ((df[x] / len(texts) if df[x] > 1 else 0) + minhash.S)) for x, c in s.items()]
         assert minhash._flat(bytes(got[i].w), len(want), np.float32).tolist() == pytest.approx(want, rel=1e-6)
         assert len(got[i]["keys"]) == (minhash.BANDS if want else 0)
+
+
+def test_a_worker_keeps_no_more_of_the_sampler_than_its_variates():
+    """16 bands of 5 samples, three variates of four bytes in each of 2**16 cells; none of them after the step that samples."""
+    import numpy as np
+
+    sampler = minhash._sampler()
+    assert sum(x.nbytes for x in vars(sampler).values() if isinstance(x, np.ndarray)) <= 3 * 4 * 80 * (1 << 16) + 1000
+    steps = {}
+
+    class Texts:
+        def mapInArrow(self, run, schema):
+            steps[schema] = run
+
+    minhash._blobs(Texts())
+    assert list(steps["node long, hashes binary, w binary"]([])) == []
+    assert minhash._sampler.cache_info().currsize == 0

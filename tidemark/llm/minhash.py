@@ -174,14 +174,13 @@ def sampled(texts: DataFrame) -> DataFrame:
         docs_of = [_flat(x.as_buffer(), m, np.uint32) for x, m in zip(parts["blob"][1:], parts["n"][1:].to_pylist())]
         held = np.concatenate([np.zeros(0, np.uint32), *docs_of])
         distinct, at = np.unique(np.concatenate([h for _, _, h, _, _ in sets]), return_inverse=True)
-        idf, done = Weights(distinct, np.where(held > 1, held / n, 0.0)).idf[at], 0
-        sampler, keys, packed = _sampler(), np.zeros((docs.num_rows, BANDS), np.uint64), []
-        solid = np.zeros(docs.num_rows, bool)
-        for first, last, h, d, tf in sets:
-            w, done = idf[done : done + len(h)] * tf.astype(np.float32), done + len(h)
-            own, k = sampler(h, d, w)
-            solid[own + first], keys[own + first] = True, k
-            packed += [_planes(x) for x in np.split(w, np.searchsorted(d, np.arange(1, last - first)))]
+        h, d, tf = (np.concatenate(x) for x in zip(*((h, d + first, tf) for first, _, h, d, tf in sets)))
+        w = Weights(distinct, np.where(held > 1, held / n, 0.0)).idf[at] * tf.astype(np.float32)
+        del sets, docs_of, distinct, at, tf
+        packed = [_planes(x) for x in np.split(w, np.searchsorted(d, np.arange(1, docs.num_rows)))]
+        solid, keys = np.zeros(docs.num_rows, bool), np.zeros((docs.num_rows, BANDS), np.uint64)
+        own, k = _sampler()(h, d, w)
+        solid[own], keys[own] = True, k
         ends = np.concatenate(([0], np.cumsum(np.where(solid, BANDS, 0)))).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[solid].ravel().view(np.int64)))
         return pa.table([docs["node"], docs["doc_id"], lists, pa.array(packed, pa.binary())], names=["node", "doc_id", "keys", "w"])
@@ -192,25 +191,42 @@ def sampled(texts: DataFrame) -> DataFrame:
 
 @functools.cache
 def _sampler() -> Sampler:
-    """Made once a worker."""
+    """Made once a worker, which drops it in the steps after (see _blobs)."""
     return Sampler(Weights(np.zeros(0, np.uint64), np.zeros(0)))
 
 
+class Rows:
+    """The rows of a table, each made when it is asked for, once for a unit of documents: all of them would be twice as large as the variates."""
+
+    def __init__(self, row):
+        self._row = row
+
+    def __getitem__(self, k: int) -> np.ndarray:
+        return self._row(k)
+
+
 class Sampler:
     """BANDS * ROWS consistent weighted samples, combined to one 64-bit key for each band."""
 
     def __init__(self, weights: Weights):
         rng = np.random.Generator(np.random.PCG64(7))
         self.weights = weights
-        k, cells = BANDS * ROWS, 1 << 16
-        self.r = rng.gamma(2.0, 1.0, (k, cells)).astype(np.float32)
-        self.lnc = np.log(rng.gamma(2.0, 1.0, (k, cells))).astype(np.float32)
-        self.beta = rng.random((k, cells)).astype(np.float32)
+        k, self.cells = BANDS * ROWS, 1 << 16
+
+        def drawn(one):
+            out = np.empty((k, self.cells), np.float32)
+            for row in out:
+                row[:] = one()
+            return out
+
+        self.r = drawn(lambda: rng.gamma(2.0, 1.0, self.cells))
+        self.lnc = drawn(lambda: np.log(rng.gamma(2.0, 1.0, self.cells)))
+        self.beta = drawn(lambda: rng.random(self.cells))
         self.odd = rng.integers(0, 1 << 62, k, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         lnw = np.log(weights.common)
-        self.table = np.stack([self._pack(j, np.arange(cells), lnw) for j in range(k)])
+        self.table = Rows(lambda j: self._pack(j, slice(None), lnw))
         #: The least logarithm of a weight that, up to the common one, is sampled like that.
-        self.low = self.r * (np.floor(lnw / self.r + self.beta) - self.beta)
+        self.low = Rows(lambda j: self.r[j] * (np.floor(lnw / self.r[j] + self.beta[j]) - self.beta[j]))
 
     def _pack(self, k: int, cell: np.ndarray, lnw) -> np.ndarray:
         """ln a as sortable upper 32 bits, the scrambled quantised weight in the lower."""
@@ -248,6 +264,7 @@ def _blobs(texts: DataFrame) -> DataFrame:
 
     def run(batches):
         np.seterr(over="ignore")
+        _sampler.cache_clear()  # its tables would stay in the worker for the rounds to come
         for b in batches:
             node, packed, out = b.column(0).to_pylist(), b.column(2), []
             for first, last, h, d, _ in _sets(b.column(1)):
@@ -282,6 +299,7 @@ def _verified(pairs: DataFrame, blobs: DataFrame) -> DataFrame:
     """The pairs(node, lead) whose similarity is at least THRESHOLD."""
 
     def run(batches):
+        _sampler.cache_clear()
         for b in batches:
             cols = b.columns
             ok = [weighted_jaccard(*_loaded(*(c[i] for c in cols[2:4])), *_loaded(*(c[i] for c in cols[4:6]))) >= THRESHOLD for i in range(b.num_rows)]
