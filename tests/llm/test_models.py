@@ -305,3 +305,31 @@ def test_a_bucket_is_seated_in_slices(monkeypatch):
     assert len(small.slices) > 390 and sum(len(small.whole(k, root, 1)[0]) for k in range(len(small.slices))) == int((c[each:] > 0).sum())
     assert np.log(small.predictive(root, np.zeros(n + 2))[each:]).mean() == pytest.approx(np.log(p[each:]).mean(), rel=0.01)
     assert np.array_equal(small.parts()[0], seats.parts()[0])
+
+
+def test_pair_counts_take_little_room(spark, monkeypatch):
+    """A pair is kept by its number and count alone, and its count goes to its shard packed with others, far below a row of its own."""
+    frames, real, packed = {}, kneser_ney.stored, []
+
+    def stored(df, name):
+        frames[name] = df.columns
+        return real(df, name)
+
+    class Seen:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, schema):
+            k = np.arange(50_000, dtype=np.int64) * 1000
+            batch = kneser_ney.pa.RecordBatch.from_arrays([kneser_ney.pa.array(k), kneser_ney.pa.array(np.ones(len(k), np.int64))], names=["k", "c"])
+            packed.extend(run([batch]))
+            raise StopIteration
+
+    monkeypatch.setattr(kneser_ney, "stored", stored)
+    texts = spark.createDataFrame(list(enumerate(prose(4, 30))), "_id long, text string")
+    kneser_ney.train(texts)
+    assert frames["kn-pairs"] == ["k", "c"]
+    docs = spark.createDataFrame([(1, "a", "en")], "doc_id long, text string, lang string")
+    with pytest.raises(StopIteration):
+        kneser_ney._score(docs, Seen(), None, 16, 1)
+    assert sum(b.num_rows for b in packed) == 16 and sum(b.nbytes for b in packed) < 8 * 50_000

@@ -5,7 +5,7 @@ those who want a smaller model). Its words seen twice make the vocabulary; other
 type, spelled out uniformly over as many words as the trusted text holds once. Counts, continuation counts and discounts are grouped and joined in Spark. All documents
 are then scored: units of documents deal their word pairs to shards by a hash of the pair, and meet the counts of the shard there. There is a
 number of shards for every GROUP_TOKENS tokens; a unit's part of a shard that is far more than its share (a frequent pair) is salted, and
-only shards that have salts get their counts more than once. The vocabulary, with two numbers a word, is broadcast: it grows with the trusted
+only shards that have salts get their counts more than once. Counts go to the shards packed. The vocabulary, with two numbers a word, is broadcast: it grows with the trusted
 text, as vocabularies do, while pairs are never collected. A shard sends a
 unit its documents' partial sums as one packed row, and a unit adds up its rows to
 the documents' perplexities (of their words and one end).
@@ -108,7 +108,8 @@ def train(texts: DataFrame) -> tuple[Model, DataFrame]:
     once = counted.where("c < 2").count()
     words = counted.where("c > 1").select("k").toArrow()["k"].to_numpy().view(np.uint64)  # the vocabulary
     types = Types(words)
-    pairs = stored(_counts(texts, types.pairs).select("k", "c", F.shiftright("k", 32).alias("u"), F.col("k").bitwiseAND(0xFFFFFFFF).alias("w")), "kn-pairs")
+    seen = stored(_counts(texts, types.pairs).sortWithinPartitions("k"), "kn-pairs")  # in order it takes less room
+    pairs = seen.select("k", "c", F.shiftright("k", 32).alias("u"), F.col("k").bitwiseAND(0xFFFFFFFF).alias("w"))
     d = _discounts(pairs, "c")
     contexts = pairs.groupBy("u").agg(F.sum("c").alias("n"), F.sum(_less("c", d)).alias("less"))
     follow = pairs.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
@@ -125,7 +126,7 @@ def train(texts: DataFrame) -> tuple[Model, DataFrame]:
     back = contexts.select("u", "n", (F.col("less") / F.col("n")).alias("x")).toArrow()  # a row a type
     weight, held = np.ones(size + 1), np.ones(size + 1)
     weight[back["u"].to_numpy()], held[back["u"].to_numpy()] = back["x"].to_numpy(), back["n"].to_numpy()
-    return Model(types, lower, weight, spelled, held, d), pairs.select("k", "c")
+    return Model(types, lower, weight, spelled, held, d), seen
 
 
 def _deal(docs: DataFrame, shared, shards: int, salts: int) -> DataFrame:
@@ -181,16 +182,31 @@ def _score(own: DataFrame, seen: DataFrame, shared, shards: int, salts: int) ->
 
     def deal_seen(batches):
         np.seterr(over="ignore")
+        held = []
+
+        def flush():
+            k, c = (np.concatenate(x) for x in zip(*held))
+            shard = (sh.mix(k) % np.uint64(shards)).astype(np.int64)
+            order = np.lexsort((k, shard))
+            cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+            some = np.flatnonzero(np.diff(cuts))
+            blobs = [py._pack(k=k[own], w=c[own]) for own in (order[cuts[j] : cuts[j + 1]] for j in some)]
+            return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(blobs, pa.binary())], names=["shard", "seen"])
+
         for b in batches:
-            k = b.column(0).to_numpy().view(np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array((sh.mix(k) % np.uint64(shards)).astype(np.int32)), b.column(0), pa.array(shared.value.shares(k, b.column(1).to_numpy()))], names=["shard", "k", "p"])
+            held.append((b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()))
+            if sum(len(k) for k, _ in held) >= UNIT_TOKENS:
+                yield flush()
+                held = []
+        if held:
+            yield flush()
 
-    counts = seen.mapInArrow(deal_seen, "shard int, k long, p double")
+    counts = seen.select("k", "c").mapInArrow(deal_seen, "shard int, seen binary")
     if salts == 1:
         counts = counts.withColumn("salt", F.lit(0))
     else:  # the shards and salts that occur, without frequent pairs one a shard; texts are dealt twice, since the blobs are as large as the input
         salted = dealt.where("shard >= 0").select(F.col("shard").alias("of"), F.col("salt").alias("with")).distinct()
-        counts = counts.join(F.broadcast(salted), F.col("shard") == F.col("of")).select("shard", F.col("with").alias("salt"), "k", "p")
+        counts = counts.join(F.broadcast(salted), F.col("shard") == F.col("of")).select("shard", F.col("with").alias("salt"), "seen")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         blobs = []
@@ -198,8 +214,10 @@ def _score(own: DataFrame, seen: DataFrame, shared, shards: int, salts: int) ->
             blobs = left["blob"].to_pylist()
         elif left.num_rows:
             m = shared.value
-            order = np.argsort(right["k"].to_numpy().view(np.uint64))
-            known, share = right["k"].to_numpy().view(np.uint64)[order], right["p"].to_numpy()[order]
+            parts = [py._unpack(x.as_buffer()) for x in right["seen"]]
+            known, c = (np.concatenate([np.zeros(0, np.uint64), *(x[name] for x in parts)]) for name in "kw")
+            order = np.argsort(known)
+            known, share = known[order], m.shares(known[order], c[order].astype(np.int64))
             for blob in left["blob"]:
                 u = py._unpack(blob.as_buffer())
                 k = u["k"]
